@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.clock import EPOCH, timestamp_literal
+from tidegate.operators.projection import by_name
 
 
 def capture(df: DataFrame, mark: str) -> datetime | None:
@@ -17,7 +18,7 @@ def capture(df: DataFrame, mark: str) -> datetime | None:
     One single-column scan with a map-side partial max; one row reaches the driver.
     """
     top = F.max(F.col(f"`{mark}`"))
-    if isinstance(df.schema[mark].dataType, T.TimestampType):
+    if isinstance(by_name(df.schema)[mark.lower()].dataType, T.TimestampType):
         micros = df.agg(F.unix_micros(top).alias("m")).first().m
         return None if micros is None else EPOCH + timedelta(microseconds=micros)
     return df.agg(top.cast("timestamp_ntz").alias("m")).first().m
@@ -33,7 +34,7 @@ def window(
     """
     if captured is None:
         return df.filter(F.lit(False))
-    c, data_type = F.col(f"`{mark}`"), df.schema[mark].dataType
+    c, data_type = F.col(f"`{mark}`"), by_name(df.schema)[mark.lower()].dataType
     inside = c <= timestamp_literal(captured, data_type)
     if last is not None:
         inside = (c > timestamp_literal(last, data_type)) & inside

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.clock import seconds_between
-from tidegate.functions.text import object_name
+from tidegate.functions.text import object_name, quotename
 from tidegate.operators.attempts import attempt_numbers, total_retries
 from tidegate.state import vocabulary as v
 
@@ -204,8 +205,17 @@ def schema_change_requests(requests: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def schema_version_history(history: DataFrame, config: DataFrame) -> DataFrame:
+    """Approved versions; a list of column names renders as bracketed text."""
+    columns = F.col("ColumnList")
+    if isinstance(history.schema["ColumnList"].dataType, T.ArrayType):
+        columns = F.array_join(F.transform(columns, quotename), ",")
     return history.join(_named_configs(config), "ConfigId").select(
-        "SourceObject", "SchemaVersion", "ApprovalStatus", "ApprovedBy", "ApprovedUtc", "ColumnList"
+        "SourceObject",
+        "SchemaVersion",
+        "ApprovalStatus",
+        "ApprovedBy",
+        "ApprovedUtc",
+        columns.alias("ColumnList"),
     )
 
 

@@ -1,0 +1,19 @@
+"""Where configured source tables are read from."""
+
+from tidegate.sources.reader import (
+    CatalogTables,
+    Frames,
+    JdbcDatabase,
+    ParquetFolder,
+    Sources,
+    column_catalog,
+)
+
+__all__ = [
+    "CatalogTables",
+    "Frames",
+    "JdbcDatabase",
+    "ParquetFolder",
+    "Sources",
+    "column_catalog",
+]

@@ -1,0 +1 @@
+"""Control and audit state as append-only parquet logs."""
