@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,13 @@ from tidegate.operators import (
     validate,
 )
 from tidegate.plans import reporting
+from tidegate.plans.load import load_table
+from tidegate.plans.run import run_pipeline
+from tidegate.sources import Frames, Sources
+from tidegate.state import tables as logs
+from tidegate.state.snapshots import Snapshots
+from tidegate.state.store import StateStore
+from tidegate.state.vocabulary import LoadError
 
 T1 = datetime(2024, 1, 15)
 NOW = datetime(2024, 6, 1, 12, 30, 15)
@@ -478,3 +487,94 @@ def evidence_reconciliation(t: Inputs) -> DataFrame:
 @query
 def evidence_schema_requests(t: Inputs) -> DataFrame:
     return lookup.evidence(t["fx_request"], "SchemaRFC", "SchemaChangeRequestId")
+
+
+# --- governed loads with real state -----------------------------------------------
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A fresh folder under the cluster's shared one; a local one only in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        root = tempfile.mkdtemp(prefix="run-")
+    return f"{root.rstrip('/')}/{uuid4().hex}"
+
+
+GOVERNED = [
+    {
+        "SourceTable": "events",
+        "TargetTable": "events",
+        "Load": "Yes",
+        "LoadType": "WATERMARK",
+        "WatermarkColumn": "ts",
+        "PrimaryKeyColumn": "event_id",
+    },
+    {
+        "SourceTable": "orders",
+        "TargetTable": "orders",
+        "Load": "Yes",
+        "LoadType": "FULL",
+        "PrimaryKeyColumn": "o_orderkey",
+    },
+    {
+        "SourceTable": "lineitem",
+        "TargetTable": "lineitem",
+        "Load": "Yes",
+        "LoadType": "FULL",
+        "PrimaryKeyColumn": "l_orderkey",
+        "RetryCount": 1,
+        "RetryIntervalSeconds": 0,
+    },
+]
+
+
+def _governed(t: Inputs, published_only: bool) -> Sources:
+    events = _published_events if published_only else lambda inputs: inputs["events"]
+    frames = {
+        ("src", "events"): lambda: events(t),
+        ("src", "orders"): lambda: t["orders"],
+        ("src", "lineitem"): lambda: t["lineitem"],
+    }
+    return Sources(t.spark, {}, Frames(frames))
+
+
+@query
+def governed_run_audit(t: Inputs) -> DataFrame:
+    """Two runs over three tables; lineitem repeats its key, so gate 1 stops it each time."""
+    store = StateStore(t.spark, _shared_folder(t.spark))
+    snapshots = Snapshots(store)
+    store.add_configs(GOVERNED)
+    for run_id, published_only in (("run-1", True), ("run-2", False)):
+        try:
+            run_pipeline(store, snapshots, _governed(t, published_only), run_id, parallel=3)
+        except LoadError as error:
+            if error.code != 50020:
+                raise
+    checks = store.current(logs.CHECK).groupBy("TableLoadAuditId")
+    failed = checks.agg(F.count("*").alias("checks"), F.count_if(F.col("Result") == "FAIL").alias("failed_checks"))
+    detail = attempts.attempt_numbers(store.current(logs.ATTEMPT))
+    return detail.join(failed, "TableLoadAuditId").select(
+        "AdfPipelineRunId",
+        "SourceObject",
+        "LoadType",
+        "IsFirstLoad",
+        "AttemptNumber",
+        "SourceRowCount",
+        "TargetRowCount",
+        "Status",
+        "checks",
+        "failed_checks",
+    )
+
+
+@query
+def governed_load_curated(t: Inputs) -> DataFrame:
+    """The curated event table after a first load and a delta."""
+    store = StateStore(t.spark, _shared_folder(t.spark))
+    snapshots = Snapshots(store)
+    store.add_configs(GOVERNED[:1])
+    load_table(store, snapshots, _governed(t, True), 1, "run-1")
+    load_table(store, snapshots, _governed(t, False), 1, "run-2")
+    return snapshots.table(1)

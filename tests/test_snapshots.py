@@ -1,0 +1,92 @@
+"""Curated tables under many deltas and layouts agree with a dictionary updated by key."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.operators.gates import key_profile
+from tidegate.state.snapshots import Layout, Snapshots, Staged
+from tidegate.state.store import StateStore
+
+SCHEMA = "k bigint, label string, n int"
+NOW = datetime(2026, 1, 1)
+
+
+def staged(store, name, rows):
+    frame = store.spark.createDataFrame(rows, SCHEMA)
+    path = f"staging/{name}"
+    frame.write.parquet(store.path(path))
+    frame = store.spark.read.schema(SCHEMA).parquet(store.path(path))
+    p = key_profile(frame, "k").first()
+    return Staged(
+        1, path, frame, frame.schema, "k", p["rows"], p["duplicate_keys"], p["null_keys"], p["key_bytes"]
+    )
+
+
+@pytest.mark.parametrize("broadcast_key_bytes", [64 << 20, 0])
+def test_deltas_equal_a_dictionary(spark, tmp_path, broadcast_key_bytes):
+    rng = random.Random(7)
+    store = StateStore(spark, str(tmp_path), lambda: NOW)
+    layout = Layout(rows_per_bucket=40, max_buckets=32, broadcast_key_bytes=broadcast_key_bytes)
+    snapshots, expected = Snapshots(store, layout), {}
+    buckets = []
+    for step, (size, span) in enumerate([(120, 200), (3, 200), (150, 900), (2, 900), (0, 1)]):
+        keys = rng.sample(range(span), size)
+        rows = [(k, f"step {step}", rng.randrange(100)) for k in keys]
+        stage = staged(store, f"s{step}", rows)
+        old = snapshots.newest(1)
+        candidate = (
+            snapshots.bucketed(None, stage, f"v{step}")
+            if old is None
+            else snapshots.upsert(old, stage, f"v{step}")
+        )
+        assert candidate.missing_keys == 0
+        snapshots.commit(1, step, candidate.snapshot)
+        expected.update({r[0]: r for r in rows})
+        table = snapshots.table(1)
+        assert sorted(tuple(r) for r in table.collect()) == sorted(expected.values())
+        newest = snapshots.newest(1)
+        # counts kept per folder agree with a recount of every key
+        assert newest.total("rows") == len(expected)
+        assert snapshots.recheck(newest) == newest
+        buckets.append(newest.buckets)
+        if step == 1:  # a delta of three keys leaves most folders where they were
+            kept = {p.path for p in old.parts} & {p.path for p in newest.parts}
+            assert newest.buckets == 3 and len(newest.parts) - len(kept) <= 3
+    assert buckets[2] > buckets[1]  # the table outgrew its buckets and was split anew
+    # another driver reads the same commits
+    assert Snapshots(store, layout).newest(1) == snapshots.newest(1)
+
+
+def test_replace_all_publishes_the_staged_files(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), lambda: NOW)
+    snapshots = Snapshots(store)
+    stage = staged(store, "s", [(i, "x", i) for i in range(10)])
+    candidate = snapshots.replace_all(None, stage)
+    assert candidate.snapshot.parts[0].path == "staging/s"
+    snapshots.commit(1, 1, candidate.snapshot)
+    assert snapshots.table(1).count() == 10
+    # a table loaded whole so far can take deltas from then on
+    delta = staged(store, "d", [(3, "y", 0), (50, "y", 1)])
+    merged = snapshots.upsert(snapshots.newest(1), delta, "v2")
+    snapshots.commit(1, 2, merged.snapshot)
+    assert snapshots.table(1).count() == 11
+    assert snapshots.table(1).filter("label = 'y'").count() == 2
+
+
+def test_adopting_a_table_with_a_hot_key(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path), lambda: NOW)
+    snapshots = Snapshots(store, Layout(rows_per_bucket=500))
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") + 10).cast("bigint").alias("k"),
+        F.lit("x").alias("label"),
+        F.lit(1).alias("n"),
+    )
+    snapshots.adopt(1, hot, "k", NOW - timedelta(days=1))
+    snapshot = snapshots.newest(1)
+    assert (snapshot.total("rows"), snapshot.total("duplicate_keys")) == (3000, 1)
+    # replacing the hot key by one staged row heals the table
+    merged = snapshots.upsert(snapshot, staged(store, "fix", [(5, "fixed", 0)]), "v2").snapshot
+    assert (merged.total("rows"), merged.total("duplicate_keys")) == (2001, 0)

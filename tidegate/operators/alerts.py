@@ -4,96 +4,88 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.clock import iso_utc, timestamp_literal
 from tidegate.functions.text import concat0
-from tidegate.operators.attempts import CONFIG, RUN, latest_attempts
+from tidegate.operators.attempts import CONFIG, RUN, outcomes
 from tidegate.operators.lookup import latest_by
 from tidegate.state import vocabulary as v
 
 COLUMNS = [RUN, CONFIG, "EventType", "Status", "Message"]
 
 
-def _change_status(config_status: str):
-    return concat0(F.lit("SCHEMA_CHANGE_"), F.coalesce(F.col(config_status), F.lit(v.PENDING)))
+def _pairs(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -> DataFrame:
+    """One row per finished (run, config): its outcome, newest events, and request standing.
 
+    Each log is reduced by one aggregate before the joins.
+    """
 
-def _outcomes(attempts: DataFrame, status: str) -> DataFrame:
-    return latest_attempts(attempts).filter(F.col("Status") == status).select(RUN, CONFIG)
+    def newest(event: str):
+        order = F.when(F.col("EventType") == event, F.col("NotificationAuditId"))
+        return F.max_by(F.struct(F.lit(event).alias("EventType"), "Message"), order)
 
+    events = notifications.groupBy(RUN, CONFIG).agg(
+        F.max_by(F.struct("EventType", "Message"), "NotificationAuditId").alias("last"),
+        newest(v.TABLE_FAILURE).alias("failure"),
+        newest(v.SCHEMA_CHANGE).alias("change"),
+    )
+    finished = outcomes(attempts).filter(F.col("outcome").isNotNull())
+    # the newest request of the config, whatever schema it was for
+    standing = latest_by(requests, [CONFIG], "SchemaChangeRequestId", ["Status"]).select(
+        CONFIG, F.col("Status").alias("request")
+    )
+    return events.join(finished, [RUN, CONFIG]).join(standing, CONFIG, "left")
+
+
+def _alert(event: Column, plain_status: str) -> Column:
+    """The alert of an event struct, NULL when there is none."""
+    change = concat0(F.lit("SCHEMA_CHANGE_"), F.coalesce(F.col("request"), F.lit(v.PENDING)))
+    status = F.when(event["EventType"] == v.SCHEMA_CHANGE, change).otherwise(plain_status)
+    return F.when(
+        event.isNotNull(),
+        F.struct(
+            event["EventType"].alias("EventType"),
+            status.alias("Status"),
+            event["Message"].alias("Message"),
+        ),
+    )
 
-def _request_status(requests: DataFrame) -> DataFrame:
-    """Newest request of each config, whatever schema it was for."""
-    newest = latest_by(requests, [CONFIG], "SchemaChangeRequestId", ["Status"])
-    return newest.withColumnRenamed("Status", "_request")
 
+def _sent(outcome: str) -> Column:
+    """What a finished pair sends.
 
-def _newest_event(notifications: DataFrame) -> DataFrame:
-    return latest_by(notifications, [RUN, CONFIG], "NotificationAuditId", ["EventType", "Message"])
+    Success: its newest event. Failure: the newest failure, then the newest schema change;
+    the second follows the first, so a pair without a recorded failure sends neither.
+    """
+    if outcome == v.SUCCESS:
+        return F.array(_alert(F.col("last"), v.SUCCESS))
+    change = F.when(F.col("failure").isNotNull(), _alert(F.col("change"), v.FAILURE))
+    return F.array(_alert(F.col("failure"), v.FAILURE), change)
 
 
 def success_alerts(
     notifications: DataFrame, requests: DataFrame, attempts: DataFrame
 ) -> DataFrame:
-    """One alert per (run, config) whose latest attempt succeeded: its newest event."""
-    status = F.when(F.col("EventType") == v.SCHEMA_CHANGE, _change_status("_request"))
-    return (
-        _newest_event(notifications)
-        .join(_outcomes(attempts, v.SUCCESS), [RUN, CONFIG])
-        .join(_request_status(requests), CONFIG, "left")
-        .withColumn("Status", status.otherwise(v.SUCCESS))
-        .select(COLUMNS)
-    )
+    """One alert per (run, config) whose latest attempt succeeded."""
+    pairs = _pairs(notifications, requests, attempts).filter(F.col("outcome") == v.SUCCESS)
+    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(_sent(v.SUCCESS)))).select(COLUMNS)
 
 
 def failure_alerts(
     notifications: DataFrame, requests: DataFrame, attempts: DataFrame
 ) -> DataFrame:
-    """For failed (run, config) pairs: the newest failure, plus the newest schema change.
-
-    The schema-change alert follows the failure alert, so a pair without a recorded
-    failure event sends neither.
-    """
-
-    def newest(event: str):
-        hit = F.col("EventType") == event
-        order = F.when(hit, F.col("NotificationAuditId"))
-        return F.max_by(F.col("Message"), order), F.max(order)
-
-    failure, failure_id = newest(v.TABLE_FAILURE)
-    change, change_id = newest(v.SCHEMA_CHANGE)
-    events = notifications.groupBy(RUN, CONFIG).agg(
-        failure.alias("failure"),
-        failure_id.alias("failure_id"),
-        change.alias("change"),
-        change_id.alias("change_id"),
-    )
-    pairs = (
-        events.filter(F.col("failure_id").isNotNull())
-        .join(_outcomes(attempts, v.FAILURE), [RUN, CONFIG])
-        .join(_request_status(requests), CONFIG, "left")
-    )
-
-    def alert(event, status, message):
-        return F.struct(
-            F.lit(event).alias("EventType"), status.alias("Status"), message.alias("Message")
-        )
-
-    first = alert(v.TABLE_FAILURE, F.lit(v.FAILURE), F.col("failure"))
-    second = F.when(
-        F.col("change_id").isNotNull(),
-        alert(v.SCHEMA_CHANGE, _change_status("_request"), F.col("change")),
-    )
-    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(F.array(first, second)))).select(COLUMNS)
+    """Failure and schema-change alerts of (run, config) whose latest attempt failed."""
+    pairs = _pairs(notifications, requests, attempts).filter(F.col("outcome") == v.FAILURE)
+    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(_sent(v.FAILURE)))).select(COLUMNS)
 
 
 def alerts(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -> DataFrame:
-    """All alerts of all runs."""
-    return success_alerts(notifications, requests, attempts).unionByName(
-        failure_alerts(notifications, requests, attempts)
-    )
+    """All alerts of all runs, in one pass over each log."""
+    sent = F.when(F.col("outcome") == v.SUCCESS, _sent(v.SUCCESS)).otherwise(_sent(v.FAILURE))
+    pairs = _pairs(notifications, requests, attempts)
+    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(sent))).select(COLUMNS)
 
 
 def payloads(selected: DataFrame, now: datetime) -> DataFrame:

@@ -17,17 +17,17 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
     return latest_by(attempts, [RUN, CONFIG], ID, [ID, "Status"])
 
 
-def attempt_numbers(attempts: DataFrame, block: int = 1 << 20) -> DataFrame:
+def attempt_numbers(attempts: DataFrame, block_bits: int = 20) -> DataFrame:
     """``AttemptNumber``: position of the attempt within (run, config) by id.
 
     A single window per group would sort a group that holds a third of the log in one
-    task. Attempt ids are unique, so a block of consecutive ids has at most ``block``
-    rows: number within (group, block), then add the rows of the group's earlier blocks.
+    task. Attempt ids are unique, so a block of ``2 ** block_bits`` consecutive ids has at
+    most that many rows: number within (group, block), then add the rows of the group's earlier blocks.
     The usual group lies in one block and needs nothing added, so the second input is
     near empty and adaptive execution broadcasts it.
     """
     group = [RUN, CONFIG]
-    blocked = attempts.withColumn("_block", F.floor(F.col(ID) / F.lit(block)))
+    blocked = attempts.withColumn("_block", F.shiftright(ID, block_bits))
     within = F.row_number().over(Window.partitionBy(*group, "_block").orderBy(ID))
     earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -47,54 +47,46 @@ def attempt_numbers(attempts: DataFrame, block: int = 1 << 20) -> DataFrame:
     )
 
 
-def _tries(attempts: DataFrame) -> DataFrame:
-    return attempts.groupBy(RUN, CONFIG).agg(F.count("*").alias("tries")).filter("tries > 1")
-
-
 def retry_totals(attempts: DataFrame) -> DataFrame:
     """Retries per run, and over all runs in the row whose run id is NULL."""
-    per_run = _tries(attempts).groupBy(RUN).agg(F.sum(F.col("tries") - 1).alias("n"))
+    tries = attempts.groupBy(RUN, CONFIG).agg(F.count("*").alias("tries")).filter("tries > 1")
+    per_run = tries.groupBy(RUN).agg(F.sum(F.col("tries") - 1).alias("n"))
     return per_run.rollup(RUN).agg(F.sum("n").alias("Retries"))
 
 
-def total_retries(attempts: DataFrame) -> DataFrame:
-    """One row: attempts beyond the first, over all (run, config) groups."""
-    extra = F.coalesce(F.sum(F.col("tries") - 1), F.lit(0).cast("bigint"))
-    return _tries(attempts).agg(extra.alias("TotalRetryAttempts"))
-
-
-def finalize(attempts: DataFrame) -> DataFrame:
-    """Outcome of every run that has attempts, from the latest attempt per config.
+def outcomes(attempts: DataFrame) -> DataFrame:
+    """Whether the latest attempt of each (run, config) succeeded, failed or neither.
 
     The latest attempt succeeded when the highest id of all equals the highest id among
-    successes; three maxima of the id aggregate in fixed-width buffers.
+    successes. Three maxima of a number aggregate in hashed fixed-width buffers, where the
+    status text itself would force a sort of the log.
     """
 
     def newest(status: str):
         return F.max(F.when(F.col("Status") == status, F.col(ID)))
 
-    outcome = attempts.groupBy(RUN, CONFIG).agg(
+    last = attempts.groupBy(RUN, CONFIG).agg(
         F.max(ID).alias("last"), newest(v.SUCCESS).alias("ok"), newest(v.FAILURE).alias("bad")
     )
-    counts = outcome.groupBy(RUN).agg(
-        F.count(F.when(F.col("ok") == F.col("last"), 1)).cast("int").alias("SuccessfulTableCount"),
-        F.count(F.when(F.col("bad") == F.col("last"), 1)).cast("int").alias("FailedTableCount"),
-    )
-    return counts.select(
-        RUN,
-        "SuccessfulTableCount",
-        "FailedTableCount",
-        run_status(F.col("SuccessfulTableCount"), F.col("FailedTableCount")).alias("Status"),
-        concat0(
-            F.col("SuccessfulTableCount"),
-            F.lit(" table(s) succeeded; "),
-            F.col("FailedTableCount"),
-            F.lit(" table(s) failed."),
-        ).alias("Message"),
+    outcome = F.when(F.col("ok") == F.col("last"), v.SUCCESS).when(
+        F.col("bad") == F.col("last"), v.FAILURE
     )
+    return last.select(RUN, CONFIG, outcome.alias("outcome"))
 
 
-def run_status(succeeded, failed):
-    return (
-        F.when(failed == 0, v.SUCCESS).when(succeeded > 0, v.PARTIAL_SUCCESS).otherwise(v.FAILURE)
+def finalize(attempts: DataFrame) -> DataFrame:
+    """Counts, status and message of every run that has attempts."""
+
+    def tables(outcome: str):
+        return F.count(F.when(F.col("outcome") == outcome, 1)).cast("int")
+
+    ok, bad = F.col("SuccessfulTableCount"), F.col("FailedTableCount")
+    counts = outcomes(attempts).groupBy(RUN).agg(
+        tables(v.SUCCESS).alias("SuccessfulTableCount"),
+        tables(v.FAILURE).alias("FailedTableCount"),
+    )
+    status = (
+        F.when(bad == 0, v.SUCCESS).when(ok > 0, v.PARTIAL_SUCCESS).otherwise(v.FAILURE)
     )
+    message = concat0(ok, F.lit(" table(s) succeeded; "), bad, F.lit(" table(s) failed."))
+    return counts.select(RUN, ok, bad, status.alias("Status"), message.alias("Message"))

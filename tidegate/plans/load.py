@@ -238,10 +238,9 @@ def _start(
     return Attempt(row, config, changed, approval, first)
 
 
-def _record_checks(store: StateStore, attempt: Attempt) -> None:
-    """The check rows an attempt came to, both gates in one append."""
+def _check_rows(store: StateStore, attempt: Attempt) -> list[dict]:
     now = store.clock()
-    rows = [
+    return [
         {
             **check,
             "ReconciliationResultId": store.next_id(tables.CHECK),
@@ -250,11 +249,10 @@ def _record_checks(store: StateStore, attempt: Attempt) -> None:
         }
         for check in attempt.checks
     ]
-    store.append(tables.CHECK, rows)
 
 
-def _notify(store: StateStore, attempt: Attempt, events: list[tuple[str, str]]) -> None:
-    rows = [
+def _event_rows(store: StateStore, attempt: Attempt, events: list[tuple[str, str]]) -> list[dict]:
+    return [
         {
             "NotificationAuditId": store.next_id(tables.NOTIFICATION),
             "AdfPipelineRunId": attempt.row["AdfPipelineRunId"],
@@ -266,34 +264,41 @@ def _notify(store: StateStore, attempt: Attempt, events: list[tuple[str, str]])
         }
         for event, message in events
     ]
-    store.append(tables.NOTIFICATION, rows)
+
+
+def _record(
+    store: StateStore, attempt: Attempt, config: dict, outcome: dict, events: list[tuple[str, str]]
+) -> None:
+    """Close an attempt: configuration state, both gates' checks, outcome and notifications."""
+    store.append_all(
+        {
+            tables.CONFIG: [store.changed_config(attempt.config, **config)],
+            tables.CHECK: _check_rows(store, attempt),
+            tables.ATTEMPT: [{**attempt.row, "CompletedUtc": store.clock(), **outcome}],
+            tables.NOTIFICATION: _event_rows(store, attempt, events),
+        }
+    )
 
 
 def _record_success(
     store: StateStore, attempt: Attempt, counts: dict, mark: datetime | None
 ) -> None:
-    now = store.clock()
-    store.update_config(
-        attempt.config, LastWatermarkValue=mark, LastRunStatus=v.SUCCESS, LastSuccessfulRunUtc=now
-    )
-    _record_checks(store, attempt)
-    store.append(
-        tables.ATTEMPT, [{**attempt.row, **counts, "CompletedUtc": now, "Status": v.SUCCESS}]
-    )
+    config = {
+        "LastWatermarkValue": mark,
+        "LastRunStatus": v.SUCCESS,
+        "LastSuccessfulRunUtc": store.clock(),
+    }
     event = (
         (v.SCHEMA_CHANGE, v.CHANGE_MESSAGE) if attempt.changed else (v.TABLE_SUCCESS, v.SUCCESS_MESSAGE)
     )
-    _notify(store, attempt, [event])
+    _record(store, attempt, config, {**counts, "Status": v.SUCCESS}, [event])
 
 
 def _record_failure(store: StateStore, attempt: Attempt, error: Exception) -> None:
     message = str(error)[:MESSAGE_LIMIT]
-    _record_checks(store, attempt)
-    store.update_config(attempt.config, LastRunStatus=v.FAILURE)
-    done = {"CompletedUtc": store.clock(), "Status": v.FAILURE, "ErrorMessage": message}
-    store.append(tables.ATTEMPT, [{**attempt.row, **done}])
     events = [(v.TABLE_FAILURE, message)]
     if attempt.changed:
         text = v.CHANGE_FAILURE_MESSAGE.format(status=attempt.approval or v.PENDING, error=message)
         events.insert(0, (v.SCHEMA_CHANGE, text))
-    _notify(store, attempt, events)
+    outcome = {"Status": v.FAILURE, "ErrorMessage": message}
+    _record(store, attempt, {"LastRunStatus": v.FAILURE}, outcome, events)

@@ -81,7 +81,7 @@ class Layout:
 
     rows_per_bucket: int = 4_000_000
     max_buckets: int = 16_384
-    broadcast_key_bytes: int = 64 << 20
+    broadcast_key_bytes: int = 32 << 20
 
     def buckets_for(self, rows: int) -> int:
         return max(1, min(self.max_buckets, -(-rows // self.rows_per_bucket)))

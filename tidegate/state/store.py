@@ -10,9 +10,11 @@ from __future__ import annotations
 import itertools
 import threading
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,8 +51,8 @@ class StateStore:
         self._config_locks: dict[int, threading.RLock] = {}
         # two jobs that append to one folder would clear each other's temporary files
         self._log_locks = {log.name: threading.Lock() for log in tables.LOGS}
-        for log in tables.LOGS:
-            self._ensure(log)
+        with ThreadPoolExecutor(max_workers=len(tables.LOGS)) as pool:
+            list(pool.map(inheritable_thread_target(spark)(self._ensure), tables.LOGS))
 
     # --- logs ---------------------------------------------------------------------
 
@@ -93,6 +95,11 @@ class StateStore:
             numbered = [{**r, **stamp, "_seq": next(self._seqs[log.name])} for r in rows]
             self._write(local_frame(self.spark, numbered, log.schema), log)
 
+    def append_all(self, rows: dict[Log, list[dict]]) -> None:
+        """Append to several logs at once; each small write is mostly waiting."""
+        with ThreadPoolExecutor(max_workers=len(rows)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(self.append), rows, rows.values()))
+
     def read(self, log: Log) -> DataFrame:
         """All versions of all rows."""
         return self.spark.read.schema(log.schema).parquet(self.path("log", log.name))
@@ -132,10 +139,13 @@ class StateStore:
 
     def update_config(self, row: dict, **changes) -> dict:
         """Append the row's next version; the caller holds the configuration's lock."""
-        updated = {**row, **changes, "ModifiedUtc": self.clock()}
+        updated = self.changed_config(row, **changes)
         self.append(tables.CONFIG, [updated])
         return updated
 
+    def changed_config(self, row: dict, **changes) -> dict:
+        return {**row, **changes, "ModifiedUtc": self.clock()}
+
     @staticmethod
     def _newest(versions: DataFrame) -> dict | None:
         """The latest of one key's versions, as a dict."""
