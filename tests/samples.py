@@ -123,11 +123,11 @@ class World:
             return error.code
         return None
 
-    def log(self, log, run_id=None, order=None):
-        df = self.store.current(log)
+    def log(self, log, run_id=None):
+        df = self.store.current(log) if log.key else self.store.read(log)
         if run_id is not None:
             df = df.filter(df.AdfPipelineRunId == run_id)
-        return [r.asDict() for r in df.orderBy(order or log.key).collect()]
+        return [r.asDict() for r in df.orderBy(log.key or "ConfigId").collect()]
 
     def attempts(self, run_id, config_id=None):
         rows = self.log(tables.ATTEMPT, run_id)

@@ -26,23 +26,24 @@ def attempt_numbers(attempts: DataFrame, block_bits: int = 20) -> DataFrame:
     The usual group lies in one block and needs nothing added, so the second input is
     near empty and adaptive execution broadcasts it.
     """
-    group = [RUN, CONFIG]
-    blocked = attempts.withColumn("_block", F.shiftright(ID, block_bits))
-    within = F.row_number().over(Window.partitionBy(*group, "_block").orderBy(ID))
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # a struct key matches NULL parts as a window does, and lets the join reuse the
+    # window's partitioning
+    blocked = attempts.withColumns(
+        {"_group": F.struct(RUN, CONFIG), "_block": F.shiftright(ID, block_bits)}
+    )
+    within = F.row_number().over(Window.partitionBy("_group", "_block").orderBy(ID))
+    earlier = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocked.groupBy(*group, "_block")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
+        blocked.groupBy("_group", "_block")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_before", F.sum("_rows").over(earlier))
         .filter(F.col("_before") > 0)
-        .select(*[F.col(c).alias(f"_{c}") for c in group], F.col("_block").alias("_b"), "_before")
+        .drop("_rows")
     )
-    # groups match null-safe: a window puts NULLs into one group
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
-    number = (F.col("_n") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")
+    number = (F.col("_within") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")
     return (
-        blocked.withColumn("_n", within)
-        .join(offsets, [*same, F.col("_block") == F.col("_b")], "left")
+        blocked.withColumn("_within", within)
+        .join(offsets, ["_group", "_block"], "left")
         .select(*attempts.columns, number.alias("AttemptNumber"))
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidegate.operators.fingerprint import Fingerprint, compatibility
 from tidegate.operators.lookup import latest_pending_request
 from tidegate.state import tables
@@ -22,8 +24,8 @@ def establish_baseline(store: StateStore, config: dict, fp: Fingerprint) -> dict
         "ApprovedSchemaVersion": 1,
     }
     config = store.update_config(config, **pinned)
-    history = store.current(tables.HISTORY).filter(f"ConfigId = {config_id} AND SchemaVersion = 1")
-    if history.isEmpty():
+    own = (F.col("ConfigId") == config_id) & (F.col("SchemaVersion") == 1)
+    if store.read(tables.HISTORY).filter(own).isEmpty():
         _add_version(store, config_id, 1, fp.hash, fp.columns, fp.definition, v.INITIAL_LOAD)
     known = [r for r in store.requests_of(config_id) if r["DecisionBy"] == v.INITIAL_LOAD]
     if not any(_same(r["DetectedSchemaHash"], fp.hash) for r in known):
@@ -112,8 +114,8 @@ def decide_latest(
 
 
 def _next_version(store: StateStore, config_id: int) -> int:
-    own = store.current(tables.HISTORY).filter(f"ConfigId = {config_id}")
-    return (own.agg({"SchemaVersion": "max"}).first()[0] or 0) + 1
+    own = store.read(tables.HISTORY).filter(F.col("ConfigId") == config_id)
+    return (own.agg(F.max("SchemaVersion")).first()[0] or 0) + 1
 
 
 def _add_version(

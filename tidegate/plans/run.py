@@ -6,10 +6,12 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
+from tidegate.functions import timestamp_literal
 from tidegate.operators import alerts, attempts, lookup
 from tidegate.plans.load import LoadResult, load_table
 from tidegate.sources import Sources
@@ -19,6 +21,15 @@ from tidegate.state.snapshots import Snapshots
 from tidegate.state.store import StateStore
 
 
+# a run without attempts has no failed table
+NO_ATTEMPTS = {
+    "SuccessfulTableCount": 0,
+    "FailedTableCount": 0,
+    "Status": v.SUCCESS,
+    "Message": "0 table(s) succeeded; 0 table(s) failed.",
+}
+
+
 @dataclass(frozen=True)
 class RunResult:
     status: str
@@ -26,12 +37,17 @@ class RunResult:
     results: dict[int, LoadResult | Exception]
 
 
-def start_run(store: StateStore, run_id: str, name: str) -> None:
+def _own(run_id: str):
+    return F.col("AdfPipelineRunId") == run_id
+
+
+def start_run(store: StateStore, run_id: str, name: str, enabled: int | None = None) -> dict:
     """Record the run once; a second call with the same id changes nothing."""
-    runs = store.read(tables.RUN).filter(F.col("AdfPipelineRunId") == run_id)
-    if not runs.isEmpty():
-        return
-    enabled = lookup.enabled_configs(store.current(tables.CONFIG)).count()
+    row = store.latest_row(tables.RUN, _own(run_id))
+    if row is not None:
+        return row
+    if enabled is None:
+        enabled = lookup.enabled_configs(store.current(tables.CONFIG)).count()
     row = {
         "PipelineRunAuditId": store.next_id(tables.RUN),
         "AdfPipelineRunId": run_id,
@@ -41,11 +57,7 @@ def start_run(store: StateStore, run_id: str, name: str) -> None:
         "EnabledTableCount": enabled,
     }
     store.append(tables.RUN, [row])
-
-
-def _run_row(store: StateStore, run_id: str) -> dict | None:
-    row = store.current(tables.RUN).filter(F.col("AdfPipelineRunId") == run_id).first()
-    return None if row is None else row.asDict()
+    return row
 
 
 def finalize_run(store: StateStore, run_id: str) -> tuple[str, str]:
@@ -53,48 +65,29 @@ def finalize_run(store: StateStore, run_id: str) -> tuple[str, str]:
 
     The outcome is recorded first; then 50020 is raised if any table failed.
     """
-    row = _run_row(store, run_id)
-    since = None if row is None else row["StartedUtc"]
-    own = store.current(tables.ATTEMPT, since).filter(F.col("AdfPipelineRunId") == run_id)
+    row = store.latest_row(tables.RUN, _own(run_id))
+    since = row["StartedUtc"] if row else None
+    own = store.current(tables.ATTEMPT, _own(run_id), since)
     found = attempts.finalize(own).drop("AdfPipelineRunId").first()
-    outcome = (
-        {
-            "SuccessfulTableCount": 0,
-            "FailedTableCount": 0,
-            "Status": v.SUCCESS,
-            "Message": "0 table(s) succeeded; 0 table(s) failed.",
-        }
-        if found is None
-        else found.asDict()
-    )
-    if row is not None:
+    outcome = found.asDict() if found else dict(NO_ATTEMPTS)
+    if row:
         store.append(tables.RUN, [{**row, **outcome, "CompletedUtc": store.clock()}])
     if outcome["FailedTableCount"]:
         raise v.LoadError(50020)
     return outcome["Status"], outcome["Message"]
 
 
-def fill_outbox(store: StateStore, run_id: str) -> None:
+def fill_outbox(store: StateStore, run_id: str, since: datetime | None = None) -> None:
     """Append the JSON events of the run's alerts; delivery is someone else's work."""
-    row = _run_row(store, run_id)
-    since = None if row is None else row["StartedUtc"]
-
-    def own(log):
-        return store.current(log, since).filter(F.col("AdfPipelineRunId") == run_id)
-
-    selected = alerts.alerts(
-        own(tables.NOTIFICATION), store.current(tables.REQUEST), own(tables.ATTEMPT)
-    )
     now = store.clock()
-    # at most two events per configured table
-    events = alerts.payloads(selected, now).orderBy("ConfigId", F.desc("EventType")).collect()
-    store.append(
-        tables.OUTBOX,
-        [
-            {**e.asDict(), "OutboxId": store.next_id(tables.OUTBOX), "CreatedUtc": now}
-            for e in events
-        ],
+    selected = alerts.alerts(
+        # notifications never change, so their versions need no grouping
+        store.read(tables.NOTIFICATION).filter(_own(run_id)),
+        store.current(tables.REQUEST),
+        store.current(tables.ATTEMPT, _own(run_id), since),
     )
+    events = alerts.payloads(selected, now).withColumn("CreatedUtc", timestamp_literal(now))
+    store.append_frame(tables.OUTBOX, events)
 
 
 def run_pipeline(
@@ -108,8 +101,8 @@ def run_pipeline(
     full_check: bool = False,
 ) -> RunResult:
     """Load every enabled table, ``parallel`` at a time, then finalize and raise on failure."""
-    start_run(store, run_id, name)
     configs = lookup.enabled_configs(store.current(tables.CONFIG)).collect()
+    run = start_run(store, run_id, name, len(configs))
 
     def load(config) -> LoadResult | Exception:
         tries_left = config["RetryCount"]
@@ -127,6 +120,6 @@ def run_pipeline(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         work = inheritable_thread_target(store.spark)(load)
         results = dict(zip([c["ConfigId"] for c in configs], pool.map(work, configs)))
-    fill_outbox(store, run_id)
+    fill_outbox(store, run_id, run["StartedUtc"])
     status, message = finalize_run(store, run_id)
     return RunResult(status, message, results)

@@ -140,7 +140,7 @@ class Snapshots:
         }
         frame = local_frame(self.spark, [row], T.StructType.fromDDL(tables.COMMIT_COLUMNS))
         path = self.store.path("commit", f"config={config_id}")
-        frame.coalesce(1).write.mode("append").parquet(path)
+        frame.write.mode("append").parquet(path)
         with self._guard:
             self._known[config_id] = (commit_id, snapshot)
 

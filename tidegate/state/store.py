@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -38,8 +38,9 @@ def utc_now() -> datetime:
 
 
 def local_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
-    """A handful of driver rows as a local relation: no Python worker takes part."""
-    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=to_arrow_schema(schema)), schema)
+    """A handful of driver rows as a one-partition local relation; no Python worker takes part."""
+    table = pa.Table.from_pylist(rows, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema).coalesce(1)
 
 
 class StateStore:
@@ -60,14 +61,14 @@ class StateStore:
         return "/".join([self.root, *parts])
 
     def _ensure(self, log: Log) -> None:
-        path = self.path("log", log.name)
-        if self.exists(path):
-            last = self.read(log).agg(F.max(log.key).alias("id"), F.max("_seq").alias("seq")).first()
-            self._ids[log.name] = itertools.count((last["id"] or 0) + 1)
-            self._seqs[log.name] = itertools.count((last["seq"] or 0) + 1)
-            return
-        self._write(local_frame(self.spark, [], log.schema), log)
-        self._ids[log.name], self._seqs[log.name] = itertools.count(1), itertools.count(1)
+        ids, seqs = 0, 0
+        if self.exists(self.path("log", log.name)):
+            key = F.max(log.key) if log.key else F.lit(0)
+            last = self.read(log).agg(key.alias("id"), F.max("_seq").alias("seq")).first()
+            ids, seqs = last["id"] or 0, last["seq"] or 0
+        else:
+            self._write(local_frame(self.spark, [], log.schema), log)
+        self._ids[log.name], self._seqs[log.name] = itertools.count(ids + 1), itertools.count(seqs + 1)
 
     def exists(self, path: str) -> bool:
         """Whether the shared folder has this path (asked of its own file system)."""
@@ -76,7 +77,7 @@ class StateStore:
         return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
 
     def _write(self, rows: DataFrame, log: Log) -> None:
-        writer = rows.coalesce(1).write.mode("append")
+        writer = rows.write.mode("append")
         if log.daily:
             writer = writer.partitionBy("LogDate")
         writer.parquet(self.path("log", log.name))
@@ -95,6 +96,17 @@ class StateStore:
             numbered = [{**r, **stamp, "_seq": next(self._seqs[log.name])} for r in rows]
             self._write(local_frame(self.spark, numbered, log.schema), log)
 
+    def append_frame(self, log: Log, rows: DataFrame) -> None:
+        """Append the rows of a query, written by its tasks."""
+        with self._log_locks[log.name]:
+            stamped = rows.withColumns(
+                {
+                    "_seq": F.lit(next(self._seqs[log.name])).cast("bigint"),
+                    "LogDate": F.lit(self.clock().date()),
+                }
+            )
+            self._write(stamped.select(log.schema.fieldNames()), log)
+
     def append_all(self, rows: dict[Log, list[dict]]) -> None:
         """Append to several logs at once; each small write is mostly waiting."""
         with ThreadPoolExecutor(max_workers=len(rows)) as pool:
@@ -104,14 +116,28 @@ class StateStore:
         """All versions of all rows."""
         return self.spark.read.schema(log.schema).parquet(self.path("log", log.name))
 
-    def current(self, log: Log, since: datetime | None = None) -> DataFrame:
-        """The newest version of each row; ``since`` skips the days before it."""
+    def current(
+        self, log: Log, where: Column | None = None, since: datetime | None = None
+    ) -> DataFrame:
+        """The newest version of each row.
+
+        ``where`` must hold for all versions of a row or none; it and ``since`` (days before
+        it are skipped) apply at the scan, before versions are grouped.
+        """
         versions = self.read(log)
+        if where is not None:
+            versions = versions.filter(where)
         if since is not None and log.daily:
             versions = versions.filter(F.col("LogDate") >= timestamp_literal(since).cast("date"))
         newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
         return versions.groupBy(log.key).agg(newest).select("row.*")
 
+    def latest_row(self, log: Log, where: Column) -> dict | None:
+        """The newest version of the one row ``where`` names."""
+        newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
+        row: Row | None = self.read(log).filter(where).agg(newest).first()["row"]
+        return None if row is None else row.asDict()
+
     # --- configuration ------------------------------------------------------------
 
     def config_lock(self, config_id: int) -> threading.RLock:
@@ -132,7 +158,7 @@ class StateStore:
 
     def config(self, config_id: int) -> dict:
         """One configuration row; 50010 when there is none."""
-        row = self._newest(self.read(tables.CONFIG).filter(F.col("ConfigId") == config_id))
+        row = self.latest_row(tables.CONFIG, F.col("ConfigId") == config_id)
         if row is None:
             raise v.LoadError(50010)
         return row
@@ -146,22 +172,13 @@ class StateStore:
     def changed_config(self, row: dict, **changes) -> dict:
         return {**row, **changes, "ModifiedUtc": self.clock()}
 
-    @staticmethod
-    def _newest(versions: DataFrame) -> dict | None:
-        """The latest of one key's versions, as a dict."""
-        row: Row | None = versions.agg(
-            F.max_by(F.struct(*versions.columns), "_seq").alias("row")
-        ).first()["row"]
-        return None if row is None else row.asDict()
-
     # --- requests -----------------------------------------------------------------
 
     def requests_of(self, config_id: int) -> list[dict]:
         """One configuration's requests, newest first; each is a human decision."""
-        own = self.current(tables.REQUEST).filter(F.col("ConfigId") == config_id)
+        own = self.current(tables.REQUEST, F.col("ConfigId") == config_id)
         rows = own.orderBy(F.desc("SchemaChangeRequestId")).collect()
         return [r.asDict() for r in rows]
 
     def request(self, request_id: int) -> dict | None:
-        versions = self.read(tables.REQUEST).filter(F.col("SchemaChangeRequestId") == request_id)
-        return self._newest(versions)
+        return self.latest_row(tables.REQUEST, F.col("SchemaChangeRequestId") == request_id)

@@ -9,10 +9,10 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Log:
-    """A log, the column that identifies a row, and whether files are split by day."""
+    """A log, the id column of its rows (None: rows never change), whether split by day."""
 
     name: str
-    key: str
+    key: str | None
     columns: str
     daily: bool = False
 
@@ -86,8 +86,8 @@ REQUEST = Log(
 )
 OUTBOX = Log(
     "outbox",
-    "OutboxId",
-    """OutboxId bigint, AdfPipelineRunId string, ConfigId int, EventType string, Payload string,
+    None,
+    """AdfPipelineRunId string, ConfigId int, EventType string, Payload string,
     CreatedUtc timestamp_ntz""",
     daily=True,
 )
