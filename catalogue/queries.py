@@ -411,12 +411,14 @@ def runs_datepart_join(t: Inputs) -> DataFrame:
 
 @query
 def health_datepart_join(t: Inputs) -> DataFrame:
-    """The other relationships: runs by completion, tables by both health timestamps."""
+    """The other relationships: runs by completion, tables by both health timestamps, the
+    summary by its last success."""
     health = reporting.pipeline_health(*t.many("fx_config", "fx_request", "fx_attempt"))
     related = [
         ("run_completed", t["fx_run"], "CompletedUtc"),
         ("table_last_success", health, "LastSuccessfulRunUtc"),
         ("table_last_completed", health, "LastCompletedUtc"),
+        ("summary_last_success", _summary(t), "LastSuccessfulRunUtc"),
     ]
     parts = [
         calendar.by_date(df, ts, calendar.date_dimension(df, ts).select("Date"), "n").withColumn(

@@ -1,7 +1,7 @@
 """The demonstration scenario: eight runs over the sample sources, with golden outcomes."""
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -9,6 +9,7 @@ from samples import AGP, AGP_ID, CSD, CSD_ID, World
 
 from tidegate.operators import validate
 from tidegate.plans import reporting, rfc
+from tidegate.plans.views import register_views
 from tidegate.state import tables
 from tidegate.state.store import StateStore
 from tidegate.state.vocabulary import LoadError
@@ -176,6 +177,14 @@ def test_8_reports_over_the_logs(world):
     assert {r.offending for r in validate.validate_config(config).collect()} == {0}
 
 
+def test_8_views_by_name(world, spark):
+    names = register_views(world.store)
+    assert len(names) == 10
+    assert spark.table("vw_TableLoadDetail").filter("AttemptNumber = 4").count() == 1
+    assert spark.sql("SELECT * FROM vw_ReconciliationResults WHERE Result = 'FAIL'").count() == 4
+    assert spark.table("vw_PipelineDashboardSummary").first()["SuccessfulRuns"] == 8
+
+
 def test_9_reopened_state_goes_on(world):
     """A new driver finds the ids, the approvals and the mark where the last one left them."""
     reopened = StateStore(world.spark, world.store.root, world.tick)
@@ -184,3 +193,18 @@ def test_9_reopened_state_goes_on(world):
     assert counts(world, "r9") == {AGP_ID: (0, 4), CSD_ID: (3, 3)}
     ids = [a["TableLoadAuditId"] for a in world.log(tables.ATTEMPT)]
     assert len(ids) == len(set(ids))
+
+
+def test_10_compacted_logs_say_the_same(world):
+    before = {log.name: world.log(log) for log in tables.LOGS}
+    day = world.now.date()
+    with pytest.raises(ValueError):
+        world.store.compact(tables.CONFIG, day)
+    world.now += timedelta(days=1)
+    versions = world.store.read(tables.CONFIG).count()
+    for log in tables.LOGS:
+        world.store.compact(log, day)
+    assert {log.name: world.log(log) for log in tables.LOGS} == before
+    assert world.store.read(tables.CONFIG).count() == 3 < versions
+    assert world.run("r10") is None
+    assert len(world.log(tables.RUN)) == len(before["run"]) + 1

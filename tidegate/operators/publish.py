@@ -15,9 +15,15 @@ def overwrite(target: DataFrame, stage: DataFrame) -> DataFrame:
     return align(stage, evolve(target.schema, stage.schema))
 
 
+def _keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once. Map tasks drop repeats, so a key that fills a third of the rows does
+    not fill one join task; the join then uses the same partitioning."""
+    return df.select(keys).distinct()
+
+
 def unpublished(stage: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Staged rows whose key the target lacks; a NULL key is never found."""
-    return stage.join(target.select(key), key, "left_anti")
+    return stage.join(_keys(target, [key]), key, "left_anti")
 
 
 def survivors(target: DataFrame, stage: DataFrame, key: str, small_stage: bool = False) -> DataFrame:
@@ -27,8 +33,8 @@ def survivors(target: DataFrame, stage: DataFrame, key: str, small_stage: bool =
     only for callers that have measured the staged keys; otherwise the join strategy
     is left to the optimizer and adaptive execution, which splits a skewed target side.
     """
-    keys = stage.select(key)
-    return target.join(F.broadcast(keys) if small_stage else keys, key, "left_anti")
+    staged = F.broadcast(stage.select(key)) if small_stage else _keys(stage, [key])
+    return target.join(staged, key, "left_anti")
 
 
 def upsert(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
@@ -56,4 +62,4 @@ def merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def insert_absent(existing: DataFrame, new: DataFrame, key: list[str] | str) -> DataFrame:
     """The new rows whose natural key does not exist yet."""
     keys = [key] if isinstance(key, str) else list(key)
-    return new.join(existing.select(keys), keys, "left_anti").select(new.columns)
+    return new.join(_keys(existing, keys), keys, "left_anti").select(new.columns)

@@ -290,11 +290,11 @@ def headline_cards(summary: DataFrame) -> DataFrame:
 
 
 def recent_runs_table(runs: DataFrame) -> DataFrame:
-    """Every run, newest start first."""
+    """Every run, newest start first; the id settles ties and splits a busy instant."""
     return (
         recent_pipeline_runs(runs)
+        .orderBy(F.desc("StartedUtc"), F.desc("PipelineRunAuditId"))
         .select("StartedUtc", "Status", "DurationSeconds", "SuccessfulTableCount", "FailedTableCount")
-        .orderBy(F.desc("StartedUtc"))
     )
 
 

@@ -161,6 +161,11 @@ class Snapshots:
         snapshot = self.newest(config_id)
         return None if snapshot is None else self.frame(snapshot)
 
+    def live_paths(self, config_id: int) -> list[str]:
+        """The folders the newest commit names; others of the configuration are not read."""
+        snapshot = self.newest(config_id)
+        return [self.store.path(p.path) for p in snapshot.parts] if snapshot else []
+
     # --- publishing ---------------------------------------------------------------
 
     def replace_all(self, old: Snapshot | None, stage: Staged) -> Candidate:

@@ -11,7 +11,7 @@ import itertools
 import threading
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -77,10 +77,7 @@ class StateStore:
         return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
 
     def _write(self, rows: DataFrame, log: Log) -> None:
-        writer = rows.write.mode("append")
-        if log.daily:
-            writer = writer.partitionBy("LogDate")
-        writer.parquet(self.path("log", log.name))
+        rows.write.mode("append").partitionBy("LogDate").parquet(self.path("log", log.name))
 
     def next_id(self, log: Log) -> int:
         with self._guard:
@@ -127,7 +124,7 @@ class StateStore:
         versions = self.read(log)
         if where is not None:
             versions = versions.filter(where)
-        if since is not None and log.daily:
+        if since is not None:
             versions = versions.filter(F.col("LogDate") >= timestamp_literal(since).cast("date"))
         newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
         return versions.groupBy(log.key).agg(newest).select("row.*")
@@ -138,6 +135,26 @@ class StateStore:
         row: Row | None = self.read(log).filter(where).agg(newest).first()["row"]
         return None if row is None else row.asDict()
 
+    def compact(self, log: Log, through: date) -> None:
+        """Rewrite the files of finished days: the newest version of each row, few files.
+
+        The result is first written aside, then replaces those days. Rows appended meanwhile
+        belong to a later day; an interrupted call may simply be repeated.
+        """
+        if through >= self.clock().date():
+            raise ValueError("only finished days can be compacted")
+        fields = log.schema.fieldNames()
+        rows = self.read(log).filter(F.col("LogDate") <= F.lit(through))
+        if log.key:
+            newest = F.max_by(F.struct(*fields), "_seq").alias("row")
+            rows = rows.groupBy(log.key).agg(newest).select("row.*")
+        aside = self.path("compact", log.name, through.isoformat())
+        rows.write.mode("overwrite").parquet(aside)
+        days = self.spark.read.schema(log.schema).parquet(aside).hint("rebalance", F.col("LogDate"))
+        writer = days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        with self._log_locks[log.name]:
+            writer.partitionBy("LogDate").parquet(self.path("log", log.name))
+
     # --- configuration ------------------------------------------------------------
 
     def config_lock(self, config_id: int) -> threading.RLock:

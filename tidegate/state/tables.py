@@ -9,17 +9,19 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Log:
-    """A log, the id column of its rows (None: rows never change), whether split by day."""
+    """A log, the id column of its rows (None: rows never change), and its columns.
+
+    Every row also carries its sequence number and the day it was written, by which the
+    files are split.
+    """
 
     name: str
     key: str | None
     columns: str
-    daily: bool = False
 
     @property
     def schema(self) -> T.StructType:
-        extra = ", _seq bigint" + (", LogDate date" if self.daily else "")
-        return T.StructType.fromDDL(self.columns + extra)
+        return T.StructType.fromDDL(self.columns + ", _seq bigint, LogDate date")
 
     @property
     def fields(self) -> list[str]:
@@ -42,7 +44,6 @@ RUN = Log(
     """PipelineRunAuditId bigint, AdfPipelineRunId string, PipelineName string,
     StartedUtc timestamp_ntz, CompletedUtc timestamp_ntz, Status string, EnabledTableCount int,
     SuccessfulTableCount int, FailedTableCount int, Message string""",
-    daily=True,
 )
 ATTEMPT = Log(
     "attempt",
@@ -52,7 +53,6 @@ ATTEMPT = Log(
     SchemaApprovalStatus string, StartedUtc timestamp_ntz, CompletedUtc timestamp_ntz,
     SourceRowCount bigint, TargetRowCount bigint, RowsInserted bigint, RowsUpdated bigint,
     Status string, ErrorMessage string""",
-    daily=True,
 )
 CHECK = Log(
     "check",
@@ -60,14 +60,12 @@ CHECK = Log(
     """ReconciliationResultId bigint, TableLoadAuditId bigint, GateStage string, CheckName string,
     ExpectedValue string, ActualValue string, Result string, Details string,
     CheckedUtc timestamp_ntz""",
-    daily=True,
 )
 NOTIFICATION = Log(
     "notification",
     "NotificationAuditId",
     """NotificationAuditId bigint, AdfPipelineRunId string, ConfigId int, EventType string,
     DeliveryStatus string, Message string, CreatedUtc timestamp_ntz""",
-    daily=True,
 )
 HISTORY = Log(
     "history",
@@ -89,7 +87,6 @@ OUTBOX = Log(
     None,
     """AdfPipelineRunId string, ConfigId int, EventType string, Payload string,
     CreatedUtc timestamp_ntz""",
-    daily=True,
 )
 LOGS = [CONFIG, RUN, ATTEMPT, CHECK, NOTIFICATION, HISTORY, REQUEST, OUTBOX]
 
