@@ -101,7 +101,7 @@ SELECT CAST(o_orderkey AS BIGINT) AS TableLoadAuditId,
 FROM orders""",
     "fx_run": f"""
 SELECT CAST(min(o_orderkey) AS BIGINT) AS PipelineRunAuditId,
-       {_RUN_ID} AS AdfPipelineRunId, 'MasterMetadataDriven' AS PipelineName,
+       {_RUN_ID} AS AdfPipelineRunId, 'governed-load' AS PipelineName,
        min(o_orderdate) AS StartedUtc, max(o_orderdate) AS CompletedUtc, 'PARTIAL_SUCCESS' AS Status,
        CAST(count(*) AS INT) AS EnabledTableCount,
        CAST(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS INT) AS SuccessfulTableCount,
@@ -109,7 +109,7 @@ SELECT CAST(min(o_orderkey) AS BIGINT) AS PipelineRunAuditId,
        CAST(NULL AS STRING) AS Message
 FROM orders WHERE quarter(o_orderdate) <> 3 GROUP BY year(o_orderdate), quarter(o_orderdate)
 UNION ALL
-SELECT CAST(1000000000 + event_id AS BIGINT), concat('evt-', event_id), 'MasterMetadataDriven', ts,
+SELECT CAST(1000000000 + event_id AS BIGINT), concat('evt-', event_id), 'governed-load', ts,
        CASE WHEN event_type = 'view' THEN NULL ELSE ts + (event_id * 53 % 900000) * INTERVAL '0.001' SECOND END,
        CASE event_type WHEN 'error' THEN 'FAILURE' WHEN 'signup' THEN 'PARTIAL_SUCCESS' WHEN 'view' THEN 'RUNNING' ELSE 'SUCCESS' END,
        CAST(user_id % 9 AS INT), CAST(user_id % 5 AS INT), CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS INT),

@@ -120,8 +120,12 @@ def test_windows_split_anywhere_and_join_up(spark, kind):
     assert whole == set(range(60))
     for cut in (T0, T0 + timedelta(days=7), captured):
         first = [r.id for r in highwater.window(df, "ts", None, cut).collect()]
+        found = highwater.capture_window(df, "ts", cut)
+        assert found == (captured, 60 - len(first))
         rest = [r.id for r in highwater.window(df, "ts", cut, captured).collect()]
         assert sorted(first + rest) == list(range(60))
+    assert highwater.capture_window(df, "ts", None) == (captured, 60)
+    assert highwater.capture_window(df.limit(0), "ts", None) == (None, 0)
     assert highwater.capture(df.limit(0), "ts") is None
     assert highwater.window(df, "ts", None, None).count() == 0
 
@@ -179,7 +183,10 @@ def test_sources(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "src" / "t"))
     spark.range(4).createOrReplaceTempView("some_view")
     sources = Sources(spark, {"files": ParquetFolder(str(tmp_path))}, CatalogTables())
-    assert sources.read("src", "t", "files").count() == 3
+    frozen = sources.read("src", "t", "files")
+    spark.range(2).write.mode("append").parquet(str(tmp_path / "src" / "t"))
+    assert frozen.count() == 3  # a load sees the files there were when it began
+    assert sources.read("src", "t", "files").count() == 5
     for schema, table, reference in [("src", "absent", "files"), ("default", "absent", None)]:
         with pytest.raises(LoadError) as failure:
             sources.read(schema, table, reference)

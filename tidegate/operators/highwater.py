@@ -12,16 +12,30 @@ from tidegate.functions.clock import EPOCH, timestamp_literal
 from tidegate.operators.projection import by_name
 
 
-def capture(df: DataFrame, mark: str) -> datetime | None:
-    """Largest mark of the whole source as zone-free UTC, or None when there is none.
+def _is_zoned(df: DataFrame, mark: str) -> bool:
+    return isinstance(by_name(df.schema)[mark.lower()].dataType, T.TimestampType)
+
 
-    One single-column scan with a map-side partial max; one row reaches the driver.
+def capture_window(df: DataFrame, mark: str, last: datetime | None) -> tuple[datetime | None, int]:
+    """Largest mark of the whole source as zone-free UTC, and how many rows the window has.
+
+    The window ends at the largest mark, so its rows are those whose mark lies above ``last``:
+    both values come from one single-column scan with map-side partial results.
     """
-    top = F.max(F.col(f"`{mark}`"))
-    if isinstance(by_name(df.schema)[mark.lower()].dataType, T.TimestampType):
-        micros = df.agg(F.unix_micros(top).alias("m")).first().m
-        return None if micros is None else EPOCH + timedelta(microseconds=micros)
-    return df.agg(top.cast("timestamp_ntz").alias("m")).first().m
+    c, zoned = F.col(f"`{mark}`"), _is_zoned(df, mark)
+    inside = c.isNotNull()
+    if last is not None:
+        inside = c > timestamp_literal(last, by_name(df.schema)[mark.lower()].dataType)
+    top = F.unix_micros(F.max(c)) if zoned else F.max(c).cast("timestamp_ntz")
+    row = df.agg(top.alias("top"), F.count(F.when(inside, 1)).alias("rows")).first()
+    if zoned and row["top"] is not None:
+        return EPOCH + timedelta(microseconds=row["top"]), row["rows"]
+    return row["top"], row["rows"]
+
+
+def capture(df: DataFrame, mark: str) -> datetime | None:
+    """Largest mark of the whole source, or None when there is none."""
+    return capture_window(df, mark, None)[0]
 
 
 def window(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidegate.operators import highwater
@@ -103,10 +102,12 @@ def _load(
     marked = config["LoadType"] == v.WATERMARK
     captured, window = None, source
     if marked:
-        last = None if old is None else old.mark
-        captured = highwater.capture(source, config["WatermarkColumn"])
-        window = highwater.window(source, config["WatermarkColumn"], last, captured)
-    source_rows, stage = _stage(store, window, config, attempt, old, empty=marked and captured is None)
+        column, last = config["WatermarkColumn"], None if old is None else old.mark
+        captured, source_rows = highwater.capture_window(source, column, last)
+        window = highwater.window(source, column, last, captured)
+    else:
+        source_rows = source.count()
+    stage = _stage(store, window, config, attempt, old)
     _gate1(attempt, source_rows, stage)
 
     if not marked:
@@ -126,45 +127,27 @@ def _load(
 
 
 def _stage(
-    store: StateStore,
-    window: DataFrame,
-    config: dict,
-    attempt: Attempt,
-    old: Snapshot | None,
-    empty: bool,
-) -> tuple[int, Staged]:
+    store: StateStore, window: DataFrame, config: dict, attempt: Attempt, old: Snapshot | None
+) -> Staged:
     """Write the window's approved columns once; every later step reads these files.
 
-    The window is counted while it is written, so the source is scanned once. Columns the
-    curated table already has keep its types: values are converted or the load fails.
+    Columns the curated table already has keep its types: values are converted or the load
+    fails.
     """
     have = by_name(window.schema)
     pinned = by_name(old.schema) if old is not None else {}
     fields = []
     for name in config["ApprovedColumnList"]:
         field = pinned.get(name.lower(), have[name.lower()])
-        fields.append(T.StructField(field.name, field.dataType, True, field.metadata))
+        fields.append(T.StructField(field.name, field.dataType, True))
     schema = T.StructType(fields)
     path = f"staging/config={config['ConfigId']}/load={attempt.id}"
-    counted = Observation()
-    rows = window if empty else window.observe(counted, F.count(F.lit(1)).alias("rows"))
-    align(rows, schema).write.mode("overwrite").parquet(store.path(path))
-    source_rows = 0 if empty else counted.get["rows"]
+    align(window, schema).write.mode("overwrite").parquet(store.path(path))
     frame = store.spark.read.schema(schema).parquet(store.path(path))
     key = by_name(schema)[config["PrimaryKeyColumn"].lower()].name
     p = key_profile(frame, key).first()
-    staged = Staged(
-        config["ConfigId"],
-        path,
-        frame,
-        schema,
-        key,
-        p["rows"],
-        p["duplicate_keys"],
-        p["null_keys"],
-        p["key_bytes"],
-    )
-    return source_rows, staged
+    counts = (p["rows"], p["duplicate_keys"], p["null_keys"], p["key_bytes"])
+    return Staged(config["ConfigId"], path, frame, schema, key, *counts)
 
 
 # --- gates ------------------------------------------------------------------------

@@ -95,7 +95,7 @@ def run_pipeline(
     snapshots: Snapshots,
     sources: Sources,
     run_id: str,
-    name: str = "MasterMetadataDriven",
+    name: str = "governed-load",
     parallel: int = 2,
     sleep: Callable[[float], None] = time.sleep,
     full_check: bool = False,
