@@ -12,6 +12,8 @@ from tidegate.plans import rfc
 from tidegate.plans.load import load_table
 from tidegate.plans.run import finalize_run, start_run
 from tidegate.state import tables
+from tidegate.state.snapshots import Snapshots
+from tidegate.state.store import StateStore
 from tidegate.state.vocabulary import LoadError
 
 
@@ -237,3 +239,31 @@ def test_names_match_without_case(spark, tmp_path):
 def test_configurations_are_added_once(world):
     world.store.add_configs(CONFIGS)
     assert [c["SourceTable"] for c in world.log(tables.CONFIG)] == [AGP, CSD, STG]
+
+
+class Crash(BaseException):
+    """The driver dies: nothing after this point runs."""
+
+
+def test_a_driver_lost_before_the_commit(world, monkeypatch):
+    load(world, AGP_ID, "r1")
+    agp = world.tables[AGP]
+    agp.rows[0]["LastModifiedUtc"] = datetime(2026, 9, 20)
+    before, table = world.snapshots.newest(AGP_ID), world.rows(AGP_ID, "*")
+
+    def lost(*args):
+        raise Crash
+
+    monkeypatch.setattr(world.snapshots, "commit", lost)
+    start_run(world.store, "r2", "n")
+    with pytest.raises(Crash):
+        load(world, AGP_ID, "r2")
+    # a new driver finds the table as it was and an attempt without an outcome
+    world.store = StateStore(world.spark, world.store.root, world.tick)
+    world.snapshots = Snapshots(world.store)
+    assert world.snapshots.newest(AGP_ID) == before and world.rows(AGP_ID, "*") == table
+    assert world.attempts("r2")[0]["Status"] == "RUNNING"
+    assert finalize_run(world.store, "r2")[1] == "0 table(s) succeeded; 0 table(s) failed."
+    load(world, AGP_ID, "r3")
+    assert [a["SourceRowCount"] for a in world.attempts("r3")] == [1]
+    assert world.snapshots.newest(AGP_ID).mark == datetime(2026, 9, 20)

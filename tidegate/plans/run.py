@@ -82,7 +82,7 @@ def fill_outbox(store: StateStore, run_id: str, since: datetime | None = None) -
     now = store.clock()
     selected = alerts.alerts(
         # notifications never change, so their versions need no grouping
-        store.read(tables.NOTIFICATION).filter(_own(run_id)),
+        store.read(tables.NOTIFICATION, _own(run_id), since),
         store.current(tables.REQUEST),
         store.current(tables.ATTEMPT, _own(run_id), since),
     )

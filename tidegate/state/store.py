@@ -109,30 +109,32 @@ class StateStore:
         with ThreadPoolExecutor(max_workers=len(rows)) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(self.append), rows, rows.values()))
 
-    def read(self, log: Log) -> DataFrame:
-        """All versions of all rows."""
-        return self.spark.read.schema(log.schema).parquet(self.path("log", log.name))
+    def read(
+        self, log: Log, where: Column | None = None, since: datetime | None = None
+    ) -> DataFrame:
+        """All versions of all rows, or of some; days before ``since`` are pruned."""
+        versions = self.spark.read.schema(log.schema).parquet(self.path("log", log.name))
+        if where is not None:
+            versions = versions.filter(where)
+        if since is not None:
+            versions = versions.filter(F.col("LogDate") >= timestamp_literal(since).cast("date"))
+        return versions
 
     def current(
         self, log: Log, where: Column | None = None, since: datetime | None = None
     ) -> DataFrame:
         """The newest version of each row.
 
-        ``where`` must hold for all versions of a row or none; it and ``since`` (days before
-        it are skipped) apply at the scan, before versions are grouped.
+        ``where`` must hold for all versions of a row or none; it and ``since`` apply at the
+        scan, before versions are grouped.
         """
-        versions = self.read(log)
-        if where is not None:
-            versions = versions.filter(where)
-        if since is not None:
-            versions = versions.filter(F.col("LogDate") >= timestamp_literal(since).cast("date"))
         newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
-        return versions.groupBy(log.key).agg(newest).select("row.*")
+        return self.read(log, where, since).groupBy(log.key).agg(newest).select("row.*")
 
     def latest_row(self, log: Log, where: Column) -> dict | None:
         """The newest version of the one row ``where`` names."""
         newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
-        row: Row | None = self.read(log).filter(where).agg(newest).first()["row"]
+        row: Row | None = self.read(log, where).agg(newest).first()["row"]
         return None if row is None else row.asDict()
 
     def compact(self, log: Log, through: date) -> None:
