@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +29,7 @@ from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
 from tidegate.sources import Frames, Sources
 from tidegate.state import tables as logs
+from tidegate.state.shared import shared_root
 from tidegate.state.snapshots import Snapshots
 from tidegate.state.store import StateStore
 from tidegate.state.vocabulary import LoadError
@@ -494,16 +493,6 @@ def evidence_schema_requests(t: Inputs) -> DataFrame:
 # --- governed loads with real state -----------------------------------------------
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared one; a local one only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="run-")
-    return f"{root.rstrip('/')}/{uuid4().hex}"
-
-
 GOVERNED = [
     {
         "SourceTable": "events",
@@ -545,7 +534,7 @@ def _governed(t: Inputs, published_only: bool) -> Sources:
 @query
 def governed_run_audit(t: Inputs) -> DataFrame:
     """Two runs over three tables; lineitem repeats its key, so gate 1 stops it each time."""
-    store = StateStore(t.spark, _shared_folder(t.spark))
+    store = StateStore(t.spark, shared_root(t.spark))
     snapshots = Snapshots(store)
     store.add_configs(GOVERNED)
     for run_id, published_only in (("run-1", True), ("run-2", False)):
@@ -574,7 +563,7 @@ def governed_run_audit(t: Inputs) -> DataFrame:
 @query
 def governed_load_curated(t: Inputs) -> DataFrame:
     """The curated event table after a first load and a delta."""
-    store = StateStore(t.spark, _shared_folder(t.spark))
+    store = StateStore(t.spark, shared_root(t.spark))
     snapshots = Snapshots(store)
     store.add_configs(GOVERNED[:1])
     load_table(store, snapshots, _governed(t, True), 1, "run-1")
