@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import quality_rules, url_filters
+from tidegate.llm import quality_rules, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT ({_RULES["few_words"]} OR {_RULES["repeats"]}) AND m.source IS NOT DISTINCT FROM NULL
        OR NOT ({_RULES["few_words"]} OR {_RULES["repeats"]}) AND m.source NOT IN (SELECT source FROM blocked) AS kept
 FROM measured m"""
+
+
+# --- SimHash near-duplicates ------------------------------------------------------
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return near.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
