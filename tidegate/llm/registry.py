@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import quality_rules, simhash, url_filters
+from tidegate.llm import packing, quality_rules, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +139,16 @@ FROM measured m"""
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return near.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# --- packing ----------------------------------------------------------------------
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary file lies; every executor has the same installation."""
+    return public_tokenizers.path(name)
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
