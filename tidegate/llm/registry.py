@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import packing, quality_rules, simhash, url_filters
+from tidegate.llm import langid, packing, quality_rules, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+# --- language identification ------------------------------------------------------
+
+
+def remainder(id_col: str, parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``: which fold a row belongs to."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, remainder("doc_id", 4) != 2)
+    predicted = langid.predict(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
