@@ -79,17 +79,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, stop, 64-bit hash) of every run of letters, case folded for A-Z."""
+def words(data: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, 64-bit hashes, valid) of every run of letters, case folded for A-Z.
+
+    Hashes has a column for the whole word and one for each prefix length in bytes; valid tells
+    which words are longer than the prefix.
+    """
     letter = np.concatenate(([False], LETTER[data], [False]))
     edges = np.flatnonzero(letter[1:] != letter[:-1])
     start, stop = edges[::2], edges[1::2]
-    size = 1 << max(12, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(1 << max(12, int(len(data)).bit_length()))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((FOLDED[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)))
-    mark = (total[stop] - total[start]) * down[start]
+    ends = np.stack([stop, *[np.minimum(start + k, stop) for k in prefixes]], 1)
+    valid = np.stack([np.ones(len(start), bool), *[start + k < stop for k in prefixes]], 1)
+    mark = (total[ends] - total[start][:, None]) * down[start][:, None] + np.arange(len(prefixes) + 1, dtype=np.uint64)
     mark = (mark ^ (mark >> np.uint64(29))) * MIX
-    return start, stop, mark ^ (mark >> np.uint64(32))
+    return start, stop, mark ^ (mark >> np.uint64(32)), valid
 
 
 def sample_share(rows: int, wanted: int) -> float:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import langid, packing, quality_rules, simhash, url_filters
+from tidegate.llm import langid, packing, quality_rules, simhash, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = langid.predict(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+# --- toxicity ---------------------------------------------------------------------
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
