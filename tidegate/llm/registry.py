@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import langid, packing, quality_rules, simhash, toxicity, url_filters
+from tidegate.llm import langid, packing, quality, quality_rules, simhash, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,3 +181,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
+
+
+# --- quality classifier -----------------------------------------------------------
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs.select("doc_id", "text"), quality.train(docs)).select("doc_id", "quality", "kept")
