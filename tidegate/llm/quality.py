@@ -17,6 +17,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -240,12 +241,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
                 )
 
     chosen = marked.filter(F.col("doc_id").isNotNull() & (place < share)).select("_pattern", "_text").limit(2 * max_rows)
-    found = chosen.mapInArrow(run, "pattern int, buckets array<int>, shares array<float>").collect()
-    found.sort(key=lambda r: (r["pattern"], r["buckets"], r["shares"]))
-    x = np.zeros((len(found), 1 << BITS), np.float32)
-    for row, r in zip(x, found):
-        row[r["buckets"]] = r["shares"]
-    y = np.array([table[r["pattern"]] for r in found])
+    found = chosen.mapInArrow(run, "pattern int, buckets array<int>, shares array<float>").toArrow()
+    rows = [(p.as_py(), i.values.to_numpy(), v.values.to_numpy()) for p, i, v in zip(*found.columns)]
+    rows.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))  # whatever order they arrive in
+    x = np.zeros((len(rows), 1 << BITS), np.float32)
+    for row, (_, index, values) in zip(x, rows):
+        row[index] = values
+    y = np.array([table[r[0]] for r in rows])
     used = np.flatnonzero((x > 0).any(axis=0))
     weights = np.zeros(1 << BITS, np.float32)
     stands = np.where(y < 0.5, 1 / shares[BAD], 1 / shares[GOOD])
