@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import langid, packing, quality, quality_rules, simhash, toxicity, url_filters
+from tidegate.llm import decontamination, langid, packing, quality, quality_rules, simhash, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -190,3 +190,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs.select("doc_id", "text"), quality.train(docs)).select("doc_id", "quality", "kept")
+
+
+# --- benchmark decontamination ----------------------------------------------------
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every benchmark item found in a document."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
