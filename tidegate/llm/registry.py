@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, decontamination, langid, packing, quality, quality_rules, simhash, toxicity, url_filters
+from tidegate.llm import chat, decontamination, langid, packing, quality, quality_rules, simhash, toxicity, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -228,3 +228,34 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+# --- WARC -------------------------------------------------------------------------
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captures in the order of the merged index."""
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"), least_bytes=0)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_ALPHABET}', CAST((('0x' || substr(hex, {5 * k + 1}, 5))::INT >> {15 - 5 * j}) & 31 AS INT) + 1, 1)"
+    for k in range(8)
+    for j in range(4)
+)
+ORACLES["op6_warc"] = rf"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex,
+         regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1) AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*(.*)$', 1, 's') AS tail,
+         min(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS first_id
+  FROM pages)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+       array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || tail AS url_key,
+       strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS captured
+FROM p"""
