@@ -21,6 +21,7 @@ like any others; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 CAPACITY = 2048
 END = 1
@@ -95,88 +96,128 @@ def powers_of_two(total: int) -> list[int]:
 # --- token ids --------------------------------------------------------------------
 
 
+class _Index(dict):
+    """Word -> number; an unknown word gets the next number and is noted in ``new``."""
+
+    def __init__(self, words: list[str] = ()):
+        super().__init__(zip(words, range(len(words))))
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+TWO_MARKS = re.compile(r"[^\w\s][^\w\s]")
+
+
 class WordIds:
-    """Token ids of texts, by blank-separated words, with a cache of at most ``limit`` words.
+    """Token ids of texts, by blank-separated words, with a cache of about ``limit`` words.
 
-    Holds for tokenizers that drop white space and never look across it. Only the ASCII blank, tab
-    and line feed separate words here; every other white space stays inside a word and is left to
-    the tokenizer. A text that may hold a special token's string is encoded as a whole.
+    Holds for tokenizers that drop white space, fold case, and take letters, digits and runs of
+    marks apart. Only the ASCII blank, tab and line feed separate words here; every other white
+    space stays inside a word and is left to the tokenizer. Where no two marks stand together, full
+    stops and commas become words of their own; texts of Latin-1 letters are folded beforehand. A
+    text that may hold a special token's string is encoded as a whole.
     """
 
     def __init__(self, path: str, limit: int = 1 << 18):
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.plain, self.limit = Tokenizer.from_file(path), Tokenizer.from_file(path), limit
+        # folded words of letters need none of the patterns of the full pipeline
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 8, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.starts, self.sizes, self.uses = (np.zeros(1 << 17, np.int64) for _ in range(3))
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> list[list[int]]:
+        tokenizer = self.plain if plain else self.tokenizer
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _store(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        base, need = len(self.index), self.used + len(flat)
-        while need > len(self.flat):
+    def _store(self, numbers: list[int], flat: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
-        while base + len(words) > len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-        self.flat[self.used : need] = flat
-        self.sizes[base : base + len(words)] = sizes
-        self.starts[base : base + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.used = need
-        self.index.update(zip(words, range(base, base + len(words))))
-
-    def _learn(self, words: set[str]) -> None:
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.sizes[numbers] = sizes
+        self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(flat)
+
+    def _learn(self, folded: bool) -> None:
         """Letters, and letters with a run of marks behind, go through many at a time.
 
         Such a word has at least one or two pre-tokens, and the last token of each is an
         end-of-word token; so if a run of words has as many in all as expected, each word has.
         """
-        plain, expected, other = [], [], []
-        for word in words:
-            stem = word.rstrip(MARKS)
-            if stem.isalpha():
-                plain.append(word)
-                expected.append(1 + (len(stem) < len(word)))
+        new, self.index.new = self.index.new, []
+        base = len(self.index) - len(new)
+        while len(self.index) > len(self.starts):
+            self.starts, self.sizes, self.uses = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes, self.uses))
+        numbers, texts, expected, other = [], [], [], []
+        for number, word in enumerate(new, base):
+            if word.isalpha():
+                numbers.append(number)
+                texts.append(word)
+                expected.append(1)
+            elif (stem := word.rstrip(MARKS)).isalpha():
+                numbers.append(number)
+                texts.append(f"{stem} {word[len(stem) :]}")
+                expected.append(2)
             else:
-                other.append(word)
-        for at in range(0, len(plain), 256):
-            run, parts = plain[at : at + 256], np.cumsum(expected[at : at + 256])
-            ids = np.array(self._encode([" ".join(run)])[0], np.uint32)
+                other.append(number)
+        for at in range(0, len(numbers), 256):
+            run, parts = numbers[at : at + 256], np.cumsum(expected[at : at + 256])
+            ids = np.array(self._encode([" ".join(texts[at : at + 256])], plain=folded)[0], np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == parts[-1] and stops[-1] == len(ids):
                 self._store(run, ids, np.diff(stops[parts - 1], prepend=0))
             else:  # letters that fall apart when normalised
                 other += run
         if other:
-            ids = self._encode(other)
+            ids = self._encode([new[k - base] for k in other])
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             self._store(other, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes)
 
+    def _forget(self) -> None:
+        """Keep the words that came up again, unless these are too many as well."""
+        kept = np.flatnonzero(self.uses[: len(self.index)] > 2)
+        kept = kept if len(kept) <= self.limit // 2 else kept[:0]
+        words = list(self.index)
+        sizes = self.sizes[kept]
+        flat = self._gather(kept)
+        self.index, self.used, self.uses = _Index([words[k] for k in kept]), 0, np.zeros_like(self.uses)
+        self._store(list(range(len(kept))), flat, sizes)
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[numbers]
+        shift = np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))]
+
     def ids(self, text: str) -> np.ndarray:
         lowered = text.lower()
         if any(token in lowered for token in self.special):
             return np.array(self._encode([text])[0], np.uint32)
-        if text.isascii():
+        folded = text.isascii() or max(text) < "\u0100"  # Latin-1: one lower case, nothing to compose
+        if folded:
             text = lowered
+        if not TWO_MARKS.search(text):
+            text = text.replace(",", " ,").replace(".", " .")
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new = set(words).difference(self.index)
-        if new:
-            if len(self.index) + len(new) > self.limit:
-                self.clear()
-                new = set(words)
-            self._learn(new)
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[at]
-        shift = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(len(shift))]
+        if self.index.new:
+            self._learn(folded)
+        self.uses[at] += 1
+        ids = self._gather(at)
+        if len(self.index) > self.limit:
+            self._forget()
+        return ids
 
 
 _LOADED: dict[str, WordIds] = {}
