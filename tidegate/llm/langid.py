@@ -19,6 +19,7 @@ repeated rows are predicted alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,23 +61,21 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[np.ndarray] = [np.zeros(1 << BITS, np.int64) for _ in range(batch.num_rows)]
-            for block in hashing.blocks(batch.column(1)):
-                codes = _buckets(block)
-                for k, lo, hi in zip(block.docs, block.starts - 1, block.stops):
-                    for code in codes:
-                        found[k] += np.bincount(code[lo:hi], minlength=1 << BITS)
-            index = [np.flatnonzero(x).astype(np.int32) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(index, pa.list_(pa.int32())),
-                    pa.array([x[i].astype(np.int32) for x, i in zip(found, index)], pa.list_(pa.int32())),
-                ],
-                ["lang", "buckets", "counts"],
-            )
+            for at in range(0, batch.num_rows, 64):  # dense counts only for a few texts at once
+                part = batch.slice(at, 64)
+                found = np.zeros((part.num_rows, 1 << BITS), np.int32)
+                for block in hashing.blocks(part.column(1)):
+                    codes = _buckets(block)
+                    for k, lo, hi in zip(block.docs, block.starts - 1, block.stops):
+                        for code in codes:
+                            found[k] += np.bincount(code[lo:hi], minlength=1 << BITS).astype(np.int32)
+                index = [np.flatnonzero(x).astype(np.int32) for x in found]
+                counts = [x[i] for x, i in zip(found, index)]
+                lists = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(index, lists), pa.array(counts, lists)], ["lang", "buckets", "counts"]
+                )
 
-    # a small batch keeps the dense counts of its texts small
     return docs.select("lang", _lowered(F.col("text")).alias("text")).mapInArrow(
         run, "lang string, buckets array<int>, counts array<int>"
     )
@@ -87,7 +86,7 @@ def fit(
     rows: list[tuple[np.ndarray, np.ndarray]],
     n_languages: int,
     dim: int = 16,
-    epochs: int = 8,
+    steps: int = 300,
     batch: int = 64,
     rate: float = 1.0,
     seed: int = 7,
@@ -97,12 +96,11 @@ def fit(
     table = rng.normal(0, 1 / dim, (1 << BITS, dim)).astype(np.float32)
     heads = rng.normal(0, 0.1, (dim, n_languages)).astype(np.float32)
     bias = np.zeros(n_languages, np.float32)
-    steps = epochs * -(-len(rows) // batch)
     step = 0
-    for _ in range(epochs):
+    while step < steps:  # as many steps for a small sample as for a full one
         order = rng.permutation(len(rows))
         for at in range(0, len(order), batch):
-            now = rate * (1 - step / steps)
+            now = rate * max(0.0, 1 - step / steps)
             step += 1
             picked = order[at : at + batch]
             index = np.concatenate([rows[k][0] for k in picked])
@@ -132,7 +130,12 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, reject_share: float) -> tu
     if not len(labels):
         return 1.0, 0.0
     choices = np.exp(np.linspace(np.log(0.05), np.log(20), 60))
-    loss = [-np.log(_softmax(logits / t)[np.arange(len(labels)), labels] + 1e-12).mean() for t in choices]
+    doubt = 1 / (len(labels) + 2)  # as in Platt scaling: a few right answers do not prove certainty
+    loss = []
+    for t in choices:
+        logs = np.log(_softmax(logits / t) + 1e-12)
+        own = logs[np.arange(len(labels)), labels]
+        loss.append(-((1 - doubt) * own + doubt * (logs.sum(axis=1) - own) / max(1, logs.shape[1] - 1)).mean())
     temperature = float(choices[int(np.argmin(loss))])
     scores = _softmax(logits / temperature)
     right = np.sort(scores.max(axis=1)[scores.argmax(axis=1) == labels])
@@ -162,16 +165,15 @@ def train(
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(hashing.sample_share(n, each)))])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     chosen = picked.filter((F.col("text") != "") & (place < F.coalesce(share[F.col("lang")], F.lit(0.0))))
-    found = bucket_counts(chosen.limit(2 * max_rows)).collect()
-    if not found:
+    found = bucket_counts(chosen.limit(2 * max_rows)).toArrow()
+    if not found.num_rows:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    found.sort(key=lambda r: (r["lang"], r["buckets"], r["counts"]))  # the same model, whatever order rows arrive in
-    languages = sorted({r["lang"] for r in found})
-    labels = np.array([languages.index(r["lang"]) for r in found])
-    rows = []
-    for r in found:
-        count = np.array(r["counts"], np.float32)
-        rows.append((np.array(r["buckets"], np.int64), count / count.sum()))
+    rows = [(lang.as_py(), *(x.values.to_numpy() for x in pair)) for lang, *pair in zip(*found.columns)]
+    # the same model, whatever order rows arrive in
+    rows.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))
+    languages = sorted({r[0] for r in rows})
+    labels = np.array([languages.index(r[0]) for r in rows])
+    rows = [(index.astype(np.int64), (count / count.sum()).astype(np.float32)) for _, index, count in rows]
     held = np.arange(len(rows)) % 5 == 0 if len(rows) >= 20 else np.zeros(len(rows), bool)
     weights, bias = fit(labels[~held], [rows[k] for k in np.flatnonzero(~held)], len(languages))
     logits = np.array([share @ weights[index] + bias for index, share in (rows[k] for k in np.flatnonzero(held))])
