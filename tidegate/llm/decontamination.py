@@ -97,10 +97,12 @@ def candidates(chars: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.
     codes = _codes(chars)
     none = (np.empty(0, np.int64),) * 3
     at = np.flatnonzero(index.hit[(codes * MIX) >> np.uint64(64 - index.bits)])
-    if not len(at) or not len(index.grams):
+    if not len(at):
         return none
     found = np.minimum(np.searchsorted(index.grams, codes[at]), len(index.grams) - 1)
     same = index.grams[found] == codes[at]
+    if not same.any():
+        return none
     at, found = at[same], found[same]
     copies = index.first[found + 1] - index.first[found]
     where = np.repeat(index.first[found] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())

@@ -145,7 +145,7 @@ def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), steps: int = 200,
     stands = np.array(weight)[toxic]
     share = float((stands * toxic).sum() / stands.sum()) if n else 0.0
     if share in (0.0, 1.0):
-        return Model(np.zeros(1 << BITS, np.float32), -30.0, share)
+        return Model(np.zeros(1 << BITS, np.float32), -40.0, share)
     used = screen(bags)
     number = np.full(1 << BITS, -1)
     number[used] = np.arange(len(used))
@@ -153,7 +153,7 @@ def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), steps: int = 200,
     sentences, sentence = np.unique(bags.sentence[known >= 0], return_inverse=True)
     known = known[known >= 0]
     if not len(known):
-        return Model(np.zeros(1 << BITS, np.float32), -30.0, share)
+        return Model(np.zeros(1 << BITS, np.float32), -40.0, share)
     owner = bags.text[sentences]
     plain = np.bincount(bags.text, minlength=n) - np.bincount(owner, minlength=n)  # sentences without a known feature
     stands = stands / stands.sum()
