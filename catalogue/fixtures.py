@@ -29,6 +29,10 @@ TABLES = [
 ]
 
 _MIDNIGHT = "TIMESTAMP '2024-01-01 00:00:00'"
+# parts as schema requests, in turn for every configuration; a configuration's first may be open
+_PARTS = """(
+  SELECT *, p_partkey < configs AND p_size % 3 = 0 AS is_open
+  FROM (SELECT *, (SELECT count(*) FROM customer) AS configs FROM part) c) p"""
 _RUN_ID = "concat('run-', year(o_orderdate) * 100 + quarter(o_orderdate))"
 
 VIEWS = {
@@ -55,36 +59,41 @@ SELECT CAST(c_custkey AS INT) AS ConfigId, s.side,
 FROM customer @columns@
 WHERE s.name <> 'x' OR c_custkey % 5 = 1""",
     "fx_request": f"""
-SELECT CAST(p_partkey AS BIGINT) AS SchemaChangeRequestId, CAST(p_partkey % 300 AS INT) AS ConfigId,
+SELECT CAST(p_partkey AS BIGINT) AS SchemaChangeRequestId, CAST(p_partkey % configs AS INT) AS ConfigId,
        concat('H', p_size % 6) AS DetectedSchemaHash,
        CASE WHEN p_size % 2 = 0 THEN 'OLD_PROJECTION_SAFE' ELSE 'BREAKING' END AS Compatibility,
-       CASE WHEN p_partkey < 300 AND p_size % 3 = 0 THEN 'PENDING' WHEN p_size % 3 = 1 THEN 'APPROVED' ELSE 'REJECTED' END AS Status,
+       CASE WHEN is_open THEN 'PENDING' WHEN p_size % 3 = 1 THEN 'APPROVED' ELSE 'REJECTED' END AS Status,
        'Source schema differs from the last approved version.' AS ChangeSummary,
        {_MIDNIGHT} + (p_partkey % 86400) * INTERVAL '1' SECOND AS DetectedUtc,
-       CASE WHEN p_partkey < 300 AND p_size % 3 = 0 THEN NULL ELSE p_brand END AS DecisionBy,
-       CASE WHEN p_partkey < 300 AND p_size % 3 = 0 THEN NULL
-            ELSE {_MIDNIGHT} + (p_partkey % 86400 + 60) * INTERVAL '1' SECOND END AS DecisionUtc,
+       CASE WHEN is_open THEN NULL ELSE p_brand END AS DecisionBy,
+       CASE WHEN is_open THEN NULL ELSE {_MIDNIGHT} + (p_partkey % 86400 + 60) * INTERVAL '1' SECOND END AS DecisionUtc,
        CASE WHEN p_size % 3 = 1 THEN p_type ELSE NULL END AS DecisionNotes
-FROM part""",
-    "fx_decision": """
-SELECT CAST(p_partkey AS BIGINT) AS SchemaChangeRequestId,
-       CASE WHEN p_partkey % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END AS Decision, p_brand AS DecisionBy
-FROM part WHERE p_partkey < 300 AND p_size % 3 = 0""",
-    # one decision per part, some with an unknown verdict, some for unknown requests
-    "fx_attempted_decision": """
-SELECT CAST(CASE WHEN p_size > 45 THEN p_partkey + 1000000000 ELSE p_partkey END AS BIGINT) AS SchemaChangeRequestId,
+FROM {_PARTS}""",
+    # a decision on every open request, some unknown; on some requests a second, contrary one
+    "fx_decision": f"""
+SELECT CAST(2 * p_partkey AS BIGINT) AS DecisionId, CAST(p_partkey AS BIGINT) AS SchemaChangeRequestId,
+       CASE WHEN p_partkey % 14 = 0 THEN 'MAYBE' WHEN p_partkey % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END AS Decision, p_brand AS DecisionBy
+FROM {_PARTS} WHERE is_open
+UNION ALL
+SELECT CAST(2 * p_partkey + 1 AS BIGINT), CAST(p_partkey AS BIGINT), CASE WHEN p_partkey % 2 = 0 THEN 'REJECTED' ELSE 'APPROVED' END, p_type
+FROM {_PARTS} WHERE is_open AND p_partkey % 7 = 0""",
+    # decisions by every part: unknown verdicts, unknown requests, closed requests, repeats
+    "fx_attempted_decision": f"""
+SELECT CAST(p_partkey AS BIGINT) AS DecisionId, CAST(CASE WHEN p_size > 45 THEN p_partkey + 1000000000 ELSE p_partkey END AS BIGINT) AS SchemaChangeRequestId,
        CASE WHEN p_size < 5 THEN 'MAYBE' WHEN p_partkey % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END AS Decision,
        p_brand AS DecisionBy
-FROM part""",
+FROM part
+UNION ALL
+SELECT CAST(1000000000 + p_partkey AS BIGINT), CAST(p_partkey AS BIGINT), 'APPROVED', p_type FROM part WHERE p_partkey % 5 = 0""",
     "fx_history": f"""
-SELECT CAST(p_partkey AS BIGINT) AS SchemaHistoryId, CAST(p_partkey % 300 AS INT) AS ConfigId,
-       CAST(1 + floor(p_partkey / 300) AS INT) AS SchemaVersion, concat('H', p_size % 6) AS SchemaHash,
+SELECT CAST(p_partkey AS BIGINT) AS SchemaHistoryId, CAST(p_partkey % configs AS INT) AS ConfigId,
+       CAST(1 + floor(p_partkey / configs) AS INT) AS SchemaVersion, concat('H', p_size % 6) AS SchemaHash,
        '[k],[a],[b],[m]' AS ColumnList, 'APPROVED' AS ApprovalStatus, p_brand AS ApprovedBy,
        {_MIDNIGHT} + (p_partkey % 86400) * INTERVAL '1' SECOND AS ApprovedUtc
-FROM part""",
+FROM {_PARTS}""",
     "fx_attempt": f"""
 SELECT CAST(o_orderkey AS BIGINT) AS TableLoadAuditId,
-       {_RUN_ID} AS AdfPipelineRunId,
+       CASE WHEN o_orderkey % 37 = 0 THEN concat('lost-', o_orderkey % 5) ELSE {_RUN_ID} END AS AdfPipelineRunId,
        CAST(o_custkey AS INT) AS ConfigId, concat('[src].[T_', o_custkey, ']') AS SourceObject,
        concat('[curated].[T_', o_custkey, ']') AS TargetObject,
        CASE WHEN o_custkey % 2 = 0 THEN 'FULL' ELSE 'WATERMARK' END AS LoadType,
@@ -107,7 +116,7 @@ SELECT CAST(min(o_orderkey) AS BIGINT) AS PipelineRunAuditId,
        CAST(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS INT) AS SuccessfulTableCount,
        CAST(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS INT) AS FailedTableCount,
        CAST(NULL AS STRING) AS Message
-FROM orders WHERE quarter(o_orderdate) <> 3 GROUP BY year(o_orderdate), quarter(o_orderdate)
+FROM orders GROUP BY year(o_orderdate), quarter(o_orderdate)
 UNION ALL
 SELECT CAST(1000000000 + event_id AS BIGINT), concat('evt-', event_id), 'governed-load', ts,
        CASE WHEN event_type = 'view' THEN NULL ELSE ts + (event_id * 53 % 900000) * INTERVAL '0.001' SECOND END,

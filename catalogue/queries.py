@@ -58,11 +58,13 @@ def enabled_config_lookup(t: Inputs) -> DataFrame:
 
 @query
 def highwater_capture(t: Inputs) -> DataFrame:
+    """The captured mark of each source, and the rows of the first window up to it."""
     marks = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    captured = {name: highwater.capture(t[name], mark) for name, mark in marks.items()}
     parts = [
-        t[name].agg(
+        highwater.window(t[name], mark, None, captured[name]).agg(
             F.lit(name).alias("source"),
-            F.max(mark).alias("captured"),
+            timestamp_literal(captured[name]).alias("captured"),
             F.count("*").alias("source_rows"),
         )
         for name, mark in marks.items()
@@ -185,8 +187,8 @@ def _changed_customers(t: Inputs) -> DataFrame:
 
 @query
 def merge_upsert(t: Inputs) -> DataFrame:
-    changed = publish.require_unique_key(_changed_customers(t), "c_custkey")
-    return publish.merge(t["customer"], changed, "c_custkey")
+    target = t["customer"].withColumn("c_note", F.concat(F.lit("n"), "c_nationkey"))
+    return publish.merge(target, _changed_customers(t), "c_custkey")
 
 
 @query

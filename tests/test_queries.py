@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from catalogue.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result = entry_points.queries()[name](spark, SF_DIR)
     sql = entry_points.oracle_sql()[name]

@@ -29,7 +29,7 @@ def staged(store, name, rows):
 def test_deltas_equal_a_dictionary(spark, tmp_path, broadcast_key_bytes):
     rng = random.Random(7)
     store = StateStore(spark, str(tmp_path), lambda: NOW)
-    layout = Layout(rows_per_bucket=40, max_buckets=32, broadcast_key_bytes=broadcast_key_bytes)
+    layout = Layout(rows_per_bucket=40, broadcast_key_bytes=broadcast_key_bytes)
     snapshots, expected = Snapshots(store, layout), {}
     buckets = []
     for step, (size, span) in enumerate([(120, 200), (3, 200), (150, 900), (2, 900), (0, 1)]):
@@ -50,7 +50,8 @@ def test_deltas_equal_a_dictionary(spark, tmp_path, broadcast_key_bytes):
         newest = snapshots.newest(1)
         # counts kept per folder agree with a recount of every key
         assert newest.total("rows") == len(expected)
-        assert snapshots.recheck(newest) == newest
+        profile = key_profile(table, "k").first()
+        assert all(newest.total(m) == profile[m] for m in ("rows", "duplicate_keys", "null_keys"))
         buckets.append(newest.buckets)
         if step == 1:  # a delta of three keys leaves most folders where they were
             kept = {p.path for p in old.parts} & {p.path for p in newest.parts}

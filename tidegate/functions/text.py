@@ -10,6 +10,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def quoted(name: str) -> str:
+    """A column or table name as one identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quotename(name: Column | str) -> Column:
     """``[name]`` with every closing bracket doubled; NULL stays NULL."""
     return F.concat(F.lit("["), F.replace(_col(name), F.lit("]"), F.lit("]]")), F.lit("]"))

@@ -61,16 +61,34 @@ def new_requests(changes: DataFrame, missing: DataFrame) -> DataFrame:
     )
 
 
+def _valid(decisions: DataFrame) -> DataFrame:
+    return decisions.filter(F.col("Decision").isin(v.APPROVED, v.REJECTED))
+
+
+def _first(decisions: DataFrame) -> DataFrame:
+    """The first valid decision of every request, by DecisionId."""
+    return (
+        _valid(decisions)
+        .groupBy("SchemaChangeRequestId")
+        .agg(F.min("DecisionId").alias("_first"))
+    )
+
+
 def decision_errors(requests: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Decisions that may not be applied, with the code the single form would raise."""
+    """Decisions that may not be applied, with the code the single form would raise.
+
+    ``DecisionId`` tells their order: the first valid decision closes a pending request, so
+    every later one meets a request that is no longer pending.
+    """
     status = requests.select("SchemaChangeRequestId", F.col("Status").alias("_status"))
     code = (
         F.when(~F.col("Decision").isin(v.APPROVED, v.REJECTED) | F.col("Decision").isNull(), 50001)
         .when(F.col("_status").isNull(), 50002)
-        .when(F.col("_status") != v.PENDING, 50003)
+        .when((F.col("_status") != v.PENDING) | (F.col("DecisionId") > F.col("_first")), 50003)
     )
     return (
         decisions.join(status, "SchemaChangeRequestId", "left")
+        .join(_first(decisions), "SchemaChangeRequestId", "left")
         .withColumn("ErrorCode", code)
         .filter(F.col("ErrorCode").isNotNull())
         .select("SchemaChangeRequestId", "Decision", "ErrorCode")
@@ -78,16 +96,19 @@ def decision_errors(requests: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def _decided(requests: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Requests with their applicable decision: valid ones on pending requests only."""
-    valid = decisions.filter(F.col("Decision").isin(v.APPROVED, v.REJECTED)).select(
-        "SchemaChangeRequestId", F.struct(*decisions.columns).alias("_d")
+    """Requests with their applicable decision: the first valid one, on pending requests only."""
+    first = _first(decisions).withColumnRenamed("_first", "DecisionId")
+    valid = (
+        _valid(decisions)
+        .join(first, ["SchemaChangeRequestId", "DecisionId"], "left_semi")
+        .select("SchemaChangeRequestId", F.struct(*decisions.columns).alias("_d"))
     )
     hit = (F.col("Status") == v.PENDING) & F.col("_d").isNotNull()
     return requests.join(valid, "SchemaChangeRequestId", "left").withColumn("_hit", hit)
 
 
 def apply_decisions(requests: DataFrame, decisions: DataFrame) -> DataFrame:
-    """All requests, pending ones carrying their decision (one per request id).
+    """All requests, pending ones carrying their first valid decision.
 
     DecisionBy, DecisionUtc and DecisionNotes are taken over where both sides have them.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.clock import EPOCH, timestamp_literal
+from tidegate.functions.text import quoted
 from tidegate.operators.projection import by_name
 
 
@@ -22,7 +23,7 @@ def capture_window(df: DataFrame, mark: str, last: datetime | None) -> tuple[dat
     The window ends at the largest mark, so its rows are those whose mark lies above ``last``:
     both values come from one single-column scan with map-side partial results.
     """
-    c, zoned = F.col(f"`{mark}`"), _is_zoned(df, mark)
+    c, zoned = F.col(quoted(mark)), _is_zoned(df, mark)
     inside = c.isNotNull()
     if last is not None:
         inside = c > timestamp_literal(last, by_name(df.schema)[mark.lower()].dataType)
@@ -48,7 +49,7 @@ def window(
     """
     if captured is None:
         return df.filter(F.lit(False))
-    c, data_type = F.col(f"`{mark}`"), by_name(df.schema)[mark.lower()].dataType
+    c, data_type = F.col(quoted(mark)), by_name(df.schema)[mark.lower()].dataType
     inside = c <= timestamp_literal(captured, data_type)
     if last is not None:
         inside = (c > timestamp_literal(last, data_type)) & inside

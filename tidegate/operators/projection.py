@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.text import quoted
+
 
 def by_name(schema: T.StructType) -> dict[str, T.StructField]:
     """Fields under their lower-cased names: column names match without case."""
@@ -16,7 +18,7 @@ def by_name(schema: T.StructType) -> dict[str, T.StructField]:
 
 def project(df: DataFrame, approved: Iterable[str]) -> DataFrame:
     """Exactly the approved columns, in approved order."""
-    return df.select([F.col(f"`{c}`").alias(c) for c in approved])
+    return df.select([F.col(quoted(c)).alias(c) for c in approved])
 
 
 def evolve(target: T.StructType, incoming: T.StructType) -> T.StructType:
@@ -32,7 +34,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     columns = []
     for field in schema.fields:
         found = have.get(field.name.lower())
-        source = F.lit(None) if found is None else F.col(f"`{found.name}`")
+        source = F.lit(None) if found is None else F.col(quoted(found.name))
         if found is None or found.dataType != field.dataType:
             source = source.cast(field.dataType)
         columns.append(source.alias(field.name))

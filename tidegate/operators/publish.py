@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidegate.functions.text import quoted
 from tidegate.operators.gates import key_profile
-from tidegate.operators.projection import align, evolve
+from tidegate.operators.projection import align, by_name, evolve
 from tidegate.state.vocabulary import LoadError
 
 
@@ -18,7 +20,7 @@ def overwrite(target: DataFrame, stage: DataFrame) -> DataFrame:
 def _keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Each key once. Map tasks drop repeats, so a key that fills a third of the rows does
     not fill one join task; the join then uses the same partitioning."""
-    return df.select(keys).distinct()
+    return df.select([F.col(quoted(k)) for k in keys]).distinct()
 
 
 def unpublished(stage: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -33,7 +35,7 @@ def survivors(target: DataFrame, stage: DataFrame, key: str, small_stage: bool =
     only for callers that have measured the staged keys; otherwise the join strategy
     is left to the optimizer and adaptive execution, which splits a skewed target side.
     """
-    staged = F.broadcast(stage.select(key)) if small_stage else _keys(stage, [key])
+    staged = F.broadcast(stage.select(F.col(quoted(key)))) if small_stage else _keys(stage, [key])
     return target.join(staged, key, "left_anti")
 
 
@@ -47,16 +49,35 @@ def upsert(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique_key(source: DataFrame, key: str) -> DataFrame:
-    """Fail when a key repeats: a merge may touch each target row once."""
-    repeated = key_profile(source, key).first()["duplicate_keys"]
+    """Fail when a key repeats: a merge may touch each target row once. A NULL key matches nothing."""
+    known = source.filter(F.col(quoted(key)).isNotNull())
+    repeated = key_profile(known, key).first()["duplicate_keys"]
     if repeated:
         raise LoadError(None, f"Merge source has {repeated} repeated key value(s) in {key}.")
     return source
 
 
 def merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Match on key: update every column; no match: insert."""
-    return upsert(target, source, key)
+    """Match on key: update the source's columns; no match: insert.
+
+    Columns that only the target has keep their values in matched rows and are NULL in new ones.
+    """
+    require_unique_key(source, key)
+    old, new = by_name(target.schema), by_name(source.schema)
+    match = F.col("_t")[old[key.lower()].name] == F.col("_s")[new[key.lower()].name]
+    sides = target.select(F.struct("*").alias("_t")).join(
+        source.select(F.struct("*").alias("_s")), match, "full_outer"
+    )
+
+    def value(field: T.StructField):
+        kept, given = old.get(field.name.lower()), new.get(field.name.lower())
+        before = F.lit(None) if kept is None else F.col("_t")[kept.name]
+        if given is None:
+            return before
+        return F.when(F.col("_s").isNotNull(), F.col("_s")[given.name].cast(field.dataType)).otherwise(before)
+
+    schema = evolve(target.schema, source.schema)
+    return sides.select([value(f).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def insert_absent(existing: DataFrame, new: DataFrame, key: list[str] | str) -> DataFrame:

@@ -6,9 +6,10 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators import highwater
+from tidegate.operators import gates, highwater
 from tidegate.operators.fingerprint import fingerprint, missing_names
 from tidegate.operators.gates import key_profile
 from tidegate.operators.projection import align, by_name
@@ -16,11 +17,9 @@ from tidegate.plans import rfc
 from tidegate.sources import Sources
 from tidegate.state import tables
 from tidegate.state import vocabulary as v
-from tidegate.state.snapshots import Candidate, Snapshot, Snapshots, Staged
+from tidegate.state.snapshots import Snapshot, Snapshots, Staged
 from tidegate.state.store import StateStore
 
-MESSAGE_LIMIT = 4000
-
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -53,17 +52,19 @@ def load_table(
     sources: Sources,
     config_id: int,
     run_id: str,
-    full_check: bool = False,
+    full_check: bool = True,
 ) -> LoadResult:
     """One attempt. Errors before the attempt row leave no trace; later ones are audited.
 
-    ``full_check`` recounts every key of the curated table at gate 2 instead of adding the
-    known counts of untouched folders.
+    Gate 2 counts every key of the table as it will be published. ``full_check=False`` adds the
+    counts that earlier loads found in untouched folders instead.
     """
     with store.config_lock(config_id):
         config = store.config(config_id)
         if config["Load"] != v.YES:
             raise v.LoadError(50011)
+        if config["LoadType"] not in (v.FULL, v.WATERMARK):
+            raise v.LoadError(None, f"Unknown LoadType {config['LoadType']!r}.")
         source = sources.read(
             config["SourceSchema"], config["SourceTable"], config["ConnectionReference"]
         )
@@ -94,8 +95,9 @@ def _load(
 ) -> tuple[dict, datetime | None]:
     """Stage, check, publish and commit; the counts of the attempt and the new mark."""
     if missing:
-        failed = _check(v.GATE_1, v.APPROVED_SCHEMA, 0, len(missing))
-        attempt.checks.append({**failed, "Details": v.MISSING_COLUMN_DETAIL})
+        failed = gates.gate1_of(store.spark, 0, 0, 0, 0, len(missing))
+        (row,) = failed.filter(F.col("CheckName") == v.APPROVED_SCHEMA).collect()
+        attempt.checks.append({**row.asDict(), "Details": v.MISSING_COLUMN_DETAIL})
         raise v.LoadError(50013)
     config = attempt.config
     old = snapshots.newest(config["ConfigId"])
@@ -108,7 +110,8 @@ def _load(
     else:
         source_rows = source.count()
     stage = _stage(store, window, config, attempt, old)
-    _gate1(attempt, source_rows, stage)
+    known = (source_rows, stage.rows, stage.duplicate_keys, stage.null_keys)
+    _pass(attempt, gates.gate1_of(store.spark, *known, 0), 50014)
 
     if not marked:
         candidate = snapshots.replace_all(old, stage)
@@ -116,9 +119,12 @@ def _load(
         candidate = snapshots.bucketed(old, stage, f"load={attempt.id}")
     else:
         candidate = snapshots.upsert(old, stage, f"load={attempt.id}")
+    full = not marked or attempt.first
     if full_check:
-        candidate = replace(candidate, snapshot=snapshots.recheck(candidate.snapshot))
-    _gate2(attempt, stage, candidate, full=not marked or attempt.first)
+        checks = gates.gate2(stage.frame, snapshots.frame(candidate.snapshot), stage.key, full)
+    else:
+        checks = snapshots.carried_gate2(candidate, stage, full)
+    _pass(attempt, checks, 50015)
 
     mark = captured if captured is not None or old is None else old.mark
     snapshots.commit(config["ConfigId"], attempt.id, replace(candidate.snapshot, mark=mark))
@@ -153,45 +159,12 @@ def _stage(
 # --- gates ------------------------------------------------------------------------
 
 
-def _check(stage: str, name: str, expected: int, actual: int) -> dict:
-    return {
-        "GateStage": stage,
-        "CheckName": name,
-        "ExpectedValue": str(expected),
-        "ActualValue": str(actual),
-        "Result": v.PASS if expected == actual else v.FAIL,
-        "Details": v.DETAILS[stage, name],
-    }
-
-
-def _failed(checks: list[dict]) -> bool:
-    return any(c["Result"] == v.FAIL for c in checks)
-
-
-def _gate1(attempt: Attempt, source_rows: int, stage: Staged) -> None:
-    checks = [
-        _check(v.GATE_1, v.SOURCE_STAGE_ROW_COUNT, source_rows, stage.rows),
-        _check(v.GATE_1, v.DUPLICATE_PRIMARY_KEY, 0, stage.duplicate_keys),
-        _check(v.GATE_1, v.NULL_PRIMARY_KEY, 0, stage.null_keys),
-        _check(v.GATE_1, v.APPROVED_SCHEMA, 0, 0),
-    ]
-    attempt.checks += checks
-    if _failed(checks):
-        raise v.LoadError(50014)
-
-
-def _gate2(attempt: Attempt, stage: Staged, candidate: Candidate, full: bool) -> None:
-    table = candidate.snapshot
-    checks = [
-        _check(v.GATE_2, v.STAGE_KEYS_PUBLISHED, 0, candidate.missing_keys),
-        _check(v.GATE_2, v.DUPLICATE_PRIMARY_KEY, 0, table.total("duplicate_keys")),
-        _check(v.GATE_2, v.NULL_PRIMARY_KEY, 0, table.total("null_keys")),
-    ]
-    if full:
-        checks.append(_check(v.GATE_2, v.FULL_ROW_COUNT, stage.rows, table.total("rows")))
-    attempt.checks += checks
-    if _failed(checks):
-        raise v.LoadError(50015)
+def _pass(attempt: Attempt, checks: DataFrame, code: int) -> None:
+    """Note the checks of a gate; stop the load if one failed."""
+    rows = [row.asDict() for row in checks.collect()]
+    attempt.checks += rows
+    if any(row["Result"] == v.FAIL for row in rows):
+        raise v.LoadError(code)
 
 
 # --- audit ------------------------------------------------------------------------
@@ -278,7 +251,7 @@ def _record_success(
 
 
 def _record_failure(store: StateStore, attempt: Attempt, error: Exception) -> None:
-    message = str(error)[:MESSAGE_LIMIT]
+    message = str(error)
     events = [(v.TABLE_FAILURE, message)]
     if attempt.changed:
         text = v.CHANGE_FAILURE_MESSAGE.format(status=attempt.approval or v.PENDING, error=message)

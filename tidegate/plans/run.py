@@ -98,7 +98,7 @@ def run_pipeline(
     name: str = "governed-load",
     parallel: int = 2,
     sleep: Callable[[float], None] = time.sleep,
-    full_check: bool = False,
+    full_check: bool = True,
 ) -> RunResult:
     """Load every enabled table, ``parallel`` at a time, then finalize and raise on failure."""
     configs = lookup.enabled_configs(store.current(tables.CONFIG)).collect()

@@ -13,6 +13,7 @@ from typing import Protocol
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.functions.text import quoted
 from tidegate.operators.fingerprint import render_type
 from tidegate.state.vocabulary import LoadError
 
@@ -23,10 +24,6 @@ class Connection(Protocol):
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame: ...
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 @dataclass(frozen=True)
 class CatalogTables:
     """Tables of the session catalog, or of a named one."""
@@ -35,7 +32,7 @@ class CatalogTables:
 
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         parts = [p for p in (self.catalog, schema, table) if p]
-        return spark.table(".".join(_quoted(p) for p in parts))
+        return spark.table(".".join(quoted(p) for p in parts))
 
 
 @dataclass(frozen=True)
@@ -91,7 +88,9 @@ class Sources:
     default: Connection = CatalogTables()
 
     def read(self, schema: str, table: str, reference: str | None = None) -> DataFrame:
-        connection = self.connections.get(reference, self.default)
+        if reference is not None and reference not in self.connections:
+            raise LoadError(None, f"Unknown connection reference {reference!r}.")
+        connection = self.default if reference is None else self.connections[reference]
         try:
             return connection.read(self.spark, schema, table)
         except AnalysisException as error:

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators.gates import reconcile
+from tidegate.functions.text import quoted
+from tidegate.operators.gates import gate2_of, key_profile, reconcile
 from tidegate.operators.projection import align, evolve
 from tidegate.operators.publish import survivors
 from tidegate.state import tables
@@ -80,11 +81,10 @@ class Layout:
     """Sizing of key buckets and of the staged keys a join may broadcast."""
 
     rows_per_bucket: int = 4_000_000
-    max_buckets: int = 16_384
     broadcast_key_bytes: int = 32 << 20
 
     def buckets_for(self, rows: int) -> int:
-        return max(1, min(self.max_buckets, -(-rows // self.rows_per_bucket)))
+        return max(1, -(-rows // self.rows_per_bucket))
 
     def outgrown(self, snapshot: Snapshot, added: int) -> bool:
         """Whether the buckets hold over twice their planned rows and more may be made."""
@@ -195,7 +195,7 @@ class Snapshots:
             buckets, touched = self.layout.buckets_for(old.total("rows") + stage.rows), None
         else:
             buckets = old.buckets
-            hit = staged.select(bucket_of(F.col(f"`{stage.key}`"), buckets).alias(BUCKET))
+            hit = staged.select(bucket_of(F.col(quoted(stage.key)), buckets).alias(BUCKET))
             touched = {r[BUCKET] for r in hit.distinct().collect()}  # at most one per bucket
         stays = () if touched is None else tuple(p for p in old.parts if p.bucket not in touched)
         previous = align(self.frame(old, touched), schema)
@@ -220,7 +220,9 @@ class Snapshots:
         path = f"curated/config={config_id}/adopted-{self._known[config_id][0] + 1}"
         df.write.mode("overwrite").parquet(self.store.path(path))
         whole = Snapshot(df.schema, key, 0, (Part(WHOLE, path, 0, 0, 0),), mark)
-        self.commit(config_id, None, self.recheck(whole))
+        p = key_profile(self.frame(whole), key).first()
+        part = Part(WHOLE, path, p["rows"], p["duplicate_keys"], p["null_keys"])
+        self.commit(config_id, None, replace(whole, parts=(part,)))
 
     def _write(
         self,
@@ -237,7 +239,7 @@ class Snapshots:
         own grouping: they are read, filtered and written without a shuffle. Otherwise the join
         moves them, and everything is brought together by bucket before the write.
         """
-        number = bucket_of(F.col(f"`{stage.key}`"), buckets)
+        number = bucket_of(F.col(quoted(stage.key)), buckets)
         small = stage.key_bytes <= self.layout.broadcast_key_bytes
         kept = survivors(previous, staged, stage.key, small).select(staged.columns)
         kept, staged = kept.withColumn(BUCKET, number), staged.withColumn(BUCKET, number)
@@ -266,22 +268,8 @@ class Snapshots:
         )
         return parts, sum(r["missing_keys"] for r in counts)
 
-    def recheck(self, snapshot: Snapshot) -> Snapshot:
-        """Recount every key of every folder instead of adding up known counts.
-
-        Counts land on one folder when the table is not split, else on each key's bucket.
-        """
-        if not snapshot.parts:
-            return snapshot
-        bucket = (
-            bucket_of(F.col("k"), snapshot.buckets) if snapshot.buckets else F.lit(WHOLE)
-        )
-        table = self.frame(snapshot)
-        none = table.filter(F.lit(False))
-        found = {r["bucket"]: r for r in reconcile(none, table, snapshot.key, bucket).collect()}
-        parts = []
-        for p in snapshot.parts:
-            r = found.get(p.bucket)
-            fresh = (r["target_rows"], r["duplicate_keys"], r["null_keys"]) if r else (0, 0, 0)
-            parts.append(Part(p.bucket, p.path, *fresh))
-        return replace(snapshot, parts=tuple(parts))
+    def carried_gate2(self, candidate: Candidate, stage: Staged, full: bool) -> DataFrame:
+        """Gate 2 from the counts of rewritten folders and those known of the others."""
+        table = candidate.snapshot
+        counts = (table.total(m) for m in ("rows", "duplicate_keys", "null_keys"))
+        return gate2_of(self.spark, stage.rows, *counts, candidate.missing_keys, full)
