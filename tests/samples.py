@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+from tidegate.functions import quoted
 from tidegate.plans.run import run_pipeline
 from tidegate.sources import Frames, Sources
 from tidegate.state import tables
@@ -74,7 +75,7 @@ class Table:
         self.rows = [dict(zip(schema, r)) for r in rows]
 
     def frame(self, spark):
-        ddl = ", ".join(f"`{n}` {t}" for n, t in self.schema.items())
+        ddl = ", ".join(f"{quoted(n)} {t}" for n, t in self.schema.items())
         return spark.createDataFrame([tuple(r.get(n) for n in self.schema) for r in self.rows], ddl)
 
     def add_column(self, name, kind, value=lambda row: None):

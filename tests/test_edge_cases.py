@@ -267,3 +267,75 @@ def test_a_driver_lost_before_the_commit(world, monkeypatch):
     load(world, AGP_ID, "r3")
     assert [a["SourceRowCount"] for a in world.attempts("r3")] == [1]
     assert world.snapshots.newest(AGP_ID).mark == datetime(2026, 9, 20)
+
+
+def test_unknown_load_type_and_connection_touch_nothing(world):
+    load(world, CSD_ID)
+    config, before = world.store.config(CSD_ID), world.rows(CSD_ID, "*")
+    for wrong in ({"LoadType": "Watermark"}, {"ConnectionReference": "typo"}):
+        world.store.update_config(config, **wrong)
+        attempts = len(world.log(tables.ATTEMPT))
+        with pytest.raises(LoadError, match="Unknown"):
+            load(world, CSD_ID)
+        assert world.rows(CSD_ID, "*") == before and len(world.log(tables.ATTEMPT)) == attempts
+
+
+def test_error_texts_are_kept_whole(world, monkeypatch):
+    def broken(*args):
+        raise ValueError("x" * 9000)
+
+    monkeypatch.setattr(world.snapshots, "commit", broken)
+    with pytest.raises(ValueError):
+        load(world, CSD_ID)
+    assert len(world.attempts("run")[-1]["ErrorMessage"]) == 9000
+
+
+def test_gate_2_sees_a_file_added_to_a_full_load(world, monkeypatch):
+    """Rows that appear in the folder between the write and the check stop the commit."""
+    load(world, CSD_ID)
+    before = world.snapshots.newest(CSD_ID)
+    publish = world.snapshots.replace_all
+
+    def disturbed(old, stage):
+        candidate = publish(old, stage)
+        stage.frame.limit(2).write.mode("append").parquet(world.store.path(stage.path))
+        return candidate
+
+    monkeypatch.setattr(world.snapshots, "replace_all", disturbed)
+    assert code_of(world, CSD_ID) == 50015
+    assert world.snapshots.newest(CSD_ID) == before
+    checks = {c["CheckName"]: c["Result"] for c in world.checks(world.attempts("run")[-1]) if c["GateStage"].startswith("GATE_2")}
+    assert checks["DUPLICATE_PRIMARY_KEY"] == checks["FULL_ROW_COUNT"] == "FAIL"
+
+
+VALID = {"SourceTable": "t", "TargetTable": "t", "Load": "Yes", "LoadType": "FULL", "PrimaryKeyColumn": "k"}
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [{**VALID, "Load": "Maybe"}],
+        [{**VALID, "LoadType": "full"}],
+        [{**VALID, "LoadType": "WATERMARK"}],
+        [{**VALID, "PrimaryKeyColumn": None}],
+        [{k: x for k, x in VALID.items() if k != "TargetTable"}],
+        [{**VALID, "PrimaryKey": "k"}],
+        [VALID, {**VALID, "TargetTable": "u"}],
+    ],
+)
+def test_invalid_configurations_are_refused(world, rows):
+    with pytest.raises(LoadError):
+        world.store.add_configs([{**VALID, "SourceTable": "fine"}, *rows])
+    assert len(world.log(tables.CONFIG)) == len(CONFIGS)
+
+
+def test_column_names_with_a_backtick(spark, tmp_path):
+    odd = dict(CONFIGS[0], SourceTable="odd", TargetTable="odd", PrimaryKeyColumn="k`1", WatermarkColumn="at``")
+    world = World(spark, tmp_path, [odd])
+    world.tables["odd"] = type(world.tables[AGP])({"k`1": "int", "at``": "timestamp_ntz", "a.b": "string"}, [])
+    world.tables["odd"].rows += [{"k`1": i, "at``": datetime(2026, 1, i), "a.b": "x"} for i in (1, 2)]
+    load(world, 1)
+    world.tables["odd"].rows.append({"k`1": 2, "at``": datetime(2026, 1, 9), "a.b": "y"})
+    world.tables["odd"].rows.pop(1)
+    load(world, 1)
+    assert sorted(tuple(r) for r in world.curated(1).collect())[1][2] == "y" and world.curated(1).count() == 2

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.functions import concat0, iso_utc, object_name, quotename, seconds_between
-from tidegate.operators import attempts, calendar, gates, highwater, lookup, publish, validate
+from catalogue.queries import QUERIES
+from tidegate.operators import approvals, attempts, calendar, gates, highwater, lookup, publish, validate
 from tidegate.sources import (
     CatalogTables,
     JdbcDatabase,
@@ -211,3 +212,46 @@ def test_latest_by_and_evidence(spark):
     got = sorted(tuple(r) for r in lookup.latest_by(df, ["k"], "id", ["id", "s"]).collect())
     assert got == [(1, 2, "a"), (2, 3, "b")]
     assert [r.id for r in lookup.evidence(df, "X", "id").collect()] == [3, 2, 1]
+
+
+def test_merge_updates_named_columns_only(spark):
+    target = spark.createDataFrame([(1, "a", "keep"), (2, "b", "keep"), (None, "n", "keep")], "k int, v string, own string")
+    source = spark.createDataFrame([("new", 9, 2), ("ins", 9, 3), ("null", 9, None), ("null", 9, None)], "V string, extra int, K int")
+    got = publish.merge(target, source, "k")
+    assert got.columns == ["k", "v", "own", "extra"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
+        [(1, "a", "keep", None), (2, "new", "keep", 9), (3, "ins", None, 9), (None, "n", "keep", None), (None, "null", None, 9), (None, "null", None, 9)],
+        key=str,
+    )
+    with pytest.raises(LoadError):
+        publish.merge(target, source.unionAll(source), "k")
+
+
+def test_first_valid_decision_wins(spark):
+    requests = spark.createDataFrame(
+        [(1, 7, "h1", "PENDING"), (2, 8, "h2", "APPROVED"), (3, 9, "h3", "PENDING")],
+        "SchemaChangeRequestId bigint, ConfigId int, DetectedSchemaHash string, Status string",
+    )
+    decisions = spark.createDataFrame(
+        [(1, 1, "MAYBE", "x"), (2, 1, "APPROVED", "a"), (3, 1, "REJECTED", "b"), (4, 1, "APPROVED", "c"), (5, 2, "REJECTED", "d"), (6, 4, "APPROVED", "e")],
+        "DecisionId bigint, SchemaChangeRequestId bigint, Decision string, DecisionBy string",
+    )
+    applied = {r[0]: r["Status"] for r in approvals.apply_decisions(requests, decisions).collect()}
+    assert applied == {1: "APPROVED", 2: "APPROVED", 3: "PENDING"}
+    errors = approvals.decision_errors(requests, decisions).collect()
+    assert Counter((r[0], r["ErrorCode"]) for r in errors) == Counter({(1, 50001): 1, (1, 50003): 2, (2, 50003): 1, (4, 50002): 1})
+    history = spark.createDataFrame([(7, 3)], "ConfigId int, SchemaVersion int")
+    versions = approvals.next_versions(requests, decisions, history).collect()
+    assert [(r["ConfigId"], r["SchemaVersion"], r["ApprovedBy"]) for r in versions] == [(7, 4, "a")]
+
+
+@pytest.mark.parametrize("name", ["alert_payloads", "latest_attempt_per_config", "detect_changes", "schema_diff"])
+def test_logs_are_not_sorted_to_find_the_newest(spark, name):
+    frame = QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_nested_keys_are_never_small(spark):
+    frame = spark.createDataFrame([([1, 2],)], "k array<int>")
+    assert gates.key_profile(frame, "k").first()["key_bytes"] > 1 << 39

@@ -193,18 +193,3 @@ def test_9_reopened_state_goes_on(world):
     assert counts(world, "r9") == {AGP_ID: (0, 4), CSD_ID: (3, 3)}
     ids = [a["TableLoadAuditId"] for a in world.log(tables.ATTEMPT)]
     assert len(ids) == len(set(ids))
-
-
-def test_10_compacted_logs_say_the_same(world):
-    before = {log.name: world.log(log) for log in tables.LOGS}
-    day = world.now.date()
-    with pytest.raises(ValueError):
-        world.store.compact(tables.CONFIG, day)
-    world.now += timedelta(days=1)
-    versions = world.store.read(tables.CONFIG).count()
-    for log in tables.LOGS:
-        world.store.compact(log, day)
-    assert {log.name: world.log(log) for log in tables.LOGS} == before
-    assert world.store.read(tables.CONFIG).count() == 3 < versions
-    assert world.run("r10") is None
-    assert len(world.log(tables.RUN)) == len(before["run"]) + 1

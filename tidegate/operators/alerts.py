@@ -23,11 +23,11 @@ def _pairs(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -
     """
 
     def newest(event: str):
-        order = F.when(F.col("EventType") == event, F.col("NotificationAuditId"))
-        return F.max_by(F.struct(F.lit(event).alias("EventType"), "Message"), order)
+        return F.max(F.when(F.col("EventType") == event, F.col("NotificationAuditId")))
 
+    # numbers only, so nothing is sorted; texts are fetched for events that are sent
     events = notifications.groupBy(RUN, CONFIG).agg(
-        F.max_by(F.struct("EventType", "Message"), "NotificationAuditId").alias("last"),
+        F.max("NotificationAuditId").alias("last"),
         newest(v.TABLE_FAILURE).alias("failure"),
         newest(v.SCHEMA_CHANGE).alias("change"),
     )
@@ -39,53 +39,41 @@ def _pairs(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -
     return events.join(finished, [RUN, CONFIG]).join(standing, CONFIG, "left")
 
 
-def _alert(event: Column, plain_status: str) -> Column:
-    """The alert of an event struct, NULL when there is none."""
-    change = concat0(F.lit("SCHEMA_CHANGE_"), F.coalesce(F.col("request"), F.lit(v.PENDING)))
-    status = F.when(event["EventType"] == v.SCHEMA_CHANGE, change).otherwise(plain_status)
-    return F.when(
-        event.isNotNull(),
-        F.struct(
-            event["EventType"].alias("EventType"),
-            status.alias("Status"),
-            event["Message"].alias("Message"),
-        ),
-    )
-
-
-def _sent(outcome: str) -> Column:
-    """What a finished pair sends.
+def _sent() -> Column:
+    """The events a finished pair sends, with the status each has unless it tells of a change.
 
     Success: its newest event. Failure: the newest failure, then the newest schema change;
     the second follows the first, so a pair without a recorded failure sends neither.
     """
-    if outcome == v.SUCCESS:
-        return F.array(_alert(F.col("last"), v.SUCCESS))
-    change = F.when(F.col("failure").isNotNull(), _alert(F.col("change"), v.FAILURE))
-    return F.array(_alert(F.col("failure"), v.FAILURE), change)
 
+    def event(number: Column, status: str) -> Column:
+        sent = F.struct(number.alias("NotificationAuditId"), F.lit(status).alias("_status"))
+        return F.when(number.isNotNull(), sent)
 
-def success_alerts(
-    notifications: DataFrame, requests: DataFrame, attempts: DataFrame
-) -> DataFrame:
-    """One alert per (run, config) whose latest attempt succeeded."""
-    pairs = _pairs(notifications, requests, attempts).filter(F.col("outcome") == v.SUCCESS)
-    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(_sent(v.SUCCESS)))).select(COLUMNS)
+    change = F.when(F.col("failure").isNotNull(), F.col("change"))
+    failed = F.array(event(F.col("failure"), v.FAILURE), event(change, v.FAILURE))
+    return F.when(F.col("outcome") == v.SUCCESS, F.array(event(F.col("last"), v.SUCCESS))).otherwise(failed)
 
 
-def failure_alerts(
-    notifications: DataFrame, requests: DataFrame, attempts: DataFrame
-) -> DataFrame:
-    """Failure and schema-change alerts of (run, config) whose latest attempt failed."""
-    pairs = _pairs(notifications, requests, attempts).filter(F.col("outcome") == v.FAILURE)
-    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(_sent(v.FAILURE)))).select(COLUMNS)
+def alerts(notifications: DataFrame, requests: DataFrame, attempts: DataFrame, outcome: str | None = None) -> DataFrame:
+    """All alerts of all runs, or those of pairs with one outcome."""
+    pairs = _pairs(notifications, requests, attempts)
+    if outcome is not None:
+        pairs = pairs.filter(F.col("outcome") == outcome)
+    chosen = pairs.select("request", F.inline(F.array_compact(_sent())))
+    change = concat0(F.lit("SCHEMA_CHANGE_"), F.coalesce(F.col("request"), F.lit(v.PENDING)))
+    status = F.when(F.col("EventType") == v.SCHEMA_CHANGE, change).otherwise(F.col("_status"))
+    return notifications.join(chosen, "NotificationAuditId").withColumn("Status", status).select(COLUMNS)
 
 
-def alerts(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -> DataFrame:
-    """All alerts of all runs, in one pass over each log."""
-    sent = F.when(F.col("outcome") == v.SUCCESS, _sent(v.SUCCESS)).otherwise(_sent(v.FAILURE))
-    pairs = _pairs(notifications, requests, attempts)
-    return pairs.select(RUN, CONFIG, F.inline(F.array_compact(sent))).select(COLUMNS)
+def success_alerts(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -> DataFrame:
+    """One alert per (run, config) whose latest attempt succeeded."""
+    return alerts(notifications, requests, attempts, v.SUCCESS)
+
+
+def failure_alerts(notifications: DataFrame, requests: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Failure and schema-change alerts of (run, config) whose latest attempt failed."""
+    return alerts(notifications, requests, attempts, v.FAILURE)
 
 
 def payloads(selected: DataFrame, now: datetime) -> DataFrame:

@@ -75,17 +75,17 @@ def compatibility(approved: list[str], current: list[str]) -> str:
 
 
 def _sides(columns: DataFrame) -> DataFrame:
-    """One row per (config, column) with both sides' type and ordinal: one shuffle, no join."""
-
-    def pick(side: str, column: str, alias: str):
-        return F.max(F.when(F.col("side") == side, F.col(column))).alias(alias)
+    """One row per (config, column) with both sides' type and ordinal; a side names a column once."""
+
+    def side(name: str, prefix: str) -> DataFrame:
+        return columns.filter(F.col("side") == name).select(
+            "ConfigId",
+            F.lower("name").alias("name"),
+            F.col("type").alias(f"{prefix}_type"),
+            F.col("ordinal").alias(f"{prefix}_ordinal"),
+        )
 
-    return columns.groupBy("ConfigId", F.lower("name").alias("name")).agg(
-        pick("approved", "type", "old_type"),
-        pick("current", "type", "new_type"),
-        pick("approved", "ordinal", "old_ordinal"),
-        pick("current", "ordinal", "new_ordinal"),
-    )
+    return side("approved", "old").join(side("current", "new"), ["ConfigId", "name"], "full_outer")
 
 
 def schema_diff(columns: DataFrame) -> DataFrame:

@@ -29,14 +29,21 @@ def enabled_configs(config: DataFrame) -> DataFrame:
 def latest_by(
     df: DataFrame, keys: Iterable[str], order_col: str, value_cols: Iterable[str]
 ) -> DataFrame:
-    """The values of the row with the highest ``order_col`` per key.
+    """The values of the row with the highest ``order_col`` per key."""
+    keys, value_cols = list(keys), list(value_cols)
+    found = newest_rows(df, keys, order_col)
+    return found.select(*keys, *[c for c in value_cols if c not in keys])
+
 
-    An aggregate, not a window: map tasks keep one row per key, so a key that holds
-    a large share of the log shuffles one row per map task.
+def newest_rows(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """The row with the highest ``order_col`` per key; ``order_col`` is unique.
+
+    Only numbers are aggregated, so it is done by hashing and on the map side first: a key
+    that holds a large share of the log shuffles one number per map task, and no text is
+    sorted. The rows are then fetched by their unique number.
     """
-    keys, value_cols = list(keys), list(value_cols)
-    newest = F.max_by(F.struct(*value_cols), F.col(order_col)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+    newest = df.groupBy(*keys).agg(F.max(order_col).alias("_newest")).select("_newest")
+    return df.join(newest, F.col(order_col) == F.col("_newest"), "left_semi")
 
 
 def latest_pending_request(requests: DataFrame) -> DataFrame:

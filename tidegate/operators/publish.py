@@ -50,8 +50,9 @@ def upsert(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 
 def require_unique_key(source: DataFrame, key: str) -> DataFrame:
     """Fail when a key repeats: a merge may touch each target row once. A NULL key matches nothing."""
-    known = source.filter(F.col(quoted(key)).isNotNull())
-    repeated = key_profile(known, key).first()["duplicate_keys"]
+    name = by_name(source.schema)[key.lower()].name
+    known = source.filter(F.col(quoted(name)).isNotNull())
+    repeated = key_profile(known, name).first()["duplicate_keys"]
     if repeated:
         raise LoadError(None, f"Merge source has {repeated} repeated key value(s) in {key}.")
     return source
@@ -83,4 +84,4 @@ def merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def insert_absent(existing: DataFrame, new: DataFrame, key: list[str] | str) -> DataFrame:
     """The new rows whose natural key does not exist yet."""
     keys = [key] if isinstance(key, str) else list(key)
-    return new.join(_keys(existing, keys), keys, "left_anti").select(new.columns)
+    return new.join(_keys(existing, keys), keys, "left_anti").select([F.col(quoted(c)) for c in new.columns])

@@ -53,14 +53,16 @@ def load_table(
     config_id: int,
     run_id: str,
     full_check: bool = True,
+    config: dict | None = None,
 ) -> LoadResult:
     """One attempt. Errors before the attempt row leave no trace; later ones are audited.
 
     Gate 2 counts every key of the table as it will be published. ``full_check=False`` adds the
-    counts that earlier loads found in untouched folders instead.
+    counts that earlier loads found in untouched folders instead. ``config`` is the row as the
+    caller has just read it; otherwise it is looked up.
     """
     with store.config_lock(config_id):
-        config = store.config(config_id)
+        config = config or store.config(config_id)
         if config["Load"] != v.YES:
             raise v.LoadError(50011)
         if config["LoadType"] not in (v.FULL, v.WATERMARK):

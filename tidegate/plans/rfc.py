@@ -11,10 +11,6 @@ from tidegate.state import vocabulary as v
 from tidegate.state.store import StateStore
 
 
-def _same(a: str | None, b: str | None) -> bool:
-    return a is not None and a == b
-
-
 def establish_baseline(store: StateStore, config: dict, fp: Fingerprint) -> dict:
     """Pin the first schema as version 1, before and apart from the load itself."""
     config_id, now = config["ConfigId"], store.clock()
@@ -27,8 +23,7 @@ def establish_baseline(store: StateStore, config: dict, fp: Fingerprint) -> dict
     own = (F.col("ConfigId") == config_id) & (F.col("SchemaVersion") == 1)
     if store.read(tables.HISTORY).filter(own).isEmpty():
         _add_version(store, config_id, 1, fp.hash, fp.columns, fp.definition, v.INITIAL_LOAD)
-    known = [r for r in store.requests_of(config_id) if r["DecisionBy"] == v.INITIAL_LOAD]
-    if not any(_same(r["DetectedSchemaHash"], fp.hash) for r in known):
+    if not store.request_standing(config_id, fp.hash)["initial"]:
         _add_request(
             store,
             config_id,
@@ -51,11 +46,10 @@ def detect_change(store: StateStore, config: dict, fp: Fingerprint) -> tuple[boo
     """
     if fp.hash == config["ApprovedSchemaHash"]:
         return False, None
-    requests = store.requests_of(config["ConfigId"])
-    exact = [r["Status"] for r in requests if _same(r["DetectedSchemaHash"], fp.hash)]
-    if exact:
-        return True, exact[0]
-    if not any(r["Status"] == v.PENDING for r in requests):
+    standing = store.request_standing(config["ConfigId"], fp.hash)
+    if standing["exact"] is not None:
+        return True, standing["exact"]
+    if not standing["pending"]:
         _add_request(
             store,
             config["ConfigId"],

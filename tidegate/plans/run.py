@@ -101,17 +101,20 @@ def run_pipeline(
     full_check: bool = True,
 ) -> RunResult:
     """Load every enabled table, ``parallel`` at a time, then finalize and raise on failure."""
-    configs = lookup.enabled_configs(store.current(tables.CONFIG)).collect()
+    # one read of the configuration log serves the first attempt of every table
+    enabled = store.current(tables.CONFIG).filter(F.col("Load") == v.YES).orderBy("ConfigId")
+    configs = [row.asDict() for row in enabled.collect()]
     run = start_run(store, run_id, name, len(configs))
 
-    def load(config) -> LoadResult | Exception:
-        tries_left = config["RetryCount"]
+    def load(config: dict) -> LoadResult | Exception:
+        tries_left, known = config["RetryCount"], config
         while True:
             try:
                 return load_table(
-                    store, snapshots, sources, config["ConfigId"], run_id, full_check
+                    store, snapshots, sources, config["ConfigId"], run_id, full_check, known
                 )
             except Exception as error:  # a failing table never stops the others
+                known = None  # the failed attempt has changed the row
                 if not tries_left:
                     return error
                 tries_left -= 1

@@ -241,7 +241,7 @@ class Snapshots:
         """
         number = bucket_of(F.col(quoted(stage.key)), buckets)
         small = stage.key_bytes <= self.layout.broadcast_key_bytes
-        kept = survivors(previous, staged, stage.key, small).select(staged.columns)
+        kept = align(survivors(previous, staged, stage.key, small), staged.schema)
         kept, staged = kept.withColumn(BUCKET, number), staged.withColumn(BUCKET, number)
         if small and not regroup:
             rows = kept.unionByName(staged.hint("rebalance", F.col(BUCKET)))

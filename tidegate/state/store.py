@@ -11,7 +11,7 @@ import itertools
 import threading
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.functions.clock import timestamp_literal
+from tidegate.operators.lookup import newest_rows
+from tidegate.operators.publish import insert_absent
 from tidegate.state import tables
 from tidegate.state import vocabulary as v
 from tidegate.state.tables import Log
@@ -33,6 +35,29 @@ DEFAULTS = {
 }
 
 
+REQUIRED = ("SourceSchema", "SourceTable", "TargetSchema", "TargetTable", "Load", "LoadType", "PrimaryKeyColumn")
+
+
+def check_configs(rows: list[dict]) -> None:
+    """Refuse rows with unknown fields, missing or unknown values, or a source given twice."""
+    known, sources = set(tables.CONFIG.schema.fieldNames()), set()
+    for row in rows:
+        source = (row.get("SourceSchema"), row.get("SourceTable"))
+        problems = [f"unknown field {name}" for name in sorted(set(row) - known)]
+        problems += [f"{name} is missing" for name in REQUIRED if not row.get(name)]
+        if row.get("Load") not in (None, v.YES, v.NO):
+            problems.append(f"unknown Load {row['Load']!r}")
+        if row.get("LoadType") not in (None, v.FULL, v.WATERMARK):
+            problems.append(f"unknown LoadType {row['LoadType']!r}")
+        if row.get("LoadType") == v.WATERMARK and not row.get("WatermarkColumn"):
+            raise v.LoadError(51003)
+        if source in sources:
+            problems.append("the source is given twice")
+        sources.add(source)
+        if problems:
+            raise v.LoadError(None, f"Configuration of {source[0]}.{source[1]}: {'; '.join(problems)}.")
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -128,35 +153,15 @@ class StateStore:
         ``where`` must hold for all versions of a row or none; it and ``since`` apply at the
         scan, before versions are grouped.
         """
-        newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
-        return self.read(log, where, since).groupBy(log.key).agg(newest).select("row.*")
+        versions = self.read(log, where, since)
+        return newest_rows(versions, [log.key], "_seq").select(*log.fields)
 
     def latest_row(self, log: Log, where: Column) -> dict | None:
         """The newest version of the one row ``where`` names."""
-        newest = F.max_by(F.struct(*log.fields), "_seq").alias("row")
-        row: Row | None = self.read(log, where).agg(newest).first()["row"]
+        newest = self.read(log, where).orderBy(F.desc("_seq")).select(*log.fields).limit(1)
+        row: Row | None = newest.first()
         return None if row is None else row.asDict()
 
-    def compact(self, log: Log, through: date) -> None:
-        """Rewrite the files of finished days: the newest version of each row, few files.
-
-        The result is first written aside, then replaces those days. Rows appended meanwhile
-        belong to a later day; an interrupted call may simply be repeated.
-        """
-        if through >= self.clock().date():
-            raise ValueError("only finished days can be compacted")
-        fields = log.schema.fieldNames()
-        rows = self.read(log).filter(F.col("LogDate") <= F.lit(through))
-        if log.key:
-            newest = F.max_by(F.struct(*fields), "_seq").alias("row")
-            rows = rows.groupBy(log.key).agg(newest).select("row.*")
-        aside = self.path("compact", log.name, through.isoformat())
-        rows.write.mode("overwrite").parquet(aside)
-        days = self.spark.read.schema(log.schema).parquet(aside).hint("rebalance", F.col("LogDate"))
-        writer = days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        with self._log_locks[log.name]:
-            writer.partitionBy("LogDate").parquet(self.path("log", log.name))
-
     # --- configuration ------------------------------------------------------------
 
     def config_lock(self, config_id: int) -> threading.RLock:
@@ -165,15 +170,19 @@ class StateStore:
             return self._config_locks.setdefault(config_id, threading.RLock())
 
     def add_configs(self, rows: Iterable[dict]) -> None:
-        """Insert configurations whose source is not configured yet."""
-        have = {
-            (r.SourceSchema, r.SourceTable)
-            for r in self.current(tables.CONFIG).select("SourceSchema", "SourceTable").collect()
-        }
+        """Insert configurations whose source is not configured yet; refuse invalid ones as a whole."""
         now = self.clock()
-        fresh = [{**DEFAULTS, **r, "CreatedUtc": now, "ModifiedUtc": now} for r in rows]
-        fresh = [r for r in fresh if (r["SourceSchema"], r["SourceTable"]) not in have]
-        self.append(tables.CONFIG, [{**r, "ConfigId": self.next_id(tables.CONFIG)} for r in fresh])
+        new = [{**DEFAULTS, **r, "CreatedUtc": now, "ModifiedUtc": now} for r in rows]
+        check_configs(new)
+        if not new:
+            return
+        sources = [{"SourceSchema": r["SourceSchema"], "SourceTable": r["SourceTable"]} for r in new]
+        names = T.StructType.fromDDL("SourceSchema string, SourceTable string")
+        known = self.current(tables.CONFIG).select("SourceSchema", "SourceTable")
+        fresh = insert_absent(known, local_frame(self.spark, sources, names), ["SourceSchema", "SourceTable"])
+        wanted = {tuple(r) for r in fresh.collect()}  # no more than were given
+        new = [r for r in new if (r["SourceSchema"], r["SourceTable"]) in wanted]
+        self.append(tables.CONFIG, [{**r, "ConfigId": self.next_id(tables.CONFIG)} for r in new])
 
     def config(self, config_id: int) -> dict:
         """One configuration row; 50010 when there is none."""
@@ -193,11 +202,21 @@ class StateStore:
 
     # --- requests -----------------------------------------------------------------
 
-    def requests_of(self, config_id: int) -> list[dict]:
-        """One configuration's requests, newest first; each is a human decision."""
+    def request_standing(self, config_id: int, digest: str) -> dict:
+        """What a configuration's requests say of a schema, in one row.
+
+        ``exact`` is the status of the newest request for this very schema, ``initial`` whether
+        one of them is a first-load approval, ``pending`` whether any request is open.
+        """
         own = self.current(tables.REQUEST, F.col("ConfigId") == config_id)
-        rows = own.orderBy(F.desc("SchemaChangeRequestId")).collect()
-        return [r.asDict() for r in rows]
+        same = F.col("DetectedSchemaHash") == digest
+        number = F.when(same, F.col("SchemaChangeRequestId"))
+        found = own.agg(
+            F.max_by("Status", number).alias("exact"),
+            F.coalesce(F.bool_or(same & (F.col("DecisionBy") == v.INITIAL_LOAD)), F.lit(False)).alias("initial"),
+            F.coalesce(F.bool_or(F.col("Status") == v.PENDING), F.lit(False)).alias("pending"),
+        )
+        return found.first().asDict()
 
     def request(self, request_id: int) -> dict | None:
         return self.latest_row(tables.REQUEST, F.col("SchemaChangeRequestId") == request_id)
