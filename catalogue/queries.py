@@ -415,19 +415,14 @@ def health_datepart_join(t: Inputs) -> DataFrame:
     """The other relationships: runs by completion, tables by both health timestamps, the
     summary by its last success."""
     health = reporting.pipeline_health(*t.many("fx_config", "fx_request", "fx_attempt"))
-    related = [
-        ("run_completed", t["fx_run"], "CompletedUtc"),
-        ("table_last_success", health, "LastSuccessfulRunUtc"),
-        ("table_last_completed", health, "LastCompletedUtc"),
-        ("summary_last_success", _summary(t), "LastSuccessfulRunUtc"),
+    days = [
+        calendar.related_days(t["fx_run"], {"run_completed": "CompletedUtc"}, "n"),
+        calendar.related_days(
+            health, {"table_last_success": "LastSuccessfulRunUtc", "table_last_completed": "LastCompletedUtc"}, "n"
+        ),
+        calendar.related_days(_summary(t), {"summary_last_success": "LastSuccessfulRunUtc"}, "n"),
     ]
-    parts = [
-        calendar.by_date(df, ts, calendar.date_dimension(df, ts).select("Date"), "n").withColumn(
-            "relationship", F.lit(name)
-        )
-        for name, df, ts in related
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return calendar.fill_days(reduce(DataFrame.unionByName, days), "n")
 
 
 # --- alerts -----------------------------------------------------------------------

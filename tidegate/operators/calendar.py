@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DRILL = ["Year", "QuarterNo", "MonthNo", "Day"]
@@ -48,6 +48,29 @@ def by_date(df: DataFrame, ts: str, calendar: DataFrame, alias: str) -> DataFram
     return calendar.join(daily_counts(df, ts, alias), "Date", "left").withColumn(alias, zero)
 
 
+def related_days(df: DataFrame, timestamps: dict[str, str], alias: str) -> DataFrame:
+    """Rows per day and relationship: one pass over ``df`` counts all its timestamps."""
+    pairs = [F.struct(F.lit(name).alias("relationship"), F.to_date(ts).alias("Date")) for name, ts in timestamps.items()]
+    days = df.select(F.inline(F.array(*pairs))).filter(F.col("Date").isNotNull())
+    return days.groupBy("relationship", "Date").agg(F.count("*").alias(alias))
+
+
+def fill_days(days: DataFrame, alias: str) -> DataFrame:
+    """The missing days of whole years, as zero, for each relationship of ``related_days``.
+
+    Every day brings the gap up to the next one, the first and last also the rest of their
+    year; nothing is read a second time for the bounds. The window sorts days, not log rows.
+    """
+    order = Window.partitionBy("relationship").orderBy("Date")
+    day = F.col("Date")
+    begin = F.when(F.lag("Date").over(order).isNull(), F.trunc(day, "year")).otherwise(day)
+    last = F.make_date(F.year(day), F.lit(12), F.lit(31))
+    end = F.coalesce(F.date_sub(F.lead("Date").over(order), 1), last)
+    spread = days.withColumns({"_begin": begin, "_end": end}).withColumn("_day", F.explode(F.sequence("_begin", "_end")))
+    count = F.when(F.col("_day") == day, F.col(alias)).otherwise(F.lit(0).cast("bigint"))
+    return spread.select("relationship", F.col("_day").alias("Date"), count.alias(alias))
+
+
 def calendar_rollup(df: DataFrame, ts: str, alias: str) -> DataFrame:
     """Counts on every level of the Year > Quarter > Month > Day hierarchy.
 

@@ -28,21 +28,19 @@ def _repeated(df: DataFrame, rule: str, keys: list[str]) -> DataFrame:
     )
 
 
-def _orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, rule: str) -> DataFrame:
-    """Child rows whose key has no parent; a NULL key refers to nothing and is allowed.
-
-    Children are counted per key first, so the anti-join sees each key once.
-    """
-    keys = (
-        child.filter(F.col(fk).isNotNull())
-        .groupBy(F.col(fk).alias("_key"))
-        .agg(F.count("*").alias("n"))
-    )
-    lost = keys.join(parent.select(F.col(pk).alias("_key")), "_key", "left_anti")
-    return lost.agg(
-        F.lit(rule).alias("rule"),
-        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("offending"),
-    )
+def _lost(rows: str) -> Column:
+    """A child key's rows when it has no parent; a NULL key refers to nothing and is allowed."""
+    return F.when(F.col("_has_key") & F.col("_parent").isNull(), F.col(rows)).otherwise(0)
+
+
+def _per_parent(groups: DataFrame, parent: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """All rules of a log that is grouped by its parent's key: one pass, each key joined once."""
+    key = parent.columns[0]
+    known = parent.distinct().withColumn("_parent", F.lit(True))
+    joined = groups.join(known, key, "left").withColumn("_has_key", F.col(key).isNotNull())
+    totals = [F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias(name) for name, bad in rules.items()]
+    rows = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("offending")) for name in rules]
+    return joined.agg(*totals).select(F.inline(F.array(*rows)))
 
 
 def _outside(column: str, *allowed: str) -> Column:
@@ -90,21 +88,39 @@ def validate_logs(
 ) -> DataFrame:
     """Uniqueness, reference and domain rules of the audit and approval logs."""
     cfg, attempt = "ConfigId", "TableLoadAuditId"
-    pending = requests.filter(F.col("Status") == v.PENDING)
+    configs, ids = config.select(cfg), attempts.select(attempt)
+    by_version = history.groupBy(cfg, "SchemaVersion").agg(F.count("*").alias("n"))
     return _stack(
         [
             _repeated(runs, "UNIQUE_RUN", ["AdfPipelineRunId"]),
-            _repeated(history, "UNIQUE_VERSION", [cfg, "SchemaVersion"]),
-            _repeated(pending, "ONE_PENDING_REQUEST", [cfg]),
             _repeated(checks, "UNIQUE_CHECK", ["ReconciliationResultId"]),
-            _orphans(attempts, cfg, config, cfg, "ATTEMPT_CONFIG"),
-            _orphans(requests, cfg, config, cfg, "REQUEST_CONFIG"),
-            _orphans(history, cfg, config, cfg, "VERSION_CONFIG"),
-            _orphans(checks, attempt, attempts, attempt, "CHECK_ATTEMPT"),
-            _counts(checks, {"RESULT_DOMAIN": _outside("Result", v.PASS, v.WARNING, v.FAIL)}),
-            _counts(
-                requests,
-                {"REQUEST_STATUS_DOMAIN": _outside("Status", v.PENDING, v.APPROVED, v.REJECTED)},
+            _per_parent(
+                by_version.groupBy(cfg).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("twice")),
+                configs,
+                {"VERSION_CONFIG": _lost("n"), "UNIQUE_VERSION": F.col("twice")},
+            ),
+            _per_parent(
+                requests.groupBy(cfg).agg(
+                    F.count("*").alias("n"),
+                    F.count_if(F.col("Status") == v.PENDING).alias("open"),
+                    F.count_if(_outside("Status", v.PENDING, v.APPROVED, v.REJECTED)).alias("odd"),
+                ),
+                configs,
+                {
+                    "REQUEST_CONFIG": _lost("n"),
+                    "ONE_PENDING_REQUEST": (F.col("open") > 1).cast("bigint"),
+                    "REQUEST_STATUS_DOMAIN": F.col("odd"),
+                },
+            ),
+            _per_parent(
+                attempts.groupBy(cfg).agg(F.count("*").alias("n")), configs, {"ATTEMPT_CONFIG": _lost("n")}
+            ),
+            _per_parent(
+                checks.groupBy(attempt).agg(
+                    F.count("*").alias("n"), F.count_if(_outside("Result", v.PASS, v.WARNING, v.FAIL)).alias("odd")
+                ),
+                ids,
+                {"CHECK_ATTEMPT": _lost("n"), "RESULT_DOMAIN": F.col("odd")},
             ),
         ]
     )
