@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ from tidegate.operators import (
 from tidegate.plans import reporting
 from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
-from tidegate.sources import Frames, Sources
+from tidegate.plans.views import register_views
+from tidegate.sources import CatalogTables, Frames, ParquetFolder, Sources
 from tidegate.state import tables as logs
 from tidegate.state.shared import shared_root
 from tidegate.state.snapshots import Snapshots
@@ -566,3 +568,71 @@ def governed_load_curated(t: Inputs) -> DataFrame:
     load_table(store, snapshots, _governed(t, True), 1, "run-1")
     load_table(store, snapshots, _governed(t, False), 1, "run-2")
     return snapshots.table(1)
+
+
+class _Disturbed(Snapshots):
+    """Adds rows to a fully loaded folder between the write and gate 2, as a stray writer would."""
+
+    def replace_all(self, old, stage):
+        candidate = super().replace_all(old, stage)
+        stray = stage.frame.filter(F.col(stage.key) % 10 == 0)
+        stray.write.mode("append").parquet(self.store.path(stage.path))
+        return candidate
+
+
+@query
+def governed_gate_checks(t: Inputs) -> DataFrame:
+    """The checks of one attempt each: a clean first load, a full load that gate 2 stops, and a
+    table that gate 1 stops."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    snapshots = _Disturbed(store)
+    store.add_configs(GOVERNED)
+    for config_id, code in ((1, None), (2, 50015), (3, 50014)):
+        try:
+            load_table(store, snapshots, _governed(t, False), config_id, "run-1")
+        except LoadError as error:
+            if error.code != code:
+                raise
+    attempt = store.current(logs.ATTEMPT).select("TableLoadAuditId", "SourceObject", "Status")
+    checks = store.read(logs.CHECK).select(
+        "TableLoadAuditId", "GateStage", "CheckName", "ExpectedValue", "ActualValue", "Result", "Details"
+    )
+    return checks.join(attempt, "TableLoadAuditId").drop("TableLoadAuditId")
+
+
+@query
+def governed_views_by_name(t: Inputs) -> DataFrame:
+    """A registered view, read by its name after a load."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    snapshots = Snapshots(store)
+    store.add_configs(GOVERNED[:2])
+    for config_id in (1, 2):
+        load_table(store, snapshots, _governed(t, False), config_id, "run-1")
+    register_views(store)
+    return t.spark.sql(
+        "SELECT SourceObject, LoadType, IsFirstLoad, AttemptNumber, SourceRowCount, TargetRowCount, Status "
+        "FROM vw_TableLoadDetail"
+    )
+
+
+@query
+def source_connections(t: Inputs) -> DataFrame:
+    """The same table through a folder connection and through the session catalog."""
+    root, _, folder = t.sf_dir.rpartition("/")
+    name = f"orders_{uuid4().hex}"
+    t["orders"].createOrReplaceTempView(name)
+    sources = Sources(t.spark, {"lake": ParquetFolder(root), "session": CatalogTables()})
+    read = {
+        "lake": sources.read(folder, "orders.parquet", "lake"),
+        "session": sources.read("", name, "session"),
+        "default": sources.read("", name),
+    }
+    parts = [
+        frame.groupBy("o_orderstatus").agg(
+            F.lit(reference).alias("reference"),
+            F.count("*").alias("source_rows"),
+            F.max("o_orderdate").alias("newest"),
+        )
+        for reference, frame in read.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
