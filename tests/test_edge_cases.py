@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tidegate.operators.fingerprint import compatibility, fingerprint, missing_names
 from tidegate.plans import rfc
 from tidegate.plans.load import load_table
-from tidegate.plans.run import finalize_run, start_run
+from tidegate.plans.run import close_published, finalize_run, start_run
 from tidegate.state import tables
 from tidegate.state.snapshots import Snapshots
 from tidegate.state.store import StateStore
@@ -308,6 +308,31 @@ def test_gate_2_sees_a_file_added_to_a_full_load(world, monkeypatch):
     assert checks["DUPLICATE_PRIMARY_KEY"] == checks["FULL_ROW_COUNT"] == "FAIL"
 
 
+def test_a_driver_lost_after_the_commit(world, monkeypatch):
+    load(world, AGP_ID, "r1")
+    world.tables[AGP].rows[0]["LastModifiedUtc"] = datetime(2026, 9, 20)
+    append, commit = world.store.append_all, world.snapshots.commit
+
+    def committed(*args):
+        commit(*args)
+        monkeypatch.setattr(world.store, "append_all", lost)
+
+    def lost(*args):
+        raise Crash
+
+    monkeypatch.setattr(world.snapshots, "commit", committed)
+    with pytest.raises(Crash):
+        load(world, AGP_ID, "r2")
+    assert append and world.attempts("r2")[0]["Status"] == "RUNNING"
+    world.store = StateStore(world.spark, world.store.root, world.tick)
+    world.snapshots = Snapshots(world.store)
+    assert close_published(world.store) == 1 and close_published(world.store) == 0
+    (attempt,) = world.attempts("r2")
+    assert attempt["Status"] == "SUCCESS" and attempt["TargetRowCount"] == world.curated(AGP_ID).count()
+    config = world.store.config(AGP_ID)
+    assert config["LastRunStatus"] == "SUCCESS" and config["LastWatermarkValue"] == datetime(2026, 9, 20)
+
+
 VALID = {"SourceTable": "t", "TargetTable": "t", "Load": "Yes", "LoadType": "FULL", "PrimaryKeyColumn": "k"}
 
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidegate.functions import timestamp_literal
@@ -77,6 +78,42 @@ def finalize_run(store: StateStore, run_id: str) -> tuple[str, str]:
     return outcome["Status"], outcome["Message"]
 
 
+def close_published(store: StateStore) -> int:
+    """Close attempts that published but were lost before their outcome was written.
+
+    A commit names its attempt, so an attempt that is RUNNING and has a commit did succeed. For a
+    new driver to call before its first run; attempts without a commit stay RUNNING. Returns how
+    many were closed; as many rows come to the driver.
+    """
+    folder = store.path("commit")
+    if not store.exists(folder):
+        return 0
+    commits = store.spark.read.schema(tables.COMMIT_COLUMNS).parquet(folder).select(
+        "TableLoadAuditId",
+        F.aggregate("Parts", F.lit(0).cast("bigint"), lambda n, part: n + part["rows"]).alias("rows"),
+        "LastWatermarkValue",
+        "CommittedUtc",
+    )
+    running = store.current(tables.ATTEMPT, None).filter(F.col("Status") == v.RUNNING)
+    found = running.join(commits, "TableLoadAuditId").collect()
+    for row in map(Row.asDict, found):
+        outcome = {
+            **{name: row[name] for name in tables.ATTEMPT.fields},
+            "TargetRowCount": row["rows"],
+            "CompletedUtc": row["CommittedUtc"],
+            "Status": v.SUCCESS,
+        }
+        with store.config_lock(row["ConfigId"]):
+            changes = {
+                "LastWatermarkValue": row["LastWatermarkValue"],
+                "LastRunStatus": v.SUCCESS,
+                "LastSuccessfulRunUtc": row["CommittedUtc"],
+            }
+            store.update_config(store.config(row["ConfigId"]), **changes)
+            store.append(tables.ATTEMPT, [outcome])
+    return len(found)
+
+
 def fill_outbox(store: StateStore, run_id: str, since: datetime | None = None) -> None:
     """Append the JSON events of the run's alerts; delivery is someone else's work."""
     now = store.clock()
