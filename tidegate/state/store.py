@@ -63,7 +63,13 @@ def utc_now() -> datetime:
 
 
 def local_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
-    """A handful of driver rows as a one-partition local relation; no Python worker takes part."""
+    """A handful of driver rows as a one-partition local relation; no Python worker takes part.
+
+    A field the schema lacks is an error: it would be dropped without a word.
+    """
+    unknown = {name for row in rows for name in row} - set(schema.fieldNames())
+    if unknown:
+        raise ValueError(f"unknown fields: {', '.join(sorted(unknown))}")
     table = pa.Table.from_pylist(rows, schema=to_arrow_schema(schema))
     return spark.createDataFrame(table, schema).coalesce(1)
 
