@@ -10,7 +10,8 @@ text is rejected when its calibrated score lies below a threshold, chosen there
 ``reject_share`` of the texts with the right prediction fall under it.
 
 The sample: every language gets the same number of rows, chosen by a hash of the id, about
-``max_rows`` in all (a documented bound; see ``train``).
+``max_rows`` in all (a documented bound; see ``train``). Where there are more than ``max_rows / 10``
+languages, the most frequent ones are learned.
 
 Defined cases: a text that is null or holds no letter gets ``und``, score 0, and is rejected; a
 null language or id is never learned from; without any labelled row every text is ``und``;
