@@ -35,7 +35,8 @@ Q = 8  # as many as bytes in a word
 MIN_CHARS = 24
 MIN_SHARED = 2
 EDIT_SHARE = 0.1
-CHARS = 1 << 20  # of texts looked at together
+CHARS = 1 << 19  # of texts looked at together
+ROWS = 512  # texts taken out of a batch together
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPAN = 1 << 20  # start places in a cost, see _align
 
@@ -93,7 +94,7 @@ def index_of(texts: tuple[str, ...], edit_share: float) -> Index:
 
 
 def candidates(chars: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, item, band) of the bands with enough shared q-grams; texts begin at ``starts``."""
+    """(text, item, lowest diagonal) of the bands with enough shared q-grams; texts begin at ``starts``."""
     codes = _codes(chars)
     none = (np.empty(0, np.int64),) * 3
     at = np.flatnonzero(index.hit[(codes * MIX) >> np.uint64(64 - index.bits)])
@@ -107,19 +108,29 @@ def candidates(chars: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.
     copies = index.first[found + 1] - index.first[found]
     where = np.repeat(index.first[found] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
     at, item, place = np.repeat(at, copies), index.item[where], index.place[where]
-    text = np.searchsorted(starts, at, side="right") - 1
-    width = index.edits[item] + 1
     longest = max(map(len, index.items))
-    half = (at - place + longest) // width  # never negative
-    # a diagonal lies in the band that begins in its half and in the one before
-    pair = text * len(index.items) + item
-    order = np.unique(np.stack((np.tile(pair, 2), np.concatenate((half, half - 1)), np.tile(place, 2)), 1), axis=0)
-    new = np.concatenate(([True], (order[1:, :2] != order[:-1, :2]).any(axis=1)))
-    begin = np.flatnonzero(new)
-    enough = np.diff(np.append(begin, len(order))) >= index.shared[order[begin, 0] % len(index.items)]
-    pair, band = order[begin[enough], 0], order[begin[enough], 1]
-    text, item = np.divmod(pair, len(index.items))
-    return text, item, band * (index.edits[item] + 1) - longest
+    half = (at - place + longest) // (index.edits[item] + 1) + 1
+    # A diagonal lies in the band that begins in its half and in the one before. First all hits of
+    # a band are counted, by sorting one number each; few bands have enough.
+    halves = int(half.max()) + 1
+    band = np.concatenate((item * halves + half, item * halves + half - 1))
+    order = np.sort(band)
+    begin = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
+    counts, keys = np.diff(np.append(begin, len(order))), order[begin]
+    keys = keys[counts >= index.shared[keys // halves]]
+    if not len(keys):
+        return none
+    known = keys[np.minimum(np.searchsorted(keys, band), len(keys) - 1)] == band
+    hit = np.flatnonzero(known) % len(at)
+    # then, in these, the different places of the item, text by text
+    text = np.searchsorted(starts, at[hit], side="right") - 1
+    rows = np.unique(np.stack((text, band[known], place[hit]), 1), axis=0)
+    begin = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
+    text, band = rows[begin, 0], rows[begin, 1]
+    item, half = np.divmod(band, halves)
+    enough = np.diff(np.append(begin, len(rows))) >= index.shared[item]
+    low = (half - 1) * (index.edits[item] + 1) - longest
+    return text[enough], item[enough], low[enough]
 
 
 def _align(chars: np.ndarray, begins: np.ndarray, ends: np.ndarray, items: list[np.ndarray], lows: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,16 +146,16 @@ def _align(chars: np.ndarray, begins: np.ndarray, ends: np.ndarray, items: list[
     left = lows - edits
     columns = np.arange(width)
     cost = np.broadcast_to(columns.astype(np.int64), (n, width)).copy()  # free start on every diagonal
-    far = np.int64((m + width + 9) * SPAN)
     step = columns * SPAN
+    # the texts' characters under the band; outside a text every character differs
+    place = left[:, None] + np.arange(width + m)
+    inside = (place >= begins[:, None]) & (place < ends[:, None])
+    letters = np.where(inside, chars[np.where(inside, place, 0)], np.uint32(0xFFFFFFFF))
     for row in range(m):
-        place = left[:, None] + columns + row
-        inside = (place >= begins[:, None]) & (place < ends[:, None])  # outside every character differs
-        letters = chars[np.clip(place, 0, len(chars) - 1)]
-        change = cost + np.where(inside & (letters == item[:, row : row + 1]), 0, SPAN)
-        skip = np.concatenate((cost[:, 1:] + SPAN, np.full((n, 1), far)), axis=1)  # item character left out
-        cost = np.minimum(change, skip)
-        cost = np.minimum.accumulate(cost - step, axis=1) + step  # text character put in
+        change = cost + (letters[:, row : row + width] != item[:, row : row + 1]) * np.int64(SPAN)
+        np.minimum(change[:, :-1], cost[:, 1:] + SPAN, out=change[:, :-1])  # item character left out
+        change -= step
+        cost = np.minimum.accumulate(change, axis=1) + step  # text character put in
     best = cost.argmin(axis=1)
     value = cost[np.arange(n), best]
     return value // SPAN, left + value % SPAN, left + best + m
@@ -168,6 +179,13 @@ def verify(chars: np.ndarray, starts: np.ndarray, stops: np.ndarray, found: tupl
     return [(t, i, *region) for (t, i), region in sorted(best.items())]
 
 
+def search_batch(texts: pa.Array, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """``search`` over an Arrow column, some rows at a time."""
+    for at in range(0, len(texts), ROWS):
+        for text, *rest in search(texts.slice(at, ROWS).to_pylist(), index):
+            yield at + text, *rest
+
+
 def search(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, stop) for all texts; places are those of the normal text."""
     at, parts, size = 0, [], 0
@@ -220,7 +238,7 @@ def matches(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = index_of(texts, edit_share)
             for batch in batches:
-                rows = list(search(batch.column(1).to_pylist(), index))
+                rows = list(search_batch(batch.column(1), index))
                 text, item, edits, start, stop = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -256,7 +274,7 @@ def remove(
             index = index_of(texts, edit_share)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[row[0] for row in search(batch.column(place).to_pylist(), index)]] = False
+                clean[[row[0] for row in search_batch(batch.column(place), index)]] = False
                 yield batch.filter(pa.array(clean))
 
         return frame.mapInArrow(run, frame.schema)
