@@ -7,12 +7,11 @@ into parts, whose sums are added up again by document.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-LIMIT = 1 << 21  # bytes looked at together
+LIMIT = 1 << 19  # bytes looked at together
 GAP = b"    "  # blanks between texts, so that no n-gram of up to five bytes spans two of them
 
 _BYTES = np.arange(256)
@@ -23,10 +22,13 @@ MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 / golden ratio, as in Fibonacci hash
 
 
 class Block:
-    """Some texts (or parts of long ones) side by side: ``data``, with text k at starts[k]:stops[k]."""
+    """Some texts (or parts of long ones) side by side: ``data``, with text k at starts[k]:stops[k].
 
-    def __init__(self, docs: list[int], parts: list[bytes]):
-        self.docs = np.array(docs, np.int64)
+    ``docs`` numbers the texts, ``begins`` tells where in its text a part begins.
+    """
+
+    def __init__(self, docs: list[int], begins: list[int], parts: list[bytes]):
+        self.docs, self.begins = np.array(docs, np.int64), np.array(begins, np.int64)
         self.data = np.frombuffer(GAP + GAP.join(parts) + GAP, np.uint8)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         self.starts = len(GAP) + np.cumsum(sizes + len(GAP)) - sizes - len(GAP)
@@ -40,7 +42,7 @@ class Block:
 
 def blocks(texts: pa.Array, limit: int = LIMIT) -> Iterator[Block]:
     """All texts in order; a null text is an empty one."""
-    docs, parts, held = [], [], 0
+    docs, begins, parts, held = [], [], [], 0
     for k, text in enumerate(texts.cast(pa.binary())):
         data = text.as_py() or b""
         lo = 0
@@ -50,16 +52,17 @@ def blocks(texts: pa.Array, limit: int = LIMIT) -> Iterator[Block]:
                 cut = data.rfind(b" ", lo + 1, lo + limit)
                 hi = cut if cut > lo else lo + limit
             docs.append(k)
+            begins.append(lo)
             parts.append(data[lo:hi])
             held += hi - lo
             if held >= limit or len(parts) >= 1 << 14:
-                yield Block(docs, parts)
-                docs, parts, held = [], [], 0
+                yield Block(docs, begins, parts)
+                docs, begins, parts, held = [], [], [], 0
             lo = hi
             if lo >= len(data):
                 break
     if parts:
-        yield Block(docs, parts)
+        yield Block(docs, begins, parts)
 
 
 def grams(symbols: np.ndarray, size: int, bits: int, width: int = 8) -> np.ndarray:
@@ -70,13 +73,20 @@ def grams(symbols: np.ndarray, size: int, bits: int, width: int = 8) -> np.ndarr
     return ((code * MIX) >> np.uint64(64 - bits)).astype(np.int32)
 
 
-@cache
+_tables: list[np.ndarray] = []  # the longest powers made so far, kept by the worker
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    base = 0xD1342543DE82EF95
+    """At least n powers of an odd number and of its inverse modulo 2^64."""
+    if _tables and len(_tables[0]) >= n:
+        return _tables[0], _tables[1]
+    base, n = 0xD1342543DE82EF95, max(n, LIMIT + LIMIT // 4)
     up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    made = [np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)]
+    if n <= 4 * LIMIT:  # texts of no usual size leave nothing behind
+        _tables[:] = made
+    return made[0], made[1]
 
 
 def words(data: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +98,7 @@ def words(data: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray,
     letter = np.concatenate(([False], LETTER[data], [False]))
     edges = np.flatnonzero(letter[1:] != letter[:-1])
     start, stop = edges[::2], edges[1::2]
-    up, down = _powers(1 << max(12, int(len(data)).bit_length()))
+    up, down = _powers(len(data) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((FOLDED[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)))
     ends = np.stack([stop, *[np.minimum(start + k, stop) for k in prefixes]], 1)
     valid = np.stack([np.ones(len(start), bool), *[start + k < stop for k in prefixes]], 1)

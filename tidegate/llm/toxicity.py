@@ -107,8 +107,8 @@ class Bags:
         return cls(
             rows["toxic"].to_numpy().astype(np.int64),
             np.repeat(np.arange(len(lengths)), lengths),
-            np.repeat(np.arange(len(sizes)), sizes),
-            flat("features").astype(np.int64),
+            np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
+            flat("features").astype(np.int32),
         )
 
 
@@ -119,13 +119,17 @@ def screen(bags: Bags, least: float = 24.0) -> np.ndarray:
     label holds, so that copies count once. Features of few texts cannot pass, and so cannot
     memorise them.
     """
-    mark = np.bincount(bags.sentence, ((bags.feature + 1) * 0x9E3779B97F4A7 % 1_000_003).astype(float), len(bags.text))
+    noise = np.random.default_rng(0).integers(1, 1 << 32, 1 << BITS).astype(float)
+    mark = np.bincount(bags.sentence, noise[bags.feature], len(bags.text))  # equal for equal sentences
     size = np.bincount(bags.sentence, minlength=len(bags.text))
     label = bags.toxic[bags.text]
     fresh = np.zeros(len(bags.text), bool)
     fresh[np.unique(np.stack((label, size, mark), 1), axis=0, return_index=True)[1]] = True
     use = fresh[bags.sentence]
-    pairs = np.unique(bags.text[bags.sentence[use]] << BITS | bags.feature[use])
+    pairs = bags.text[bags.sentence[use]] << BITS
+    pairs |= bags.feature[use]
+    pairs.sort()
+    pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
     owner, feature = pairs >> BITS, pairs & (1 << BITS) - 1
     counts = np.stack([np.bincount(feature[bags.toxic[owner] == y], minlength=1 << BITS) for y in (0, 1)]).astype(float)
     totals = np.array([np.unique(owner[bags.toxic[owner] == y]).size for y in (0, 1)], float)
@@ -147,7 +151,7 @@ def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), steps: int = 200,
     if share in (0.0, 1.0):
         return Model(np.zeros(1 << BITS, np.float32), -40.0, share)
     used = screen(bags)
-    number = np.full(1 << BITS, -1)
+    number = np.full(1 << BITS, -1, np.int32)
     number[used] = np.arange(len(used))
     known = number[bags.feature]
     sentences, sentence = np.unique(bags.sentence[known >= 0], return_inverse=True)
@@ -191,7 +195,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    max_rows: int = 6000,
+    max_rows: int = 2400,
 ) -> Model:
     """Fit on about ``max_rows`` labelled rows, half of either label, for which ``learnable`` (of the labels) holds."""
     known = labels.filter(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -225,13 +229,8 @@ def score_batch(texts: pa.Array, model: Model, locate: float = 0.5) -> tuple[np.
         p = _logistic(np.bincount(key >> BITS, model.weights[key & (1 << BITS) - 1], len(text)) + model.bias)
         doc = block.docs[text]
         np.add.at(clean, doc, np.log1p(-np.minimum(p, 1 - 1e-9)))
-        # parts of a long text count from the text's own beginning
-        begun = np.zeros(len(block.docs), np.int64)
-        for k in range(1, len(block.docs)):
-            if block.docs[k] == block.docs[k - 1]:
-                begun[k] = begun[k - 1] + block.stops[k - 1] - block.starts[k - 1]
         for k in np.flatnonzero(p >= locate):
-            lo, hi = (span[k] + begun[text[k]]).tolist()
+            lo, hi = (span[k] + block.begins[text[k]]).tolist()  # from the text's own beginning
             spans[doc[k]].append({"start": lo, "stop": hi, "score": float(p[k])})
     return 1 - (1 - model.leak) * np.exp(clean), spans
 
