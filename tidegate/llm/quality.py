@@ -42,20 +42,36 @@ def _without(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def votes(text: Column, words: Column) -> dict[str, Column]:
-    """Labeller -> vote. A labeller is silent where its figure says nothing either way."""
-    n, chars = F.size(words), F.length(text)
-    different = F.size(F.array_distinct(words))
-    marks, pipes, upper = _without(text, MARKS), _without(text, "|"), _without(text, UPPER)
-    shouts, stops = _without(text, "!"), _without(text, ".,;:?")
-    echoes = F.size(F.filter(F.zip_with(words, F.slice(words, 2, n), lambda a, b: a == b), lambda same: same))
+def figures(text: Column) -> dict[str, Column]:
+    """What the labellers look at. Words are split off once, as a lambda variable."""
+    words = F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " "), "")
+    echoes = lambda w: F.filter(F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: a == b), lambda same: same)
+    of_words = F.transform(
+        F.array(words), lambda w: F.array(F.size(w), F.size(F.array_distinct(w)), F.size(echoes(w)))
+    )[0]
+    return {
+        "_words": of_words,
+        "_chars": F.length(text),
+        "_marks": _without(text, MARKS),
+        "_pipes": _without(text, "|"),
+        "_upper": _without(text, UPPER),
+        "_shouts": _without(text, "!"),
+        "_stops": _without(text, ".,;:?"),
+    }
+
+
+def votes() -> dict[str, Column]:
+    """Labeller -> vote, from the figures. A labeller is silent where its figure says nothing either way."""
+    n, different, echoes = (F.col("_words")[k] for k in range(3))
+    chars, marks, pipes, upper, shouts, stops = (F.col(f"_{c}") for c in ("chars", "marks", "pipes", "upper", "shouts", "stops"))
 
     def vote(bad: Column, good: Column) -> Column:
         return F.when(bad, BAD).when(good, GOOD).otherwise(SILENT)
 
+    # a long text repeats its common words, so different words are held against a power of the length
+    usual = F.pow(n, F.lit(0.9))
     return {
-        # a long text repeats its common words, so different words are held against a power of the length
-        "repetition": vote((n >= 8) & (different < 0.45 * F.pow(n, F.lit(0.9))), (n >= 8) & (different > 0.7 * F.pow(n, F.lit(0.9)))),
+        "repetition": vote((n >= 8) & (different < 0.45 * usual), (n >= 8) & (different > 0.7 * usual)),
         "echoes": vote((n >= 8) & (5 * echoes > n), (n >= 8) & (50 * echoes <= n)),
         "marks": vote(10 * marks > 2 * n, (n >= 5) & (marks == 0)),
         "mark_density": vote(100 * marks > 3 * chars, (n >= 20) & (1000 * marks < chars)),
@@ -67,18 +83,12 @@ def votes(text: Column, words: Column) -> dict[str, Column]:
 
 
 def with_pattern(docs: DataFrame, text_col: str) -> DataFrame:
-    """``_text`` and ``_pattern``, the votes as digits to base three."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " "), "")
-
-    def code(w: Column) -> Column:
-        total = F.lit(0)
-        for k, vote in enumerate(votes(text, w).values()):
-            total = total + vote * 3**k
-        return total
-
-    # a lambda variable, so that the words are split off once for all labellers
-    return docs.withColumns({"_text": text, "_pattern": F.transform(F.array(words), code)[0]})
+    """``_pattern``: the votes as digits to base three. Figures first, so that each is taken once."""
+    seen = figures(F.coalesce(F.col(text_col), F.lit("")))
+    total = F.lit(0)
+    for k, vote in enumerate(votes().values()):
+        total = total + vote * 3**k
+    return docs.withColumns(seen).withColumn("_pattern", total).drop(*seen)
 
 
 N_LABELLERS = 8
@@ -214,8 +224,8 @@ def fit(
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 4000) -> Model:
-    marked = with_pattern(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_source")), "_source")
-    rows = marked.groupBy("_pattern").count().orderBy("_pattern").collect()
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = with_pattern(source, "_text").groupBy("_pattern").count().orderBy("_pattern").collect()
     if not rows:
         return Model(np.zeros(1 << BITS, np.float32), 0.0, np.zeros(N_LABELLERS), {})
     patterns = np.array([r["_pattern"] for r in rows])
@@ -240,7 +250,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
                     ["pattern", "buckets", "shares"],
                 )
 
-    chosen = marked.filter(F.col("doc_id").isNotNull() & (place < share)).select("_pattern", "_text").limit(2 * max_rows)
+    # the first filter needs the id only, so the votes are taken of few documents
+    few = source.filter(F.col("doc_id").isNotNull() & (place < F.lit(max(shares))))
+    chosen = with_pattern(few, "_text").filter(place < share).select("_pattern", F.coalesce("_text", F.lit("")).alias("_text"))
+    chosen = chosen.limit(2 * max_rows)
     found = chosen.mapInArrow(run, "pattern int, buckets array<int>, shares array<float>").toArrow()
     rows = [(p.as_py(), i.values.to_numpy(), v.values.to_numpy()) for p, i, v in zip(*found.columns)]
     rows.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))  # whatever order they arrive in
