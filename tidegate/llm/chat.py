@@ -20,10 +20,10 @@ rows.
 from __future__ import annotations
 
 import hashlib
-import os.path
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,7 +59,9 @@ def bracket_template(turns: list[Turn]) -> str:
     return "<s>" + "".join(_format(role, text) for role, text in turns)
 
 
+@lru_cache(maxsize=1 << 12)
 def _format(role: str, text: str) -> str:
+    """A turn; kept, as growing prefixes ask for the same turns again and again."""
     text = escape(text)
     if role == "user":
         return f"[INST] {text} [/INST]"
@@ -109,6 +111,18 @@ class Rendered:
 PROBES = ("①", "②")  # any two texts that begin and end differently
 
 
+def _same_head(a: str, b: str) -> int:
+    """How many characters two strings begin with in common, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def render(turns: list[Turn], template: Template = bracket_template) -> Rendered:
     before, spans, contents, rewritten = template([]), [], [], []
     for k, (role, _) in enumerate(turns):
@@ -116,12 +130,14 @@ def render(turns: list[Turn], template: Template = bracket_template) -> Rendered
         begin = len(before)
         if not now.startswith(before):
             rewritten.append(k)
-            begin = len(os.path.commonprefix([before, now]))
+            begin = _same_head(before, now)
         spans.append((begin, len(now)))
         one, two = (template([*turns[:k], (role, probe)]) for probe in PROBES)
-        head = len(os.path.commonprefix([one, two]))
-        tail = len(os.path.commonprefix([one[::-1], two[::-1]]))
-        contents.append((head, max(head, len(now) - tail)))
+        # what both share with the rendering before needs no second look
+        known = len(before) if one.startswith(before) and two.startswith(before) else 0
+        one, two = one[known:], two[known:]
+        head, tail = _same_head(one, two), _same_head(one[::-1], two[::-1])
+        contents.append((known + head, max(known + head, len(now) - tail)))
         before = now
     if rewritten:  # places found before a change no longer hold
         contents = []
