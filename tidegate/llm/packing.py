@@ -134,9 +134,13 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 8, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.release()
+
+    def release(self) -> None:
+        """Forget all words, so that a worker that waits for its next task holds no cache."""
         self.index = _Index()
-        self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.starts, self.sizes, self.uses = (np.zeros(1 << 17, np.int64) for _ in range(3))
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.uses = (np.zeros(1 << 12, np.int64) for _ in range(3))
 
     def _encode(self, texts: list[str], plain: bool = False) -> list[list[int]]:
         tokenizer = self.plain if plain else self.tokenizer
@@ -332,6 +336,7 @@ def pack(
                 packer.add(doc.as_py(), np.concatenate((words.ids(text.as_py() or ""), end)))
             yield from rows(1 << 13)
         packer.finish()
+        words.release()
         yield from rows(1)
 
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
