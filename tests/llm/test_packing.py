@@ -46,6 +46,16 @@ def test_ids_are_the_tokenizers():
             assert words.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_what_stands_before_stops_and_commas():
+    """Whatever the tokenizer joins with a full stop or comma behind it."""
+    path = tokenizer_path()
+    plain, words = Tokenizer.from_file(path), packing.WordIds(path)
+    texts = ["foo_. bar", "see __init__.py", "a_, b", "x\x1c. y\x1f, z", "İ. İ, \u0958. \ufb1d,", "_. ,_ ._", ". a", ",", "a.b,c 3.14 'tis. o',"]
+    texts += [f"ab{chr(c)}. c {chr(c)},d" for c in range(0x3100)]
+    for text in texts:
+        assert words.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_ids_of_table(spark, sf_dir):
     path = tokenizer_path()
     plain, words = Tokenizer.from_file(path), packing.WordIds(path)

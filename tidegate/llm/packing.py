@@ -109,7 +109,9 @@ class _Index(dict):
         return number
 
 
-TWO_MARKS = re.compile(r"[^\w\s][^\w\s]")
+# a full stop or comma behind anything but these may be joined with it by the tokenizer: marks, '_',
+# control characters, letters that come apart when normalised
+JOINED = re.compile(r"[.,](?<=[^0-9A-Za-zÀ-ÖØ-öø-ÿ \t\n][.,])")
 
 
 class WordIds:
@@ -117,9 +119,10 @@ class WordIds:
 
     Holds for tokenizers that drop white space, fold case, and take letters, digits and runs of
     marks apart. Only the ASCII blank, tab and line feed separate words here; every other white
-    space stays inside a word and is left to the tokenizer. Where no two marks stand together, full
-    stops and commas become words of their own; texts of Latin-1 letters are folded beforehand. A
-    text that may hold a special token's string is encoded as a whole.
+    space stays inside a word and is left to the tokenizer. Where every full stop and comma stands
+    behind a blank, a digit or a Latin-1 letter, they begin words of their own; texts of Latin-1
+    letters are folded beforehand. A text that may hold a special token's string is encoded as a
+    whole.
     """
 
     def __init__(self, path: str, limit: int = 1 << 18):
@@ -211,7 +214,7 @@ class WordIds:
         folded = text.isascii() or max(text) < "\u0100"  # Latin-1: one lower case, nothing to compose
         if folded:
             text = lowered
-        if not TWO_MARKS.search(text):
+        if not JOINED.search(text):
             text = text.replace(",", " ,").replace(".", " .")
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
