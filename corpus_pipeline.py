@@ -6,14 +6,13 @@ table as they were given, without the rows the stage decides against:
 1. language_id drops documents whose language is rejected (no letter, or below the calibrated
    threshold of a model trained on the stage's own documents);
 2. quality drops documents that the weakly supervised classifier scores below one half;
-3. near_duplicates keeps, of each group of near copies, the document with the smallest id (of rows
-   that share that id, all);
+3. near_duplicates keeps one row of each group of near copies: the one with the smallest id (of rows
+   that share that id, or of rows without one where no row has an id, any one);
 4. decontamination drops documents that hold a benchmark item;
 5. packing cuts and packs the tokens of what is left.
 
 The stages read two tables at most: their documents and, in stage 4, the benchmark. Null ids, empty
-texts and repeated rows are treated as the operators' docstrings say; a row of a group in which no
-row has an id is kept.
+texts and repeated rows are treated as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -40,9 +39,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    grouped = simhash.near_duplicates(docs, shingle=3, radius=3)
-    others = grouped.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    # every row gets a key of its own, written so that it stays the same; an id may be null or repeated
+    keyed = stage(docs.withColumn("_row", F.monotonically_increasing_id()), f"{shared_root(spark)}/keyed")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    grouped = simhash.near_duplicates(keyed.select(order.alias("_id"), "text"), "_id", shingle=3, radius=3)
+    others = grouped.filter("component_id._row <> doc_id._row").select("doc_id._row")
+    return keyed.join(others, "_row", "left_anti").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,15 @@ def test_near_duplicates(steps):
     assert set(kept) == {ids[g] for g in groups}
 
 
+def test_near_duplicates_keep_one_row_of_each_group(spark, sf_dir):
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(60)) for w in ("ape", "bee", "cat", "dog"))
+    data = [(None, one), (None, one), (7, one), (7, one), (8, one)]  # an id goes before none
+    data += [(None, two), (None, two)]  # no row has an id
+    data += [(5, three), (6, three), (3, four), (5, four), (5, "e f g h i j"), (9, "e f g h i j")]  # 5 names two groups
+    kept = corpus_pipeline.near_duplicates(spark, docs_frame(spark, data).repartition(3), sf_dir)
+    assert sorted((r["text"], r["doc_id"] or 0) for r in kept.collect()) == [(one, 7), (two, 0), (three, 5), (four, 3), ("e f g h i j", 5)]
+
+
 def test_decontamination(spark, steps, sf_dir):
     items = [dc.normal(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     given, kept = rows(steps[3]), rows(steps[4])
