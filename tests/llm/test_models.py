@@ -184,3 +184,25 @@ def test_toxicity_labels_of_one_kind(spark):
     assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.0}
     empty = toxicity.train(docs, labels.limit(0), F.lit(True))
     assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {0.0}
+
+
+def test_toxicity_small_table(spark, sf_dir):
+    """Ten toxic rows are enough to learn words that only they hold."""
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    out = {r["doc_id"]: r["predicted"] for r in QUERIES["op8_toxicity"](spark, sf_dir).collect()}
+    assert np.mean([out[d] for d, y in labels.items() if y == 1]) > 0.5
+    assert np.mean([out[d] for d, y in labels.items() if y == 0]) < 0.05
+
+
+def test_toxicity_many_rare_words(spark):
+    """200 words, each in 20 of 4,000 toxic texts, copies counting once; few of them in a sample of 200 rows."""
+    rng = np.random.default_rng(2)
+    name = lambda k: "".join(chr(97 + int(d)) for d in f"{k * 7919 % 1000:03d}") + "q"
+    plain = lambda: " ".join("xyzuvw"[int(a)] + "klmnop"[int(b)] + "rst"[int(c)] for a, b, c in rng.integers(0, (6, 6, 3), (8, 3)))
+    rows = [(k, f"{plain()}. {plain()} {name(k % 200)}.") for k in range(4000)] + [(k, f"{plain()}. {plain()}.") for k in range(4000, 12000)]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(k, int(k < 4000)) for k, _ in rows], "doc_id bigint, toxic int")
+    for max_rows in (200, 6000):
+        model = toxicity.train(docs, labels, F.lit(True), max_rows=max_rows)
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+        assert np.mean([got[k] for k in range(4000)]) > 0.95 and np.mean([got[k] for k in range(4000, 12000)]) < 0.02

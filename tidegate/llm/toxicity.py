@@ -10,7 +10,9 @@ A sentence ends at ``. ! ?`` or a line end; one of more than ``SENTENCE_WORDS``
 in parts of that many, so that no word drowns. Words are runs of letters with A-Z folded, which
 leaves marks between and around them without effect.
 
-The fit uses about ``max_rows`` labelled rows, chosen by a hash of the id (a documented bound).
+Features are screened by their witnesses among all labelled rows, counted in Spark. The fit uses
+about ``max_rows`` labelled rows, chosen by a hash of the id (a documented bound), of which only the
+screened features reach the driver; a screened feature too rare for that sample is weighed by its counts.
 
 Defined cases: a null or empty text has no sentence and scores the leak; labels that are null or
 contradict each other for one id are not learned from; without labels of both kinds every score is
@@ -63,16 +65,18 @@ def _sentences(block: hashing.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray
 # --- training ---------------------------------------------------------------------
 
 
-def bags(docs: DataFrame) -> DataFrame:
-    """toxic, the features of a text sentence by sentence, and how many each sentence has."""
+def bags(docs: DataFrame, used: np.ndarray) -> DataFrame:
+    """toxic, the features in ``used`` of a text sentence by sentence, and how many each sentence has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(1 << BITS, bool)
+        known[used] = True
         for batch in batches:
             found: list[list] = [[] for _ in range(batch.num_rows)]
             sizes: list[list] = [[] for _ in range(batch.num_rows)]
             for block in hashing.blocks(batch.column(1)):
                 feature, sentence, text, _ = _sentences(block)
-                key = np.unique(sentence << BITS | feature)
+                key = np.unique((sentence << BITS | feature)[known[feature]])
                 sentence, feature = key >> BITS, (key & (1 << BITS) - 1).astype(np.int32)
                 each = np.bincount(sentence, minlength=len(text))
                 owner = block.docs[text]
@@ -112,35 +116,125 @@ class Bags:
         )
 
 
-def screen(bags: Bags, least: float = 24.0) -> np.ndarray:
-    """The features whose texts side with a label beyond chance (G statistic).
+NOISE = np.random.default_rng(0).integers(1, 1 << 32, 1 << BITS)
 
-    A text bears witness to a feature once, and only by sentences that no earlier text of its
-    label holds, so that copies count once. Features of few texts cannot pass, and so cannot
-    memorise them.
+
+def screened(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """The features whose witnesses (label x feature, of ``totals`` texts) side with a label beyond chance.
+
+    The G statistic has to exceed a bound that grows with the logarithm of the number of texts, as a
+    penalty per weight does: few texts need a few witnesses, and of many texts ever smaller shares do.
+    """
+    both, g = counts.sum(axis=0), np.zeros(counts.shape[1])
+    for holds, rows in ((counts, both), (totals[:, None] - counts, totals.sum() - both)):  # with the feature, without
+        expected = np.maximum(rows * (totals / max(1.0, totals.sum()))[:, None], 1e-9)
+        g += 2 * np.where(holds > 0, holds * np.log(np.maximum(holds, 1e-9) / expected), 0).sum(axis=0)
+    return np.flatnonzero(g >= 3 * np.log(max(2.0, totals.sum())))
+
+
+def _marked(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per block (row << BITS | feature, sentence of each, mark of every sentence); equal sentences have equal marks."""
+    for block in hashing.blocks(texts):
+        feature, sentence, text, _ = _sentences(block)
+        if len(text):
+            key = np.unique(sentence << BITS | feature)
+            sentence, feature = key >> BITS, key & (1 << BITS) - 1
+            first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+            yield block.docs[text][sentence].astype(np.int64) << BITS | feature, sentence, np.add.reduceat(NOISE[feature], first)
+
+
+PLACES = 26  # bits
+
+
+def maybe_labelled(texts: DataFrame, one: DataFrame) -> DataFrame:
+    """``texts`` without most of those that have no label, so that the joins do not shuffle them.
+
+    The hashed ids are a bitmap of 2^``PLACES`` bits however many they are; ids that share a place
+    with a labelled one stay, and the joins decide.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << PLACES))
+    words = one.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(p % 32 AS int)))").alias("bits")
+    )
+    rows = words.toArrow()
+    bitmap = np.zeros(1 << (PLACES - 5), np.uint32)
+    bitmap[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(2).to_numpy()
+            held = shared.value[p >> 5] >> (p & 31).astype(np.uint32) & 1
+            yield batch.select([0, 1]).filter(pa.array(held == 1))
+
+    return texts.withColumn("place", place).mapInArrow(run, texts.schema)
+
+
+def witnesses(texts: DataFrame, one: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(label x feature, texts by label) over all labelled texts (doc_id, text; doc_id, toxic).
+
+    A text bears witness to a feature once, and only by sentences that no earlier text of its label
+    holds, so that copies count once. Features of few texts cannot pass, and so cannot memorise them.
     """
-    noise = np.random.default_rng(0).integers(1, 1 << 32, 1 << BITS).astype(float)
-    mark = np.bincount(bags.sentence, noise[bags.feature], len(bags.text))  # equal for equal sentences
+    keyed = texts.withColumn("row", F.monotonically_increasing_id())
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, sentence, marks in _marked(batch.column(3)):
+                first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+                at = pa.array(key[first] >> BITS)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array(marks)], ["toxic", "doc_id", "row", "mark"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # behind the features, the texts
+        for batch in batches:
+            label, row = (batch.column(k).to_numpy() for k in (0, 1))
+            own = []
+            for k, entries in enumerate(batch.column(2)):
+                rows, marks = entries.values.flatten()
+                own.append(set(marks.to_numpy()[rows.to_numpy() == row[k]].tolist()))
+            found = []
+            for key, sentence, marks in _marked(batch.column(3)):
+                at = key >> BITS
+                first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+                fresh = np.array([m in mine for m, mine in zip(marks.tolist(), map(own.__getitem__, at[first].tolist()))], bool)
+                found.append(np.unique(key[fresh[sentence]]))
+            key = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+            for y in (0, 1):
+                chosen = key[label[key >> BITS] == y]
+                counts[y, :-1] += np.bincount(chosen & (1 << BITS) - 1, minlength=1 << BITS)
+                counts[y, -1] += np.unique(chosen >> BITS).size
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at]) for c in counts)], ["feature", "clean", "toxic"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    marks = keyed.join(one, "doc_id").select("toxic", "doc_id", "row", "text").mapInArrow(mark, f"toxic int, doc_id {kind}, row bigint, mark bigint")
+    first = marks.groupBy("toxic", "mark").agg(F.min(F.struct("row", "doc_id")).alias("own"))
+    fresh = first.groupBy("own.doc_id", "toxic").agg(F.collect_list(F.struct("own.row", "mark")).alias("fresh"))
+    told = keyed.join(fresh, "doc_id").select("toxic", "row", "fresh", "text").mapInArrow(count, "feature int, clean bigint, toxic bigint")
+    rows = told.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()  # 2^20 at most
+    counts = np.zeros((2, (1 << BITS) + 1))
+    for y, name in enumerate(("clean", "toxic")):
+        counts[y, rows["feature"].to_numpy()] = rows[name].to_numpy()
+    return counts[:, :-1], counts[:, -1]
+
+
+def screen(bags: Bags) -> np.ndarray:
+    """``screened`` for texts in the driver, counted as in ``witnesses``."""
+    mark = np.bincount(bags.sentence, NOISE[bags.feature].astype(float), len(bags.text))
     size = np.bincount(bags.sentence, minlength=len(bags.text))
     label = bags.toxic[bags.text]
     fresh = np.zeros(len(bags.text), bool)
     fresh[np.unique(np.stack((label, size, mark), 1), axis=0, return_index=True)[1]] = True
     use = fresh[bags.sentence]
-    pairs = bags.text[bags.sentence[use]] << BITS
-    pairs |= bags.feature[use]
-    pairs.sort()
-    pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
+    pairs = np.unique(bags.text[bags.sentence[use]] << BITS | bags.feature[use])
     owner, feature = pairs >> BITS, pairs & (1 << BITS) - 1
     counts = np.stack([np.bincount(feature[bags.toxic[owner] == y], minlength=1 << BITS) for y in (0, 1)]).astype(float)
     totals = np.array([np.unique(owner[bags.toxic[owner] == y]).size for y in (0, 1)], float)
-    both, g = counts.sum(axis=0), np.zeros(1 << BITS)
-    for holds, rows in ((counts, both), (totals[:, None] - counts, totals.sum() - both)):  # with the feature, without
-        expected = np.maximum(rows * (totals / totals.sum())[:, None], 1e-9)
-        g += 2 * np.where(holds > 0, holds * np.log(np.maximum(holds, 1e-9) / expected), 0).sum(axis=0)
-    return np.flatnonzero(g >= least)
+    return screened(counts, totals)
 
 
-def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), steps: int = 200, rate: float = 0.2) -> Model:
+def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), used: np.ndarray | None = None, steps: int = 200, rate: float = 0.2) -> Model:
     """Full-batch Adam on the likelihood of the labels under a leaky noisy-or, over screened features.
 
     ``weight`` is what one text of label 0 or 1 stands for, where labels were sampled unequally.
@@ -150,7 +244,7 @@ def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), steps: int = 200,
     share = float((stands * toxic).sum() / stands.sum()) if n else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(1 << BITS, np.float32), -40.0, share)
-    used = screen(bags)
+    used = screen(bags) if used is None else used
     number = np.full(1 << BITS, -1, np.int32)
     number[used] = np.arange(len(used))
     known = number[bags.feature]
@@ -195,7 +289,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    max_rows: int = 2400,
+    max_rows: int = 6000,
 ) -> Model:
     """Fit on about ``max_rows`` labelled rows, half of either label, for which ``learnable`` (of the labels) holds."""
     known = labels.filter(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -209,8 +303,16 @@ def train(
     # at most 2 * max_rows ids: a broadcast with a known bound
     chosen = chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic")).limit(2 * max_rows)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text") != "")
-    found = bags(texts.join(F.broadcast(chosen), "doc_id").limit(2 * max_rows)).toArrow()
-    return fit(Bags.of(found), (1 / shares[0], 1 / shares[1]))
+    agreed = one.filter(F.col("low") == F.col("toxic")).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    counts, totals = witnesses(maybe_labelled(texts, agreed), agreed)
+    used = screened(counts, totals)
+    found = Bags.of(bags(texts.join(F.broadcast(chosen), "doc_id").limit(2 * max_rows), used).toArrow())
+    model = fit(found, (1 / shares[0], 1 / shares[1]), used)
+    rare = np.setdiff1d(used, found.feature)
+    if len(rare) and model.bias > -40:
+        odds = np.log((counts[1, rare] + 0.5) / (counts[0, rare] + 0.5))
+        model.weights[rare] = np.maximum(0, odds - model.bias) * (odds > 0)
+    return model
 
 
 # --- scoring ----------------------------------------------------------------------
