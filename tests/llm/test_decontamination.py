@@ -100,3 +100,11 @@ def test_query_against_brute_force(spark, sf_dir):
     near = [p for p in got - exact]
     texts, wanted = {d["doc_id"]: d["text"] for d in docs}, {i["item_id"]: i["text"] for i in items}
     assert all(slow(dc.normal(wanted[i]), dc.normal(texts[d])) <= 0.1 * len(wanted[i]) for d, i in near)
+
+
+def test_short_items_are_found_exactly():
+    items = ["who is he?", "光合作用的产物是什么呢", "a short one of 23 chars", "nine char"]
+    index = dc.index_of(tuple(items), 0.1)
+    texts = [f"before {item} after" for item in items] + ["who is hee?", "光合作用的产物是水", "nine chair"]
+    assert [(t, i) for t, i, edits, *_ in dc.search(texts, index) if edits == 0] == [(k, k) for k in range(4)]
+    assert len(list(dc.search(texts, index))) == 4

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Q = 8  # as many as bytes in a word
-MIN_CHARS = 24
+MIN_CHARS = 9  # an item needs MIN_SHARED q-grams; under 17 characters it is searched for without edits
 MIN_SHARED = 2
 EDIT_SHARE = 0.1
 CHARS = 1 << 19  # of texts looked at together
