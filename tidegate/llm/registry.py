@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, decontamination, langid, packing, quality, quality_rules, simhash, toxicity, url_filters, warc
+from tidegate.llm import chat, decontamination, importance, langid, line_dedup, packing, quality, quality_rules, simhash, toxicity, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -259,3 +259,70 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
        array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || tail AS url_key,
        strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS captured
 FROM p"""
+
+
+# --- importance resampling --------------------------------------------------------
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# the reflected CRC-32 of every byte string: eight shift steps a byte, by its polynomial
+_CRC_STEPS = "list_reduce(list_concat([{}], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+_CRC32 = (
+    "xor(list_reduce(list_concat([4294967295], list_transform(range(strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS INT), 2))::BIGINT)), "
+    "lambda a, b: " + _CRC_STEPS.format("xor(a, b)") + "), 4294967295)"
+)
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+ORACLES["op12_importance_resampling"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+t AS (SELECT regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+dw AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(words) AS w FROM d) GROUP BY r, w),
+tw AS (SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM t) GROUP BY w),
+buckets AS (SELECT w, {_CRC32} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM tw)),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN buckets USING (w) GROUP BY bucket),
+g AS (SELECT bucket, sum(n) AS n FROM tw JOIN buckets USING (w) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce((SELECT sum(n) FROM dw), 0) AS DOUBLE) + 10000 AS ds, CAST(coalesce((SELECT sum(n) FROM tw), 0) AS DOUBLE) + 10000 AS dt),
+gain AS (
+  SELECT s.bucket, floor(1000 * ln(((coalesce(g.n, 0) + 1)::DOUBLE * ds) / ((s.n + 1)::DOUBLE * dt))) AS gain
+  FROM s LEFT JOIN g USING (bucket), totals),
+weights AS (SELECT r, sum(n * gain) AS weight FROM dw JOIN buckets USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(words) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (r)),
+drawn AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM drawn) * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (r)"""
+
+
+# --- line dedup -------------------------------------------------------------------
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("row.doc_id", "n_lines", "n_dropped", digest)
+
+
+ORACLES["op13_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_CAPITALS}) AS key FROM l),
+f AS (
+  SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 5),
+judged AS (SELECT r, doc_id, line, place, f.key IS NOT NULL AND doc_id IS DISTINCT FROM holder AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r"""
