@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, decontamination, importance, langid, line_dedup, packing, quality, quality_rules, simhash, toxicity, url_filters, warc
+from tidegate.llm import chat, collocations, decontamination, importance, langid, line_dedup, packing, quality, quality_rules, simhash, toxicity, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -326,3 +326,37 @@ judged AS (SELECT r, doc_id, line, place, f.key IS NOT NULL AND doc_id IS DISTIN
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY r"""
+
+
+# --- phrase collocations ----------------------------------------------------------
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_collocations(table(spark, sf_dir, "documents"), support=30, max_words=4, top=2000)
+
+
+ORACLES["op11_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_CAPITALS}) AS t FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (SELECT lang, w, s, unnest(range(1, 5)) AS size FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM w)),
+f AS (
+  SELECT lang, size, array_to_string(w[s:s + size - 1], ' ') AS phrase, count(*) AS f
+  FROM spans WHERE s + size - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+cut AS (
+  SELECT cuts.*, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[1:k], ' ')
+       JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_spans AS (
+  SELECT lang, a, w, size, m, unnest(range(1, size - m + 2)) AS s FROM (SELECT lang, a, w, size, unnest(range(2, size)) AS m FROM c)),
+covers AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer FROM inner_spans GROUP BY ALL),
+ranked AS (
+  SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
