@@ -11,8 +11,11 @@ in parts of that many, so that no word drowns. Words are runs of letters with A-
 leaves marks between and around them without effect.
 
 Features are screened by their witnesses among all labelled rows, counted in Spark. The fit uses
-about ``max_rows`` labelled rows, chosen by a hash of the id (a documented bound), of which only the
-screened features reach the driver; a screened feature too rare for that sample is weighed by its counts.
+``max_rows`` different labelled texts, those of lowest hash (a documented bound), of which only the
+screened features reach the driver, and a few more for each screened feature that none of these has.
+
+Labels meet texts at the scan, by broadcast, while the labelled ids are at most ``BROADCAST_ROWS``;
+beyond, the texts that may have a label are shuffled by id. Counting shuffles the different labelled texts once.
 
 Defined cases: a null or empty text has no sentence and scores the leak; labels that are null or
 contradict each other for one id are not learned from; without labels of both kinds every score is
@@ -26,14 +29,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm import hashing
+from tidegate.state.shared import shared_root, stage
 
 BITS = 20
 SENTENCE_WORDS = 64
 PREFIXES = (3, 4, 5, 6, 7, 8)
+WITNESSES = 4  # texts fetched for a screened feature that the sample lacks
 ENDS = np.isin(np.arange(256), list(b".!?\n\r"))
 
 
@@ -66,7 +71,7 @@ def _sentences(block: hashing.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def bags(docs: DataFrame, used: np.ndarray) -> DataFrame:
-    """toxic, the features in ``used`` of a text sentence by sentence, and how many each sentence has."""
+    """toxic, own, the features in ``used`` of a text sentence by sentence, and how many each sentence has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(1 << BITS, bool)
@@ -86,11 +91,12 @@ def bags(docs: DataFrame, used: np.ndarray) -> DataFrame:
             join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int32)
             lists = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(join, found), lists), pa.array(map(join, sizes), lists)],
-                ["toxic", "features", "sizes"],
+                [batch.column(0), batch.column(2), pa.array(map(join, found), lists), pa.array(map(join, sizes), lists)],
+                ["toxic", "own", "features", "sizes"],
             )
 
-    return docs.select("toxic", "text").mapInArrow(run, "toxic int, features array<int>, sizes array<int>")
+    found = docs.select("toxic", "text", "own").mapInArrow(run, "toxic int, own bigint, features array<int>, sizes array<int>")
+    return found.dropDuplicates(["own"])
 
 
 @dataclass(frozen=True)
@@ -144,16 +150,24 @@ def _marked(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 PLACES = 26  # bits
+BROADCAST_ROWS = 1 << 20  # labelled ids that are sent to every task; more of them meet the texts in a shuffle
+
 
+def labelled(texts: DataFrame, agreed: DataFrame) -> DataFrame:
+    """``texts`` with the label of their id; ``agreed`` (doc_id, toxic) is a written table of unique ids."""
+    if agreed.count() <= BROADCAST_ROWS:
+        return texts.join(F.broadcast(agreed), "doc_id")
+    return maybe_labelled(texts, agreed).join(agreed, "doc_id")
 
-def maybe_labelled(texts: DataFrame, one: DataFrame) -> DataFrame:
-    """``texts`` without most of those that have no label, so that the joins do not shuffle them.
+
+def maybe_labelled(texts: DataFrame, agreed: DataFrame) -> DataFrame:
+    """``texts`` without most of those that have no label, so that the join does not shuffle them.
 
     The hashed ids are a bitmap of 2^``PLACES`` bits however many they are; ids that share a place
-    with a labelled one stay, and the joins decide.
+    with a labelled one stay, and the join decides.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << PLACES))
-    words = one.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word")).agg(
+    words = agreed.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(p % 32 AS int)))").alias("bits")
     )
     rows = words.toArrow()
@@ -163,43 +177,61 @@ def maybe_labelled(texts: DataFrame, one: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column(2).to_numpy()
+            p = batch.column(batch.num_columns - 1).to_numpy()
             held = shared.value[p >> 5] >> (p & 31).astype(np.uint32) & 1
-            yield batch.select([0, 1]).filter(pa.array(held == 1))
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(held == 1))
 
     return texts.withColumn("place", place).mapInArrow(run, texts.schema)
 
 
-def witnesses(texts: DataFrame, one: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(label x feature, texts by label) over all labelled texts (doc_id, text; doc_id, toxic).
+def fresh_sentences(told: DataFrame) -> DataFrame:
+    """(own, fresh): for every text the marks of the sentences that no text of its label and lower ``own`` holds.
 
-    A text bears witness to a feature once, and only by sentences that no earlier text of its label
-    holds, so that copies count once. Features of few texts cannot pass, and so cannot memorise them.
+    ``own`` is a hash of id and text, so an id with many texts is many keys, and equal rows are one.
     """
-    keyed = texts.withColumn("row", F.monotonically_increasing_id())
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, sentence, marks in _marked(batch.column(3)):
+            for key, sentence, marks in _marked(batch.column(2)):
                 first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
                 at = pa.array(key[first] >> BITS)
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array(marks)], ["toxic", "doc_id", "row", "mark"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(2)), pa.array(marks)], ["toxic", "own", "mark"])
+
+    marks = told.select("toxic", "own", "text").mapInArrow(mark, "toxic int, own bigint, mark bigint")
+    first = marks.groupBy("toxic", "mark").agg(F.min("own").alias("own"))
+    return first.groupBy("own").agg(F.collect_list("mark").alias("fresh"))  # no more than the text has sentences
+
+
+def _witnessed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per batch of (toxic, own, fresh, text): labels, owns, and row << BITS | feature of the fresh sentences."""
+    for batch in batches:
+        own = [set(marks) for marks in batch.column(2).to_pylist()]
+        found = []
+        for key, sentence, marks in _marked(batch.column(3)):
+            at = key >> BITS
+            first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+            new = np.array([m in mine for m, mine in zip(marks.tolist(), map(own.__getitem__, at[first].tolist()))], bool)
+            found.append(np.unique(key[new[sentence]]))
+        keys = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        yield batch.column(0).to_numpy(), batch.column(1).to_numpy(), keys
+
+
+def bearing(told: DataFrame) -> DataFrame:
+    """(toxic, own, fresh, text) of every different text that has a fresh sentence: the only shuffle of labelled texts."""
+    once = told.select("toxic", "own", "text").dropDuplicates(["own"])
+    return once.join(fresh_sentences(told), "own").select("toxic", "own", "fresh", "text")
+
+
+def witnesses(told: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(label x feature, texts by label) over ``bearing`` rows of all labelled texts.
+
+    A text bears witness to a feature once, and only by its fresh sentences, so that copies count
+    once. Features of few texts cannot pass, and so cannot memorise them.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # behind the features, the texts
-        for batch in batches:
-            label, row = (batch.column(k).to_numpy() for k in (0, 1))
-            own = []
-            for k, entries in enumerate(batch.column(2)):
-                rows, marks = entries.values.flatten()
-                own.append(set(marks.to_numpy()[rows.to_numpy() == row[k]].tolist()))
-            found = []
-            for key, sentence, marks in _marked(batch.column(3)):
-                at = key >> BITS
-                first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
-                fresh = np.array([m in mine for m, mine in zip(marks.tolist(), map(own.__getitem__, at[first].tolist()))], bool)
-                found.append(np.unique(key[fresh[sentence]]))
-            key = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        for label, _, key in _witnessed(batches):
             for y in (0, 1):
                 chosen = key[label[key >> BITS] == y]
                 counts[y, :-1] += np.bincount(chosen & (1 << BITS) - 1, minlength=1 << BITS)
@@ -207,18 +239,28 @@ def witnesses(texts: DataFrame, one: DataFrame) -> tuple[np.ndarray, np.ndarray]
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at]) for c in counts)], ["feature", "clean", "toxic"])
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    marks = keyed.join(one, "doc_id").select("toxic", "doc_id", "row", "text").mapInArrow(mark, f"toxic int, doc_id {kind}, row bigint, mark bigint")
-    first = marks.groupBy("toxic", "mark").agg(F.min(F.struct("row", "doc_id")).alias("own"))
-    fresh = first.groupBy("own.doc_id", "toxic").agg(F.collect_list(F.struct("own.row", "mark")).alias("fresh"))
-    told = keyed.join(fresh, "doc_id").select("toxic", "row", "fresh", "text").mapInArrow(count, "feature int, clean bigint, toxic bigint")
-    rows = told.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()  # 2^20 at most
+    each = told.mapInArrow(count, "feature int, clean bigint, toxic bigint")
+    rows = each.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()  # 2^20 at most
     counts = np.zeros((2, (1 << BITS) + 1))
     for y, name in enumerate(("clean", "toxic")):
         counts[y, rows["feature"].to_numpy()] = rows[name].to_numpy()
     return counts[:, :-1], counts[:, -1]
 
 
+def witness_rows(told: DataFrame, side: np.ndarray, each: int) -> DataFrame:
+    """(feature, own) of the ``each`` lowest ``bearing`` texts of label side[feature] for features with a side (else -1)."""
+    shared = told.sparkSession.sparkContext.broadcast(side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for label, own, key in _witnessed(batches):
+            feature, row = key & (1 << BITS) - 1, key >> BITS
+            at = shared.value[feature] == label[row]
+            yield pa.RecordBatch.from_arrays([pa.array(feature[at].astype(np.int32)), pa.array(own[row[at]])], ["feature", "own"])
+
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("own"))
+    return told.mapInArrow(run, "feature int, own bigint").withColumn("place", place).filter(F.col("place") <= each).drop("place")
+
+
 def screen(bags: Bags) -> np.ndarray:
     """``screened`` for texts in the driver, counted as in ``witnesses``."""
     mark = np.bincount(bags.sentence, NOISE[bags.feature].astype(float), len(bags.text))
@@ -234,13 +276,13 @@ def screen(bags: Bags) -> np.ndarray:
     return screened(counts, totals)
 
 
-def fit(bags: Bags, weight: tuple[float, float] = (1.0, 1.0), used: np.ndarray | None = None, steps: int = 200, rate: float = 0.2) -> Model:
+def fit(bags: Bags, stands: np.ndarray | None = None, used: np.ndarray | None = None, steps: int = 200, rate: float = 0.2) -> Model:
     """Full-batch Adam on the likelihood of the labels under a leaky noisy-or, over screened features.
 
-    ``weight`` is what one text of label 0 or 1 stands for, where labels were sampled unequally.
+    ``stands`` is how many texts each one stands for, where they were sampled unequally.
     """
     toxic, n = bags.toxic, len(bags.toxic)
-    stands = np.array(weight)[toxic]
+    stands = np.ones(n) if stands is None else stands
     share = float((stands * toxic).sum() / stands.sum()) if n else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(1 << BITS, np.float32), -40.0, share)
@@ -291,28 +333,45 @@ def train(
     label_col: str = "toxic",
     max_rows: int = 6000,
 ) -> Model:
-    """Fit on about ``max_rows`` labelled rows, half of either label, for which ``learnable`` (of the labels) holds."""
+    """Fit on ``max_rows`` different labelled texts, half of either label, for which ``learnable`` (of the labels) holds.
+
+    Chosen are the texts of lowest hash of id and text, so neither the order of rows nor a frequent
+    id decides. Screened features that none of them has bring ``WITNESSES`` texts each, which
+    stand for all texts of their label that bear witness to the feature.
+    """
+    folder = shared_root(docs.sparkSession)
     known = labels.filter(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
-    rows = {int(r[0]): r[1] for r in known.groupBy(label_col).count().collect()}
-    shares = [hashing.sample_share(rows.get(y, 0), max_rows // 2) for y in (0, 1)]
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    one = known.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(label_col).alias("low"), F.max(label_col).alias("toxic"))
-    chosen = one.filter(
-        (F.col("low") == F.col("toxic")) & (place < F.when(F.col("toxic") == 1, F.lit(shares[1])).otherwise(F.lit(shares[0])))
-    )
-    # at most 2 * max_rows ids: a broadcast with a known bound
-    chosen = chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic")).limit(2 * max_rows)
+    one = known.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(label_col).alias("low"), F.max(label_col).cast("int").alias("toxic"))
+    agreed = stage(one.filter(F.col("low") == F.col("toxic")).select("doc_id", "toxic"), f"{folder}/agreed")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text") != "")
-    agreed = one.filter(F.col("low") == F.col("toxic")).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    counts, totals = witnesses(maybe_labelled(texts, agreed), agreed)
+    told = labelled(texts.withColumn("own", F.xxhash64("doc_id", "text")), agreed)
+
+    owns = stage(told.select("toxic", "own").distinct(), f"{folder}/owns")
+    rows = {r["toxic"]: r["count"] for r in owns.groupBy("toxic").count().collect()}
+    half = max_rows // 2
+    lowest = [owns.filter(F.col("toxic") == y).orderBy("own").limit(half) for y in (0, 1)]
+    chosen = stage(lowest[0].unionByName(lowest[1]).select("own"), f"{folder}/chosen")  # max_rows at most
+
+    witnessing = stage(bearing(told), f"{folder}/bearing")
+    counts, totals = witnesses(witnessing)
     used = screened(counts, totals)
-    found = Bags.of(bags(texts.join(F.broadcast(chosen), "doc_id").limit(2 * max_rows), used).toArrow())
-    model = fit(found, (1 / shares[0], 1 / shares[1]), used)
+    sample = bags(told.join(F.broadcast(chosen), "own"), used).toArrow().sort_by("own")
+    found = Bags.of(sample)
+    stands = np.array([rows.get(y, 0) / max(1, min(rows.get(y, 0), half)) for y in (0, 1)])[found.toxic]
+
     rare = np.setdiff1d(used, found.feature)
-    if len(rare) and model.bias > -40:
-        odds = np.log((counts[1, rare] + 0.5) / (counts[0, rare] + 0.5))
-        model.weights[rare] = np.maximum(0, odds - model.bias) * (odds > 0)
-    return model
+    if len(rare):
+        side = np.full(1 << BITS, -1, np.int8)
+        side[rare] = counts[1, rare] * totals[0] > counts[0, rare] * totals[1]
+        picked = witness_rows(witnessing, side, WITNESSES).toPandas()
+        each = counts[side[picked["feature"]], picked["feature"]] / picked.groupby("feature")["own"].transform("size")
+        weight = each.groupby(picked["own"]).max()
+        weight = weight[~weight.index.isin(sample["own"].to_pandas())]
+        owners = docs.sparkSession.createDataFrame([(int(own),) for own in weight.index], "own bigint")  # WITNESSES a feature
+        more = bags(told.join(F.broadcast(owners), "own"), used).toArrow().sort_by("own")
+        stands = np.concatenate((stands, weight[more["own"].to_pandas()].to_numpy()))
+        found = Bags.of(pa.concat_tables([sample, more]))
+    return fit(found, stands, used)
 
 
 # --- scoring ----------------------------------------------------------------------
