@@ -9,12 +9,12 @@ The temperature of the softmax is fitted on a part of the sample that is not tra
 text is rejected when its calibrated score lies below a threshold, chosen there so that at most
 ``reject_share`` of the texts with the right prediction fall under it.
 
-The sample: every language gets the same number of rows, chosen by a hash of the id, about
-``max_rows`` in all (a documented bound; see ``train``). Where there are more than ``max_rows / 10``
-languages, the most frequent ones are learned.
+The sample: every language gets the same number of different rows, those of lowest hash of id and
+text, about ``max_rows`` in all (a documented bound; see ``train``) but at least ``least_rows`` for each
+language, so the sample and the steps of the descent grow with the number of languages and none is left out.
 
 Defined cases: a text that is null or holds no letter gets ``und``, score 0, and is rejected; a
-null language or id is never learned from; without any labelled row every text is ``und``;
+null language is never learned from; a null id is an id; without any labelled row every text is ``und``;
 repeated rows are predicted alike; an empty table gives no rows.
 """
 
@@ -26,10 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm import hashing
+from tidegate.state.shared import shared_root, stage
 
 UNKNOWN = "und"
 BITS = 15
@@ -153,22 +154,25 @@ def train(
     lang_col: str = "lang",
     max_rows: int = 3000,
     reject_share: float = 0.001,
+    least_rows: int = 10,
 ) -> Model:
-    """Fit on about ``max_rows`` rows for which ``learnable`` holds; of any table size."""
-    picked = docs.filter(learnable & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+    """Fit on about ``max_rows`` different rows for which ``learnable`` holds, and at least ``least_rows`` a language."""
+    folder = shared_root(docs.sparkSession)
+    picked = docs.filter(learnable & F.col(lang_col).isNotNull() & (F.col(text_col) != "")).select(
+        F.xxhash64(id_col, text_col).alias("place"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    counts = {r["lang"]: r["count"] for r in picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows // 10).collect()}
-    if not counts:
-        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    each = max(1, max_rows // len(counts))
-    # a share of the hash range for every language: chosen by a filter, without sorting or shuffling
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(hashing.sample_share(n, each)))])
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    chosen = picked.filter((F.col("text") != "") & (place < F.coalesce(share[F.col("lang")], F.lit(0.0))))
-    found = bucket_counts(chosen.limit(2 * max_rows)).toArrow()
-    if not found.num_rows:
+    counts = stage(picked.groupBy("lang").agg(F.count("*").alias("rows")), f"{folder}/langs")
+    n = counts.count()
+    if not n:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+    each = max(least_rows, max_rows // n)
+    # first a share of the hash range for every language, without sorting or shuffling; then the lowest
+    share = F.least(F.lit(1.0), F.lit(1.3 * each + 8) / F.col("rows"))
+    within = (F.col("place").cast("double") + float(1 << 63)) <= share * float(1 << 64)
+    near = picked.join(counts, "lang").filter(within).select("lang", "place", "text").dropDuplicates(["lang", "place"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    chosen = near.withColumn("rank", rank).filter(F.col("rank") <= each)
+    found = bucket_counts(chosen).toArrow()
     rows = [(lang.as_py(), *(x.values.to_numpy() for x in pair)) for lang, *pair in zip(*found.columns)]
     # the same model, whatever order rows arrive in
     rows.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))
@@ -176,7 +180,9 @@ def train(
     labels = np.array([languages.index(r[0]) for r in rows])
     rows = [(index.astype(np.int64), (count / count.sum()).astype(np.float32)) for _, index, count in rows]
     held = np.arange(len(rows)) % 5 == 0 if len(rows) >= 20 else np.zeros(len(rows), bool)
-    weights, bias = fit(labels[~held], [rows[k] for k in np.flatnonzero(~held)], len(languages))
+    steps = max(300, 6 * len(languages))
+    dim = max(16, len(languages) // 8)
+    weights, bias = fit(labels[~held], [rows[k] for k in np.flatnonzero(~held)], len(languages), dim, steps)
     logits = np.array([share @ weights[index] + bias for index, share in (rows[k] for k in np.flatnonzero(held))])
     temperature, threshold = calibrate(logits, labels[held], reject_share)
     return Model(languages, weights, bias, temperature, threshold)
@@ -197,28 +203,31 @@ def logits(texts: pa.Array, model: Model) -> np.ndarray:
     return total / np.maximum(places, 1)[:, None] + model.bias
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str = "lang_pred") -> DataFrame:
-    """``docs`` with lang_pred, score and rejected behind its own columns."""
-    names = [pred_col, "score", "rejected"]
-    kept = [c for c in docs.columns if c not in names]
+def judge(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """lang_pred, score and rejected of every row, behind the row itself as the struct ``row``."""
+    names = ["row", "lang_pred", "score", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = np.array(batch.column(batch.num_columns - 1).to_pylist(), bool) & bool(model.languages)
+            lettered = np.array(batch.column(2).to_pylist(), bool) & bool(model.languages)
             predicted = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)
             if lettered.any():
-                shares = _softmax(logits(batch.column(batch.num_columns - 2), model) / model.temperature)
+                shares = _softmax(logits(batch.column(1), model) / model.temperature)
                 best = shares.argmax(axis=1)
                 predicted[lettered] = np.array(model.languages, object)[best[lettered]]
                 score[lettered] = shares[np.arange(len(best)), best][lettered]
             rejected = ~lettered | (score < model.threshold)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(predicted, pa.string()), pa.array(score), pa.array(rejected)],
-                [*kept, *names],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(predicted, pa.string()), pa.array(score), pa.array(rejected)], names)
 
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    inner = docs.select(*kept, _lowered(F.col(text_col)).alias("_lowered"), lettered.alias("_lettered"))
-    schema = docs.select(*kept).schema.add(pred_col, "string").add("score", "double").add("rejected", "boolean")
+    inner = docs.select(F.struct("*").alias("row"), _lowered(F.col(text_col)).alias("lowered"), lettered.alias("lettered"))
+    schema = inner.select("row").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return inner.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str = "lang_pred") -> DataFrame:
+    """``docs`` with lang_pred, score and rejected behind its own columns, in place of columns so named (``judge`` keeps those)."""
+    names = [pred_col, "score", "rejected"]
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in names]
+    return judge(docs, model, text_col).select(*own, F.col("lang_pred").alias(pred_col), "score", "rejected")

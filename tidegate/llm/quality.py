@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import hashing
+from tidegate.state.shared import shared_root, stage
 
 WHITE = "\t\n\x0b\x0c\r"
 MARKS = "#*$%&|<>"
@@ -174,7 +175,7 @@ GRAM_WEIGHT = 10.0  # of the mean over all n-grams, against 1 for each figure
 
 
 def vectors(texts: pa.Array) -> np.ndarray:
-    """Dense vectors, for training on a bounded sample."""
+    """Dense vectors, for a few texts at a time."""
     out = np.zeros((len(texts), 1 << BITS), np.float32)
     for block in hashing.blocks(texts):
         for code in _gram_codes(block):
@@ -207,24 +208,34 @@ class Model:
 
 
 def fit(
-    x: np.ndarray, good: np.ndarray, stands: np.ndarray, steps: int = 200, rate: float = 0.2, decay: float = 1e-4
+    row: np.ndarray, bucket: np.ndarray, value: np.ndarray, good: np.ndarray, stands: np.ndarray, steps: int = 200, rate: float = 0.2, decay: float = 1e-4
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by full-batch Adam; ``stands`` is what a row stands for."""
-    stands = (stands / stands.sum()).astype(np.float32)
-    weights, bias = np.zeros(x.shape[1], np.float32), np.zeros(1, np.float32)
+    """Logistic regression on soft labels by full-batch Adam; ``stands`` is what a row stands for.
+
+    The rows' vectors are sparse: entry k says that ``bucket[k]`` has ``value[k]`` in ``row[k]``.
+    """
+    stands = stands / stands.sum()
+    weights, bias, n = np.zeros(1 << BITS), np.zeros(1), len(good)
     moments = [np.zeros_like(weights), np.zeros_like(weights), np.zeros(1), np.zeros(1)]
     for step in range(1, steps + 1):
-        error = ((1 / (1 + np.exp(-(x @ weights + bias))) - good) * stands).astype(np.float32)
-        for at, (value, grad) in enumerate(((weights, error @ x + decay * weights), (bias, np.array([error.sum()])))):
+        logit = np.bincount(row, weights[bucket] * value, n) + bias
+        error = (1 / (1 + np.exp(-np.clip(logit, -700, 700))) - good) * stands
+        grads = np.bincount(bucket, error[row] * value, 1 << BITS) + decay * weights, np.array([error.sum()])
+        for at, (param, grad) in enumerate(zip((weights, bias), grads)):
             mean, square = moments[2 * at], moments[2 * at + 1]
             mean += 0.1 * (grad - mean)
             square += 0.01 * (grad * grad - square)
-            value -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return weights, float(bias[0])
+            param -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    return weights.astype(np.float32), float(bias[0])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 4000) -> Model:
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    """Patterns are counted over all rows; the scorer learns from about ``max_rows`` different rows.
+
+    Chosen are those of lowest hash of id and text, so neither the order of rows, nor a null or
+    frequent id, nor a text with many copies decides.
+    """
+    source = docs.select(F.xxhash64(id_col, text_col).alias("place"), F.coalesce(text_col, F.lit("")).alias("_text"))
     rows = with_pattern(source, "_text").groupBy("_pattern").count().orderBy("_pattern").collect()
     if not rows:
         return Model(np.zeros(1 << BITS, np.float32), 0.0, np.zeros(N_LABELLERS), {})
@@ -234,9 +245,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
     table = dict(zip(patterns.tolist(), good.tolist()))
     bad_rows, good_rows = counts[good < 0.5].sum(), counts[good >= 0.5].sum()
     likely_bad = [int(p) for p, g in table.items() if g < 0.5]
-    shares = [hashing.sample_share(rows, max_rows // 2) for rows in (bad_rows, good_rows)]
-    share = F.when(F.col("_pattern").isin(likely_bad), F.lit(shares[BAD])).otherwise(F.lit(shares[GOOD]))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    half = max_rows // 2
+    # a little more than the wanted share, written so that votes are taken of these few only
+    share = max(hashing.sample_share(rows, half) for rows in (bad_rows, good_rows))
+    low = F.col("place").cast("double") + float(1 << 63) <= min(1.0, 1.3 * share + 1e-6) * float(1 << 64)
+    folder = shared_root(docs.sparkSession)
+    few = with_pattern(stage(source.filter(low).dropDuplicates(["place"]), f"{folder}/few"), "_text")
+    bad = F.col("_pattern").isin(likely_bad)
+    lowest = [few.filter(side).orderBy("place").limit(half).select("_pattern", "_text") for side in (bad, ~bad)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,35 +266,34 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
                     ["pattern", "buckets", "shares"],
                 )
 
-    # the first filter needs the id only, so the votes are taken of few documents
-    few = source.filter(F.col("doc_id").isNotNull() & (place < F.lit(max(shares))))
-    chosen = with_pattern(few, "_text").filter(place < share).select("_pattern", F.coalesce("_text", F.lit("")).alias("_text"))
-    chosen = chosen.limit(2 * max_rows)
-    found = chosen.mapInArrow(run, "pattern int, buckets array<int>, shares array<float>").toArrow()
+    # max_rows at most
+    found = lowest[0].unionByName(lowest[1]).mapInArrow(run, "pattern int, buckets array<int>, shares array<float>").toArrow()
     rows = [(p.as_py(), i.values.to_numpy(), v.values.to_numpy()) for p, i, v in zip(*found.columns)]
     rows.sort(key=lambda r: (r[0], zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))  # whatever order they arrive in
-    x = np.zeros((len(rows), 1 << BITS), np.float32)
-    for row, (_, index, values) in zip(x, rows):
-        row[index] = values
     y = np.array([table[r[0]] for r in rows])
-    used = np.flatnonzero((x > 0).any(axis=0))
-    weights = np.zeros(1 << BITS, np.float32)
-    stands = np.where(y < 0.5, 1 / shares[BAD], 1 / shares[GOOD])
-    weights[used], bias = fit(np.ascontiguousarray(x[:, used]), y, stands)
+    n_bad = max(1, int((y < 0.5).sum()))
+    stands = np.where(y < 0.5, bad_rows / n_bad, good_rows / max(1, len(y) - n_bad))
+    owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    weights, bias = fit(owner, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]), y, stands)
     return Model(weights, bias, accuracies, table)
 
 
-def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with quality (0 to 1) and kept behind its own columns."""
-    names = ["quality", "kept"]
-    own = [c for c in docs.columns if c not in names]
+def judge(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """quality (0 to 1) and kept of every row, behind the row itself as the struct ``row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(1)
             blank = np.array([not (t.as_py() or "").strip() for t in texts], bool)
             score = np.where(blank, 0.0, 1 / (1 + np.exp(-np.clip(logits(texts, model.weights, model.bias), -40, 40))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= 0.5) & ~blank)], [*own, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= 0.5) & ~blank)], ["row", "quality", "kept"])
+
+    inner = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return inner.mapInArrow(run, inner.select("row").schema.add("quality", "double").add("kept", "boolean"))
+
 
-    inner = docs.select(*own, F.col(text_col).alias("_judged"))
-    return inner.mapInArrow(run, docs.select(*own).schema.add("quality", "double").add("kept", "boolean"))
+def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with quality and kept behind its own columns, in place of columns so named (``judge`` keeps those)."""
+    names = ["quality", "kept"]
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in names]
+    return judge(docs, model, text_col).select(*own, *names)
