@@ -4,7 +4,8 @@ Every stage takes the table its predecessor wrote. All but the last return rows
 table as they were given, without the rows the stage decides against:
 
 1. language_id drops documents whose language is rejected (no letter, or below the calibrated
-   threshold of a model trained on the stage's own documents);
+   threshold of a model trained on the stage's own documents; where no row names a language there is
+   no model, and all rows stay);
 2. quality drops documents that the weakly supervised classifier scores below one half;
 3. near_duplicates keeps one row of each group of near copies: the one with the smallest id (of rows
    that share that id, or of rows without one where no row has an id, any one);
@@ -31,20 +32,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, F.lit(True))
-    return langid.predict(docs, model, pred_col="_lang").filter("NOT rejected").select(docs.columns)
+    if not model.languages:  # nothing says what a language is: no reason to drop a document
+        return docs
+    return langid.judge(docs, model).filter("NOT rejected").select("row.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.classify(docs, quality.train(docs)).filter("kept").select(docs.columns)
+    return quality.judge(docs, quality.train(docs)).filter("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # every row gets a key of its own, written so that it stays the same; an id may be null or repeated
-    keyed = stage(docs.withColumn("_row", F.monotonically_increasing_id()), f"{shared_root(spark)}/keyed")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    grouped = simhash.near_duplicates(keyed.select(order.alias("_id"), "text"), "_id", shingle=3, radius=3)
-    others = grouped.filter("component_id._row <> doc_id._row").select("doc_id._row")
-    return keyed.join(others, "_row", "left_anti").select(docs.columns)
+    keyed = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), f"{shared_root(spark)}/keyed")
+    order = F.struct(F.col("row.doc_id").isNull().alias("no_id"), "row.doc_id", "key")
+    grouped = simhash.near_duplicates(keyed.select(order.alias("id"), "row.text"), "id", shingle=3, radius=3)
+    others = grouped.filter("component_id.key <> doc_id.key").select("doc_id.key")
+    return keyed.join(others, "key", "left_anti").select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
