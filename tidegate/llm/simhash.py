@@ -28,13 +28,14 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidegate.state.shared import shared_root, stage
 
 BITS = 64
 SEED = 42
+EDGES_A_TASK = 1 << 16
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -233,26 +234,29 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     """node, root for every node of ``edges`` (a, b): root is the component's smallest node.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): every step moves edges
-    towards smaller nodes and the work stays proportional to the edges. Each round is a written
-    table, and only its row count and a checksum reach the driver.
+    towards smaller nodes and the work stays proportional to the edges. Each step is a written
+    table; its row count and a checksum are observed while it is written. A task takes up to
+    ``EDGES_A_TASK`` edges, so a handful of edges needs no shuffle.
     """
+    made = 0
 
-    def mark(frame: DataFrame) -> tuple:
-        return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def write(frame: DataFrame) -> tuple[DataFrame, tuple]:
+        nonlocal made
+        made += 1
+        seen = Observation()
+        check = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        out = stage(frame.distinct().observe(seen, F.count("*").alias("rows"), check.alias("check")), f"{folder}/step-{made}")
+        return out.coalesce(max(1, -(-seen.get["rows"] // EDGES_A_TASK))), (seen.get["rows"], seen.get["check"])
 
     turned = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    current = stage(turned.filter("a <> b").distinct(), f"{folder}/round-0")
-    before, number = mark(current), 0
+    current, before = write(turned.filter("a <> b"))
     while before[0]:
-        number += 1
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = current.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.distinct(), f"{folder}/large-{number}")
+        large, _ = write(both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        current = stage(small.select("e.*").filter("a <> b").distinct(), f"{folder}/round-{number}")
-        after = mark(current)
+        current, after = write(small.select("e.*").filter("a <> b"))
         if after == before:
             break
         before = after
