@@ -29,9 +29,9 @@ from tidegate.plans import reporting
 from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
 from tidegate.plans.views import register_views
-from tidegate.sources import CatalogTables, Frames, ParquetFolder, Sources
+from tidegate.sources import CatalogTables, Frames, Marks, ParquetFolder, Sources
 from tidegate.state import tables as logs
-from tidegate.state.shared import shared_root
+from tidegate.state.shared import shared_root, stage
 from tidegate.state.snapshots import Snapshots
 from tidegate.state.store import StateStore
 from tidegate.state.vocabulary import LoadError
@@ -58,20 +58,38 @@ def enabled_config_lookup(t: Inputs) -> DataFrame:
     return lookup.enabled_configs(t["fx_config"])
 
 
+MARKS = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+
+
+def _marks(t: Inputs) -> dict[str, Marks]:
+    """Asked of the sources: parquet footers, and the row groups that hold the largest marks."""
+    lake = ParquetFolder(t.sf_dir.rpartition("/")[0])
+    folder = t.sf_dir.rpartition("/")[2]
+    return {name: lake.marks(t[name], folder, f"{name}.parquet", mark) for name, mark in MARKS.items()}
+
+
 @query
 def highwater_capture(t: Inputs) -> DataFrame:
     """The captured mark of each source, and the rows of the first window up to it."""
-    marks = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
-    captured = {name: highwater.capture(t[name], mark) for name, mark in marks.items()}
-    parts = [
-        highwater.window(t[name], mark, None, captured[name]).agg(
-            F.lit(name).alias("source"),
-            timestamp_literal(captured[name]).alias("captured"),
-            F.count("*").alias("source_rows"),
-        )
-        for name, mark in marks.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(name, m.top, m.rows - m.null_marks) for name, m in _marks(t).items()]
+    return t.spark.createDataFrame(rows, "source string, captured timestamp_ntz, source_rows bigint")
+
+
+@query
+def source_marks(t: Inputs) -> DataFrame:
+    """Mark, rows and unmarked rows of each source, as its connection tells them."""
+    rows = [(name, m.top, m.rows, m.null_marks) for name, m in _marks(t).items()]
+    return t.spark.createDataFrame(rows, "source string, top timestamp_ntz, rows bigint, null_marks bigint")
+
+
+@query
+def observed_window(t: Inputs) -> DataFrame:
+    """What one read of a source with unmarked rows shows: mark, window rows, unmarked rows; and the rows staged."""
+    read = highwater.observed_window(t["fx_events_nullwm"], "ts", T1)
+    staged = stage(read.frame.select("event_id"), shared_root(t.spark))
+    counted = staged.agg(F.count("*").alias("staged_rows"), F.sum("event_id").alias("id_sum"))
+    figures = {"mark": timestamp_literal(read.mark), "window_rows": F.lit(read.rows), "null_marks": F.lit(read.null_marks)}
+    return counted.withColumns({name: value.cast("bigint") if name != "mark" else value for name, value in figures.items()})
 
 
 def _window(source: DataFrame, last: datetime | None) -> DataFrame:
@@ -193,6 +211,46 @@ def merge_upsert(t: Inputs) -> DataFrame:
     return publish.merge(target, _changed_customers(t), "c_custkey")
 
 
+RTRIM_LCASE = "UTF8_LCASE_RTRIM"
+
+
+def _named_customers(t: Inputs, published: bool) -> DataFrame:
+    """Customers by a text key whose case and trailing blanks depend on who wrote it."""
+    name = F.col("c_name")
+    if published:
+        key = F.when(F.col("c_custkey") % 3 == 0, F.upper(name)).otherwise(name)
+        rows = t["customer"].filter(F.col("c_custkey") % 5 != 0)
+    else:
+        key = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lower(name), F.lit("  "))).otherwise(name)
+        rows = t["customer"].filter(F.col("c_custkey") % 4 != 1).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return rows.select(key.alias("c_key"), "c_nationkey", "c_acctbal")
+
+
+@query
+def collated_gate1(t: Inputs) -> DataFrame:
+    """Gate 1 over both spellings together: what the database takes for one key is a repeated key."""
+    both = _named_customers(t, True).unionByName(_named_customers(t, False))
+    return gates.gate1(both, both, "c_key", collation=RTRIM_LCASE)
+
+
+@query
+def collated_gate2(t: Inputs) -> DataFrame:
+    target, staged = _named_customers(t, True), _named_customers(t, False)
+    merged = publish.upsert(target, staged, "c_key", RTRIM_LCASE)
+    return gates.gate2(staged, merged, "c_key", False, RTRIM_LCASE)
+
+
+@query
+def collated_upsert(t: Inputs) -> DataFrame:
+    return publish.upsert(_named_customers(t, True), _named_customers(t, False), "c_key", RTRIM_LCASE)
+
+
+@query
+def collated_merge(t: Inputs) -> DataFrame:
+    target = _named_customers(t, True).withColumn("c_note", F.concat(F.lit("n"), "c_nationkey"))
+    return publish.merge(target, _named_customers(t, False), "c_key", RTRIM_LCASE)
+
+
 @query
 def insert_if_absent(t: Inputs) -> DataFrame:
     return publish.insert_absent(t["customer"], _changed_customers(t), ["c_custkey"])

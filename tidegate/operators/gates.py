@@ -6,11 +6,11 @@ side first, so a key that repeats in a third of all rows costs one row per map t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.text import quoted
+from tidegate.operators.keys import key_column
 from tidegate.state import vocabulary as v
 
 
@@ -18,7 +18,7 @@ def _total(amount: Column) -> Column:
     return F.coalesce(F.sum(amount), F.lit(0).cast("bigint"))
 
 
-def key_profile(df: DataFrame, key: str) -> DataFrame:
+def key_profile(df: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """One row: rows, duplicate_keys (key groups above one), null_keys, key_bytes.
 
     NULL keys form one group, so several of them count as one duplicate.
@@ -30,7 +30,7 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
     else:  # a nested key has no measured size, so it counts as too large for any broadcast
         nested = isinstance(data_type, (T.StructType, T.ArrayType, T.MapType, T.VariantType))
         width = F.lit(1 << 40 if nested else 16)
-    groups = df.groupBy(F.col(quoted(key)).alias("k")).agg(F.count("*").alias("n"))
+    groups = df.groupBy(key_column(df, key, collation).alias("k")).agg(F.count("*").alias("n"))
     return groups.agg(
         _total(F.col("n")).alias("rows"),
         F.count(F.when(F.col("n") > 1, 1)).alias("duplicate_keys"),
@@ -40,7 +40,7 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
 
 
 def reconcile(
-    stage: DataFrame, target: DataFrame, key: str, bucket: Column | None = None
+    stage: DataFrame, target: DataFrame, key: str, bucket: Column | None = None, collation: str | None = None
 ) -> DataFrame:
     """Compare staged with published keys in one shuffle, without a join.
 
@@ -52,7 +52,7 @@ def reconcile(
 
     def tagged(df: DataFrame, staged: int) -> DataFrame:
         return df.select(
-            F.col(quoted(key)).alias("k"),
+            key_column(df, key, collation).alias("k"),
             F.lit(staged).cast("bigint").alias("s"),
             F.lit(1 - staged).cast("bigint").alias("t"),
         )
@@ -109,22 +109,26 @@ def gate2_specs(
     return [*specs, (v.FULL_ROW_COUNT, staged, rows)] if full else specs
 
 
-def gate1(source_window: DataFrame, stage: DataFrame, key: str, missing: int = 0) -> DataFrame:
+def gate1(
+    source_window: DataFrame, stage: DataFrame, key: str, missing: int = 0, collation: str | None = None
+) -> DataFrame:
     """Four pre-publish checks of a staged window."""
     source = source_window.agg(F.count("*").alias("source_rows"))
     # two one-row frames folded by an aggregate: no join, one job
-    both = key_profile(stage, key).unionByName(source, allowMissingColumns=True)
+    both = key_profile(stage, key, collation).unionByName(source, allowMissingColumns=True)
     names = ["source_rows", "rows", "duplicate_keys", "null_keys"]
     profile = both.agg(*[F.max(n).alias(n) for n in names])
     specs = gate1_specs(*[F.col(n) for n in names], F.lit(missing))
     return check_rows(profile, v.GATE_1, specs)
 
 
-def gate2(stage: DataFrame, target: DataFrame, key: str, full: bool) -> DataFrame:
+def gate2(
+    stage: DataFrame, target: DataFrame, key: str, full: bool, collation: str | None = None
+) -> DataFrame:
     """Post-publish checks: three for an upsert, four for a full replace."""
     names = ["stage_rows", "target_rows", "duplicate_keys", "null_keys", "missing_keys"]
     specs = gate2_specs(*[F.col(n) for n in names], full)
-    return check_rows(reconcile(stage, target, key), v.GATE_2, specs)
+    return check_rows(reconcile(stage, target, key, collation=collation), v.GATE_2, specs)
 
 
 def gate1_of(
@@ -143,6 +147,8 @@ def gate2_of(
     return check_rows(spark.sql("SELECT 1 AS one"), v.GATE_2, specs)
 
 
-def any_failed(checks: DataFrame) -> bool:
-    """Whether a gate stops the load."""
-    return not checks.filter(F.col("Result") == v.FAIL).isEmpty()
+def any_failed(checks: DataFrame | list[Row]) -> bool:
+    """Whether a gate stops the load; of its check rows, or of those already at hand."""
+    if isinstance(checks, DataFrame):
+        return not checks.filter(F.col("Result") == v.FAIL).isEmpty()
+    return any(row["Result"] == v.FAIL for row in checks)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,21 +18,31 @@ def _is_zoned(df: DataFrame, mark: str) -> bool:
     return isinstance(by_name(df.schema)[mark.lower()].dataType, T.TimestampType)
 
 
+def top_of(df: DataFrame, mark: str) -> Column:
+    """The largest mark as an aggregate: microseconds where the column has a zone, else zone-free."""
+    top = F.max(quoted(mark))
+    return F.unix_micros(top) if _is_zoned(df, mark) else top.cast("timestamp_ntz")
+
+
+def as_utc(top: datetime | int | None) -> datetime | None:
+    """A value of ``top_of`` as zone-free UTC."""
+    return EPOCH + timedelta(microseconds=top) if isinstance(top, int) else top
+
+
+def _inside(df: DataFrame, mark: str, last: datetime | None) -> Column:
+    c = F.col(quoted(mark))
+    return c.isNotNull() if last is None else c > timestamp_literal(last, by_name(df.schema)[mark.lower()].dataType)
+
+
 def capture_window(df: DataFrame, mark: str, last: datetime | None) -> tuple[datetime | None, int]:
     """Largest mark of the whole source as zone-free UTC, and how many rows the window has.
 
     The window ends at the largest mark, so its rows are those whose mark lies above ``last``:
     both values come from one single-column scan with map-side partial results.
     """
-    c, zoned = F.col(quoted(mark)), _is_zoned(df, mark)
-    inside = c.isNotNull()
-    if last is not None:
-        inside = c > timestamp_literal(last, by_name(df.schema)[mark.lower()].dataType)
-    top = F.unix_micros(F.max(c)) if zoned else F.max(c).cast("timestamp_ntz")
-    row = df.agg(top.alias("top"), F.count(F.when(inside, 1)).alias("rows")).first()
-    if zoned and row["top"] is not None:
-        return EPOCH + timedelta(microseconds=row["top"]), row["rows"]
-    return row["top"], row["rows"]
+    inside = F.count(F.when(_inside(df, mark, last), 1))
+    row = df.agg(top_of(df, mark).alias("top"), inside.alias("rows")).first()
+    return as_utc(row["top"]), row["rows"]
 
 
 def capture(df: DataFrame, mark: str) -> datetime | None:
@@ -54,3 +65,59 @@ def window(
     if last is not None:
         inside = (c > timestamp_literal(last, data_type)) & inside
     return df.filter(inside)
+
+
+# --- counts taken by the read that stages the rows --------------------------------
+
+
+@dataclass(frozen=True)
+class ObservedRead:
+    """Rows to be staged, and what the job that writes them sees of the source.
+
+    The figures belong to the one job that runs on ``frame``; they are there when it has ended.
+    Each attempt makes its own, and a task that ran twice counts once.
+    """
+
+    frame: DataFrame
+    seen: Observation
+    captured: datetime | None = None  # the mark, where it was fixed before the read
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["rows"]
+
+    @property
+    def mark(self) -> datetime | None:
+        return self.captured if self.captured is not None else as_utc(self.seen.get.get("top"))
+
+    @property
+    def null_marks(self) -> int | None:
+        return self.seen.get.get("null_marks")
+
+
+def observed_rows(df: DataFrame) -> ObservedRead:
+    """All rows, counted while they are read."""
+    seen = Observation()
+    return ObservedRead(df.observe(seen, F.count("*").alias("rows")), seen)
+
+
+def observed_window(df: DataFrame, mark: str, last: datetime | None) -> ObservedRead:
+    """The rows above ``last`` of a source that does not change while it is read.
+
+    One read gives the largest mark of the whole source, the rows of the window that ends there, and
+    the rows that have no mark and so never load. As the window has no other end than the largest
+    mark, its rows are those above ``last``.
+    """
+    seen = Observation()
+    inside = _inside(df, mark, last)
+    figures = {"top": top_of(df, mark), "rows": F.count_if(inside), "null_marks": F.count_if(F.col(quoted(mark)).isNull())}
+    return ObservedRead(df.observe(seen, *[c.alias(name) for name, c in figures.items()]).filter(inside), seen)
+
+
+def bounded_window(df: DataFrame, mark: str, last: datetime | None, captured: datetime | None) -> ObservedRead:
+    """The rows between two marks of which the upper one was captured before; counted while they are read.
+
+    The filter stands below the count, so both marks reach the scan and skip files and row groups.
+    """
+    read = observed_rows(window(df, mark, last, captured))
+    return ObservedRead(read.frame, read.seen, captured)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.text import quoted
 from tidegate.operators.gates import key_profile
+from tidegate.operators.keys import key_column
 from tidegate.operators.projection import align, by_name, evolve
 from tidegate.state.vocabulary import LoadError
 
@@ -17,55 +18,71 @@ def overwrite(target: DataFrame, stage: DataFrame) -> DataFrame:
     return align(stage, evolve(target.schema, stage.schema))
 
 
-def _keys(df: DataFrame, keys: list[str]) -> DataFrame:
+def _keys(df: DataFrame, keys: list[str], collation: str | None = None) -> DataFrame:
     """Each key once. Map tasks drop repeats, so a key that fills a third of the rows does
     not fill one join task; the join then uses the same partitioning."""
-    return df.select([F.col(quoted(k)) for k in keys]).distinct()
+    return df.select([key_column(df, k, collation).alias(k) for k in keys]).distinct()
 
 
-def unpublished(stage: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def _without(df: DataFrame, others: DataFrame, key: str, collation: str | None) -> DataFrame:
+    """Rows whose key is not among ``others`` (of the same key column)."""
+    if collation is None:
+        return df.join(others, key, "left_anti")
+    own = key_column(df, key, collation)
+    renamed = others.select(F.col(quoted(key)).alias("_other"))
+    return df.join(renamed, own == F.col("_other"), "left_anti")
+
+
+def unpublished(stage: DataFrame, target: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """Staged rows whose key the target lacks; a NULL key is never found."""
-    return stage.join(_keys(target, [key]), key, "left_anti")
+    return _without(stage, _keys(target, [key], collation), key, collation)
 
 
-def survivors(target: DataFrame, stage: DataFrame, key: str, small_stage: bool = False) -> DataFrame:
+def survivors(
+    target: DataFrame, stage: DataFrame, key: str, small_stage: bool = False, collation: str | None = None
+) -> DataFrame:
     """Target rows whose key is not staged.
 
     The staged side is reduced to its key. ``small_stage`` asks for a broadcast and is
     only for callers that have measured the staged keys; otherwise the join strategy
     is left to the optimizer and adaptive execution, which splits a skewed target side.
     """
-    staged = F.broadcast(stage.select(F.col(quoted(key)))) if small_stage else _keys(stage, [key])
-    return target.join(staged, key, "left_anti")
+    if small_stage:
+        staged = F.broadcast(stage.select(key_column(stage, key, collation).alias(key)))
+    else:
+        staged = _keys(stage, [key], collation)
+    return _without(target, staged, key, collation)
 
 
-def upsert(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
+def upsert(target: DataFrame, stage: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """Keyed replace: surviving target rows plus every staged row, schemas aligned."""
     schema = evolve(target.schema, stage.schema)
     staged = align(stage, schema)
     # key first in the join output, so select by schema order again
-    kept = align(survivors(target, staged, key), schema)
+    kept = align(survivors(target, staged, key, collation=collation), schema)
     return kept.unionByName(staged)
 
 
-def require_unique_key(source: DataFrame, key: str) -> DataFrame:
+def require_unique_key(source: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """Fail when a key repeats: a merge may touch each target row once. A NULL key matches nothing."""
     name = by_name(source.schema)[key.lower()].name
     known = source.filter(F.col(quoted(name)).isNotNull())
-    repeated = key_profile(known, name).first()["duplicate_keys"]
+    repeated = key_profile(known, name, collation).first()["duplicate_keys"]
     if repeated:
         raise LoadError(None, f"Merge source has {repeated} repeated key value(s) in {key}.")
     return source
 
 
-def merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def merge(target: DataFrame, source: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """Match on key: update the source's columns; no match: insert.
 
     Columns that only the target has keep their values in matched rows and are NULL in new ones.
+    A matched row takes the source's spelling of the key, as it takes its other columns.
     """
-    require_unique_key(source, key)
+    require_unique_key(source, key, collation)
     old, new = by_name(target.schema), by_name(source.schema)
-    match = F.col("_t")[old[key.lower()].name] == F.col("_s")[new[key.lower()].name]
+    ours = key_column(target, old[key.lower()].name, collation, F.col("_t"))
+    match = ours == key_column(source, new[key.lower()].name, collation, F.col("_s"))
     sides = target.select(F.struct("*").alias("_t")).join(
         source.select(F.struct("*").alias("_s")), match, "full_outer"
     )

@@ -79,7 +79,7 @@ def load_table(
         missing = missing_names(config["ApprovedColumnList"], fp.columns)
         attempt = _start(store, config, run_id, first, changed, approval)
         try:
-            done, mark = _load(store, snapshots, source, attempt, missing, full_check)
+            done, mark = _load(store, snapshots, sources, source, attempt, missing, full_check)
         except Exception as error:
             _record_failure(store, attempt, error)
             raise
@@ -90,6 +90,7 @@ def load_table(
 def _load(
     store: StateStore,
     snapshots: Snapshots,
+    sources: Sources,
     source: DataFrame,
     attempt: Attempt,
     missing: list[str],
@@ -104,15 +105,9 @@ def _load(
     config = attempt.config
     old = snapshots.newest(config["ConfigId"])
     marked = config["LoadType"] == v.WATERMARK
-    captured, window = None, source
-    if marked:
-        column, last = config["WatermarkColumn"], None if old is None else old.mark
-        captured, source_rows = highwater.capture_window(source, column, last)
-        window = highwater.window(source, column, last, captured)
-    else:
-        source_rows = source.count()
-    stage = _stage(store, window, config, attempt, old)
-    known = (source_rows, stage.rows, stage.duplicate_keys, stage.null_keys)
+    read = _read(sources, source, config, None if old is None else old.mark)
+    stage = _stage(store, read.frame, config, attempt, old)
+    known = (read.rows, stage.rows, stage.duplicate_keys, stage.null_keys)
     _pass(attempt, gates.gate1_of(store.spark, *known, 0), 50014)
 
     if not marked:
@@ -123,17 +118,33 @@ def _load(
         candidate = snapshots.upsert(old, stage, f"load={attempt.id}")
     full = not marked or attempt.first
     if full_check:
-        checks = gates.gate2(stage.frame, snapshots.frame(candidate.snapshot), stage.key, full)
+        published = snapshots.frame(candidate.snapshot)
+        checks = gates.gate2(stage.frame, published, stage.key, full, stage.collation)
     else:
         checks = snapshots.carried_gate2(candidate, stage, full)
     _pass(attempt, checks, 50015)
 
-    mark = captured if captured is not None or old is None else old.mark
+    mark = read.mark if read.mark is not None or old is None else old.mark
     snapshots.commit(config["ConfigId"], attempt.id, replace(candidate.snapshot, mark=mark))
-    counts = {"SourceRowCount": source_rows, "TargetRowCount": candidate.snapshot.total("rows")}
+    counts = {"SourceRowCount": read.rows, "TargetRowCount": candidate.snapshot.total("rows")}
     return counts, mark
 
 
+def _read(sources: Sources, source: DataFrame, config: dict, last: datetime | None) -> highwater.ObservedRead:
+    """The rows to stage. One scan of the source: its rows are counted by the job that stages them.
+
+    The mark is fixed before that read where the source can tell it without a scan, and otherwise
+    taken in the same read, which is safe for sources whose files are listed once.
+    """
+    if config["LoadType"] != v.WATERMARK:
+        return highwater.observed_rows(source)
+    column = config["WatermarkColumn"]
+    found = sources.marks(source, config["SourceSchema"], config["SourceTable"], column, config["ConnectionReference"])
+    if found is None:
+        return highwater.observed_window(source, column, last)
+    return highwater.bounded_window(source, column, last, found.top)
+
+
 def _stage(
     store: StateStore, window: DataFrame, config: dict, attempt: Attempt, old: Snapshot | None
 ) -> Staged:
@@ -153,9 +164,9 @@ def _stage(
     align(window, schema).write.mode("overwrite").parquet(store.path(path))
     frame = store.spark.read.schema(schema).parquet(store.path(path))
     key = by_name(schema)[config["PrimaryKeyColumn"].lower()].name
-    p = key_profile(frame, key).first()
+    p = key_profile(frame, key, config["KeyCollation"]).first()
     counts = (p["rows"], p["duplicate_keys"], p["null_keys"], p["key_bytes"])
-    return Staged(config["ConfigId"], path, frame, schema, key, *counts)
+    return Staged(config["ConfigId"], path, frame, schema, key, *counts, config["KeyCollation"])
 
 
 # --- gates ------------------------------------------------------------------------
@@ -163,9 +174,9 @@ def _stage(
 
 def _pass(attempt: Attempt, checks: DataFrame, code: int) -> None:
     """Note the checks of a gate; stop the load if one failed."""
-    rows = [row.asDict() for row in checks.collect()]
-    attempt.checks += rows
-    if any(row["Result"] == v.FAIL for row in rows):
+    rows = checks.collect()
+    attempt.checks += [row.asDict() for row in rows]
+    if gates.any_failed(rows):
         raise v.LoadError(code)
 
 

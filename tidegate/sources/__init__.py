@@ -8,11 +8,13 @@ from tidegate.sources.reader import (
     Sources,
     column_catalog,
 )
+from tidegate.sources.marks import Marks
 
 __all__ = [
     "CatalogTables",
     "Frames",
     "JdbcDatabase",
+    "Marks",
     "ParquetFolder",
     "Sources",
     "column_catalog",

@@ -12,15 +12,23 @@ from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.text import quoted
 from tidegate.operators.fingerprint import render_type
+from tidegate.operators.highwater import as_utc
+from tidegate.sources.marks import Marks, footer_marks
 from tidegate.state.vocabulary import LoadError
 
 _ABSENT = {"TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND", "SCHEMA_NOT_FOUND"}
 
 
 class Connection(Protocol):
+    """``read`` is required. A connection may also have ``marks(df, schema, table, mark) -> Marks``,
+    which asks the source for its largest mark before rows are read; others have it observed
+    while rows are staged."""
+
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame: ...
 
 
@@ -44,26 +52,67 @@ class ParquetFolder:
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/{schema}/{table}")
 
+    def marks(self, df: DataFrame, schema: str, table: str, mark: str) -> Marks:
+        return footer_marks(df, f"{self.root}/{schema}/{table}", mark)
+
+
+def _load_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).load()
+
 
 @dataclass(frozen=True)
 class JdbcDatabase:
-    """Tables of a database; ``partitioning`` splits the read of a large table.
+    """Tables of a database. Marks, counts and the bounds of a split read are asked of the database.
 
-    ``partitioning[schema, table]`` gives partitionColumn, lowerBound, upperBound and
-    numPartitions; without them one task reads the table.
+    ``partitioning[schema, table]`` is either the name of a numeric, date or timestamp column, by
+    whose smallest and largest value the read is split into ``partitions`` ranges, or the reader's
+    own options (partitionColumn, lowerBound, upperBound, numPartitions). A table that is not
+    named is read by one task. ``load`` makes a DataFrame of reader options.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
-    partitioning: Mapping[tuple[str, str], Mapping[str, str]] = field(default_factory=dict)
+    partitioning: Mapping[tuple[str, str], Mapping[str, str] | str] = field(default_factory=dict)
+    partitions: int = 64
+    load: Callable[[SparkSession, Mapping[str, str]], DataFrame] = _load_jdbc
 
     def options(self, schema: str, table: str) -> dict[str, str]:
-        name = ".".join('"' + p.replace('"', '""') + '"' for p in (schema, table))
-        split = {k: str(v) for k, v in self.partitioning.get((schema, table), {}).items()}
-        return {"url": self.url, "dbtable": name, **self.properties, **split}
+        split = self.partitioning.get((schema, table), {})
+        given = {} if isinstance(split, str) else {k: str(v) for k, v in split.items()}
+        return {"url": self.url, "dbtable": _sql_name(schema, table), **self.properties, **given}
+
+    def _ask(self, spark: SparkSession, query: str) -> DataFrame:
+        """The answer to a query that the database runs."""
+        return self.load(spark, {"url": self.url, **self.properties, "query": query})
+
+    def bounds_query(self, schema: str, table: str, column: str) -> str:
+        return f"SELECT MIN({_sql_name(column)}) AS low, MAX({_sql_name(column)}) AS high FROM {_sql_name(schema, table)}"
+
+    def marks_query(self, schema: str, table: str, mark: str) -> str:
+        c = _sql_name(mark)
+        return f"SELECT MAX({c}) AS top, COUNT(*) AS all_rows, COUNT({c}) AS marked FROM {_sql_name(schema, table)}"
 
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(schema, table)).load()
+        options, split = self.options(schema, table), self.partitioning.get((schema, table))
+        if isinstance(split, str):
+            # as text in the session's zone, which is how the reader takes bounds
+            bounds = self._ask(spark, self.bounds_query(schema, table, split))
+            low, high = bounds.select(F.col("low").cast("string"), F.col("high").cast("string")).first()
+            if low != high:
+                options |= {"partitionColumn": split, "lowerBound": low, "upperBound": high, "numPartitions": str(self.partitions)}
+        return self.load(spark, options)
+
+    def marks(self, df: DataFrame, schema: str, table: str, mark: str) -> Marks:
+        """Fixed before staging: rows written to the database later have to wait for the next load."""
+        answer = self._ask(df.sparkSession, self.marks_query(schema, table, mark))
+        zoned = isinstance(answer.schema["top"].dataType, T.TimestampType)
+        top = F.unix_micros("top") if zoned else F.col("top").cast("timestamp_ntz")
+        found = answer.select(top.alias("top"), "all_rows", "marked").first()
+        return Marks(as_utc(found["top"]), int(found["all_rows"]), int(found["all_rows"] - found["marked"]))
+
+
+def _sql_name(*parts: str) -> str:
+    return ".".join('"' + p.replace('"', '""') + '"' for p in parts)
 
 
 @dataclass(frozen=True)
@@ -87,10 +136,18 @@ class Sources:
     connections: Mapping[str, Connection]
     default: Connection = CatalogTables()
 
-    def read(self, schema: str, table: str, reference: str | None = None) -> DataFrame:
+    def _connection(self, reference: str | None) -> Connection:
         if reference is not None and reference not in self.connections:
             raise LoadError(None, f"Unknown connection reference {reference!r}.")
-        connection = self.default if reference is None else self.connections[reference]
+        return self.default if reference is None else self.connections[reference]
+
+    def marks(self, df: DataFrame, schema: str, table: str, mark: str, reference: str | None = None) -> Marks | None:
+        """The marks of a table that was read as ``df``, where its connection can tell them."""
+        ask = getattr(self._connection(reference), "marks", None)
+        return ask(df, schema, table, mark) if ask else None
+
+    def read(self, schema: str, table: str, reference: str | None = None) -> DataFrame:
+        connection = self._connection(reference)
         try:
             return connection.read(self.spark, schema, table)
         except AnalysisException as error:

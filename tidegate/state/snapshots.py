@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.text import quoted
 from tidegate.operators.gates import gate2_of, key_profile, reconcile
+from tidegate.operators.keys import hashable
 from tidegate.operators.projection import align, evolve
 from tidegate.operators.publish import survivors
 from tidegate.state import tables
@@ -48,6 +49,7 @@ class Snapshot:
     buckets: int
     parts: tuple[Part, ...] = ()
     mark: datetime | None = None
+    collation: str | None = None  # under which the buckets were dealt
 
     def total(self, measure: str) -> int:
         return sum(getattr(p, measure) for p in self.parts)
@@ -74,6 +76,7 @@ class Staged:
     duplicate_keys: int
     null_keys: int
     key_bytes: int
+    collation: str | None = None
 
 
 @dataclass(frozen=True)
@@ -92,8 +95,8 @@ class Layout:
         return self.buckets_for(rows) > 2 * snapshot.buckets
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets).cast("bigint")).cast("int")
+def bucket_of(key: Column, buckets: int, collation: str | None = None) -> Column:
+    return F.pmod(F.xxhash64(hashable(key, collation)), F.lit(buckets).cast("bigint")).cast("int")
 
 
 class Snapshots:
@@ -114,7 +117,7 @@ class Snapshots:
         parts = tuple(Part(**p.asDict()) for p in row["Parts"])
         schema = T.StructType.fromJson(json.loads(row["SchemaJson"]))
         return last, Snapshot(
-            schema, row["KeyColumn"], row["Buckets"], parts, row["LastWatermarkValue"]
+            schema, row["KeyColumn"], row["Buckets"], parts, row["LastWatermarkValue"], row["KeyCollation"]
         )
 
     def newest(self, config_id: int) -> Snapshot | None:
@@ -133,6 +136,7 @@ class Snapshots:
             "TableLoadAuditId": audit_id,
             "SchemaJson": snapshot.schema.json(),
             "KeyColumn": snapshot.key,
+            "KeyCollation": snapshot.collation,
             "Buckets": snapshot.buckets,
             "Parts": [asdict(p) for p in snapshot.parts],
             "LastWatermarkValue": snapshot.mark,
@@ -176,40 +180,43 @@ class Snapshots:
         """
         schema = stage.schema if old is None else evolve(old.schema, stage.schema)
         whole = Part(WHOLE, stage.path, stage.rows, stage.duplicate_keys, stage.null_keys)
-        snapshot = Snapshot(schema, stage.key, 0, (whole,))
+        snapshot = Snapshot(schema, stage.key, 0, (whole,), collation=stage.collation)
         counted = replace(whole, rows=self.frame(snapshot).count())
         return Candidate(replace(snapshot, parts=(counted,)), stage.null_keys)
 
     def upsert(self, old: Snapshot | None, stage: Staged, version: str) -> Candidate:
         """Staged rows replace rows of the same key; other rows stay."""
         if old is None:
-            old = Snapshot(stage.schema, stage.key, self.layout.buckets_for(stage.rows))
+            buckets = self.layout.buckets_for(stage.rows)
+            old = Snapshot(stage.schema, stage.key, buckets, collation=stage.collation)
         schema = evolve(old.schema, stage.schema)
         if stage.rows == 0:
             return Candidate(replace(old, schema=schema), 0)
         staged = align(stage.frame, schema)
         regroup = (
-            old.buckets == 0 or old.key != stage.key or self.layout.outgrown(old, stage.rows)
+            old.buckets == 0
+            or (old.key, old.collation) != (stage.key, stage.collation)
+            or self.layout.outgrown(old, stage.rows)
         )
         if regroup:
             buckets, touched = self.layout.buckets_for(old.total("rows") + stage.rows), None
         else:
             buckets = old.buckets
-            hit = staged.select(bucket_of(F.col(quoted(stage.key)), buckets).alias(BUCKET))
+            hit = staged.select(bucket_of(F.col(quoted(stage.key)), buckets, stage.collation).alias(BUCKET))
             touched = {r[BUCKET] for r in hit.distinct().collect()}  # at most one per bucket
         stays = () if touched is None else tuple(p for p in old.parts if p.bucket not in touched)
         previous = align(self.frame(old, touched), schema)
         path = f"curated/config={stage.config_id}/{version}"
         self._write(previous, staged, stage, buckets, path, regroup)
-        written, missing = self._profile(staged, stage.key, schema, buckets, path)
-        snapshot = Snapshot(schema, stage.key, buckets, (*stays, *written))
+        written, missing = self._profile(staged, stage, schema, buckets, path)
+        snapshot = Snapshot(schema, stage.key, buckets, (*stays, *written), collation=stage.collation)
         return Candidate(snapshot, missing)
 
     def bucketed(self, old: Snapshot | None, stage: Staged, version: str) -> Candidate:
         """A full replace that is split by key, ready for later upserts."""
         schema = stage.schema if old is None else evolve(old.schema, stage.schema)
         buckets = self.layout.buckets_for(stage.rows)
-        empty = Snapshot(schema, stage.key, buckets)
+        empty = Snapshot(schema, stage.key, buckets, collation=stage.collation)
         if stage.rows == 0:
             return Candidate(empty, 0)
         return self.upsert(empty, stage, version)
@@ -239,9 +246,9 @@ class Snapshots:
         own grouping: they are read, filtered and written without a shuffle. Otherwise the join
         moves them, and everything is brought together by bucket before the write.
         """
-        number = bucket_of(F.col(quoted(stage.key)), buckets)
+        number = bucket_of(F.col(quoted(stage.key)), buckets, stage.collation)
         small = stage.key_bytes <= self.layout.broadcast_key_bytes
-        kept = align(survivors(previous, staged, stage.key, small), staged.schema)
+        kept = align(survivors(previous, staged, stage.key, small, stage.collation), staged.schema)
         kept, staged = kept.withColumn(BUCKET, number), staged.withColumn(BUCKET, number)
         if small and not regroup:
             rows = kept.unionByName(staged.hint("rebalance", F.col(BUCKET)))
@@ -250,11 +257,12 @@ class Snapshots:
         rows.write.mode("overwrite").partitionBy(BUCKET).parquet(self.store.path(path))
 
     def _profile(
-        self, staged: DataFrame, key: str, schema: T.StructType, buckets: int, path: str
+        self, staged: DataFrame, stage: Staged, schema: T.StructType, buckets: int, path: str
     ) -> tuple[tuple[Part, ...], int]:
         """Key counts of the written buckets, and staged keys that did not arrive."""
         written = self.spark.read.schema(schema).parquet(self.store.path(path))
-        counts = reconcile(staged, written, key, bucket_of(F.col("k"), buckets)).collect()
+        number = bucket_of(F.col("k"), buckets, stage.collation)
+        counts = reconcile(staged, written, stage.key, number, stage.collation).collect()
         parts = tuple(
             Part(
                 r["bucket"],

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.functions.clock import timestamp_literal
+from tidegate.operators.keys import COLLATIONS
 from tidegate.operators.lookup import newest_rows
 from tidegate.operators.publish import insert_absent
 from tidegate.state import tables
@@ -49,6 +50,8 @@ def check_configs(rows: list[dict]) -> None:
             problems.append(f"unknown Load {row['Load']!r}")
         if row.get("LoadType") not in (None, v.FULL, v.WATERMARK):
             problems.append(f"unknown LoadType {row['LoadType']!r}")
+        if row.get("KeyCollation") not in (None, *COLLATIONS):
+            problems.append(f"unknown KeyCollation {row['KeyCollation']!r}")
         if row.get("LoadType") == v.WATERMARK and not row.get("WatermarkColumn"):
             raise v.LoadError(51003)
         if source in sources:

@@ -32,7 +32,7 @@ CONFIG = Log(
     "config",
     "ConfigId",
     """ConfigId int, SourceSchema string, SourceTable string, TargetSchema string, TargetTable string,
-    Load string, LoadType string, WatermarkColumn string, PrimaryKeyColumn string,
+    Load string, LoadType string, WatermarkColumn string, PrimaryKeyColumn string, KeyCollation string,
     ConnectionReference string, RetryCount smallint, RetryIntervalSeconds smallint,
     ApprovedColumnList array<string>, ApprovedSchemaHash string, ApprovedSchemaVersion int,
     LastWatermarkValue timestamp_ntz, LastRunStatus string, LastSuccessfulRunUtc timestamp_ntz,
@@ -92,6 +92,6 @@ LOGS = [CONFIG, RUN, ATTEMPT, CHECK, NOTIFICATION, HISTORY, REQUEST, OUTBOX]
 
 # one row per publish; the newest row of a config is its curated table
 COMMIT_COLUMNS = """CommitId bigint, ConfigId int, TableLoadAuditId bigint, SchemaJson string,
-    KeyColumn string, Buckets int,
+    KeyColumn string, KeyCollation string, Buckets int,
     Parts array<struct<bucket:int,path:string,rows:bigint,duplicate_keys:bigint,null_keys:bigint>>,
     LastWatermarkValue timestamp_ntz, CommittedUtc timestamp_ntz"""
