@@ -108,3 +108,45 @@ def test_short_items_are_found_exactly():
     texts = [f"before {item} after" for item in items] + ["who is hee?", "光合作用的产物是水", "nine chair"]
     assert [(t, i) for t, i, edits, *_ in dc.search(texts, index) if edits == 0] == [(k, k) for k in range(4)]
     assert len(list(dc.search(texts, index))) == 4
+
+
+def free(item, text):
+    """Whether a short item stands free in a text: not within a longer word of a script that has blanks."""
+    spaced = lambda c: c.isascii() and c.isalnum() or "À" <= c < " "
+    for at in range(len(text) - len(item) + 1):
+        if text.startswith(item, at):
+            stop = at + len(item)
+            begun = at > 0 and spaced(text[at - 1]) and spaced(text[at])
+            goes_on = stop < len(text) and spaced(text[stop]) and spaced(text[stop - 1])
+            if not begun and not goes_on:
+                return at
+    return None
+
+
+@pytest.mark.parametrize("seed,letters", [(1, "ab "), (2, "aé漢 ."), (3, "漢字水"), (4, "a😀 \x01")])
+def test_items_of_a_few_characters(seed, letters):
+    rng = random.Random(seed)
+    word = lambda n: dc.normal("".join(rng.choice(letters) for _ in range(n)))
+    items = list({word(rng.randint(1, 8)) for _ in range(30)} - {""}) + [""]
+    texts = [None, ""] + [word(rng.randint(1, 40)) for _ in range(60)]
+    index = dc.index_of(tuple(items), 0.1)
+    got = {(t, i): start for t, i, edits, start, stop in dc.search(texts, index) if edits == 0 and stop - start == len(items[i])}
+    assert got == {(t, i): free(item, text or "") for t, text in enumerate(texts) for i, item in enumerate(items) if item and free(item, text or "") is not None}
+
+
+def test_five_letters_and_text_ids(spark):
+    docs = docs_frame(spark, [("a", "it is Paris, of course"), ("b", "parisian life"), ("c", "水の分子式はH2Oです")], "doc_id string, text string")
+    benchmark = spark.createDataFrame([("q1", "paris"), ("q2", "H2O"), (None, "分子式"), ("q4", "?!")], "item_id string, text string")
+    for chars in (1 << 20, 6, 1):  # one block, and several
+        found = sorted(((r["doc_id"], r["item_id"]) for r in dc.matches(docs, benchmark, block_chars=chars).collect()), key=str)
+        assert found == [("a", "q1"), ("c", "q2"), ("c", None)]  # scripts without blanks bound a word
+        assert [r["doc_id"] for r in dc.remove(docs, benchmark, block_chars=chars).collect()] == ["b"]
+    assert dc.matches(docs, benchmark, min_letters=6).collect() == []
+
+
+def test_blocks_give_what_one_index_gives(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    size = sum(len(r["text"]) for r in benchmark.collect())
+    whole, parts = (sorted(map(tuple, dc.matches(docs, benchmark, block_chars=n).collect())) for n in (1 << 20, size // 3 + 1))
+    assert whole == parts and whole

@@ -9,7 +9,9 @@ verified by an alignment banded to these diagonals and k more on either side.
 
 Texts and items are compared case-folded, with runs of white space as one blank. The edit budget is
 ``edit_share`` of the item, lowered where the lemma would need fewer than ``MIN_SHARED`` q-grams.
-Items shorter than ``MIN_CHARS`` are too short to be evidence and are left out.
+Items shorter than ``MIN_CHARS`` have too few q-grams of that size. They are searched for without edits, each
+as one gram of its own length, and have to stand free: in scripts that set words apart, not within
+a longer word. ``min_letters`` leaves out items with fewer letters and digits (none by default).
 
 The benchmark is the stated query set. It is read in blocks of at most ``block_chars`` characters
 (one longer item is a block of its own), and the documents are passed once for each block; a block's
@@ -30,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 Q = 8  # as many as bytes in a word
-MIN_CHARS = 9  # an item needs MIN_SHARED q-grams; under 17 characters it is searched for without edits
+MIN_CHARS = 9  # for MIN_SHARED q-grams; under 17 characters items are searched for without edits
 MIN_SHARED = 2
 EDIT_SHARE = 0.1
 CHARS = 1 << 19  # of texts looked at together
@@ -51,7 +54,7 @@ def points(text: str) -> np.ndarray:
 
 def _codes(chars: np.ndarray) -> np.ndarray:
     """Each q-gram as one number. Characters count by one byte; equal q-grams stay equal."""
-    folded = (chars ^ (chars >> 8) * 151 ^ (chars >> 16) * 29).astype(np.uint8)
+    folded = _folded(chars)
     n = max(0, len(folded) - Q + 1)
     return np.ndarray((n,), "<u8", buffer=folded.tobytes(), strides=(1,)).copy() if n else np.empty(0, np.uint64)
 
@@ -73,11 +76,13 @@ class Index:
     place: np.ndarray
     bits: int
     hit: np.ndarray  # which hashes some gram has
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by length: sorted codes of short items, and the items
 
 
 @lru_cache(maxsize=2)
-def index_of(texts: tuple[str, ...], edit_share: float) -> Index:
-    items = [points(normal(t)) for t in texts]
+def index_of(texts: tuple[str, ...], edit_share: float, min_letters: int = 0) -> Index:
+    normals = [normal(t) for t in texts]
+    items = [points(t if sum(map(str.isalnum, t)) >= min_letters else "") for t in normals]
     edits = np.array([budget(len(x), edit_share) for x in items], np.int64)
     shared = np.array([len(x) - Q + 1 - k * Q for x, k in zip(items, edits)], np.int64)
     use = [k for k, x in enumerate(items) if len(x) >= MIN_CHARS]
@@ -90,13 +95,70 @@ def index_of(texts: tuple[str, ...], edit_share: float) -> Index:
     bits = max(16, int(len(grams) * 16).bit_length())
     hit = np.zeros(1 << bits, bool)
     hit[(grams * MIX) >> np.uint64(64 - bits)] = True
-    return Index(items, edits, shared, grams, np.append(first, len(codes)), item[order], place[order], bits, hit)
+    short = {}
+    for m in range(1, MIN_CHARS):
+        own = np.array([k for k, x in enumerate(items) if len(x) == m], np.int64)
+        if len(own):
+            eight = np.concatenate([_eights(items[k])[:1] for k in own]) & _mask(m)
+            sort = np.argsort(eight, kind="stable")
+            short[m] = eight[sort], own[sort]
+    return Index(items, edits, shared, grams, np.append(first, len(codes)), item[order], place[order], bits, hit, short)
+
+
+def _mask(m: int) -> np.uint64:
+    return np.uint64((1 << 8 * m) - 1)
+
+
+def _folded(chars: np.ndarray) -> np.ndarray:
+    return (chars ^ (chars >> 8) * 151 ^ (chars >> 16) * 29).astype(np.uint8)
+
+
+def _eights(chars: np.ndarray) -> np.ndarray:
+    """The folded bytes of eight characters from every place on; zero behind the end."""
+    wide = np.concatenate((_folded(chars), np.zeros(Q, np.uint8)))
+    return np.ndarray((len(chars),), "<u8", wide, 0, (1,))
+
+
+def _spaced(chars: np.ndarray) -> np.ndarray:
+    """Letters and digits of scripts that set words apart."""
+    return ((chars >= 48) & (chars <= 57)) | ((chars >= 97) & (chars <= 122)) | ((chars >= 0xC0) & (chars < 0x2000))
+
+
+def short_matches(chars: np.ndarray, starts: np.ndarray, stops: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, item, 0, start, stop) of the first free-standing place of every short item in every text."""
+    if not index.short or not len(chars):
+        return
+    eights = _eights(chars)
+    word = np.concatenate(([False], _spaced(chars), [False]))
+    for m, (codes, items) in index.short.items():
+        own = eights & _mask(m)
+        at = np.flatnonzero(codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own)
+        lo, hi = np.searchsorted(codes, own[at]), np.searchsorted(codes, own[at], side="right")
+        item = items[np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo) + np.arange(int((hi - lo).sum()))]
+        at = np.repeat(at, hi - lo)
+        text = np.searchsorted(starts, at, side="right") - 1
+        fits = at + m <= stops[text]
+        at, item, text = at[fits], item[fits], text[fits]
+        if not len(at):
+            continue
+        letters = chars[at[:, None] + np.arange(m)]
+        same = (letters == np.stack([index.items[i] for i in item])).all(axis=1)
+        begun = word[at] & word[at + 1] & (at > starts[text])
+        goes_on = word[at + m] & word[at + m + 1] & (at + m < stops[text])
+        keep = np.flatnonzero(same & ~begun & ~goes_on)
+        if not len(keep):
+            continue
+        for k in keep[np.unique(np.stack((text[keep], item[keep]), 1), axis=0, return_index=True)[1]]:
+            begin = int(at[k] - starts[text[k]])
+            yield int(text[k]), int(item[k]), 0, begin, begin + m
 
 
 def candidates(chars: np.ndarray, starts: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, lowest diagonal) of the bands with enough shared q-grams; texts begin at ``starts``."""
-    codes = _codes(chars)
     none = (np.empty(0, np.int64),) * 3
+    if not len(index.grams):
+        return none
+    codes = _codes(chars)
     at = np.flatnonzero(index.hit[(codes * MIX) >> np.uint64(64 - index.bits)])
     if not len(at):
         return none
@@ -196,7 +258,10 @@ def search(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, in
             chars = points("\0".join(parts))
             lengths = np.fromiter(map(len, parts), np.int64, len(parts))
             starts = np.cumsum(lengths + 1) - lengths - 1
-            for t, *rest in verify(chars, starts, starts + lengths, candidates(chars, starts, index), index):
+            stops = starts + lengths
+            for t, *rest in verify(chars, starts, stops, candidates(chars, starts, index), index):
+                yield at + t, *rest
+            for t, *rest in short_matches(chars, starts, stops, index):
                 yield at + t, *rest
             at, parts, size = k + 1, [], 0
 
@@ -228,22 +293,24 @@ def matches(
     item_text_col: str = "text",
     edit_share: float = EDIT_SHARE,
     block_chars: int = 1 << 20,
+    min_letters: int = 0,
 ) -> DataFrame:
     """doc_id, item_id, edits, start, stop: one row for every item found in a document."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = picked.schema["doc_id"].dataType.simpleString()
+    kind = to_arrow_type(benchmark.schema[item_col].dataType)
     schema = f"doc_id {schema}, item_id {benchmark.schema[item_col].dataType.simpleString()}, edits int, start bigint, stop bigint"
 
     def one(ids: list, texts: tuple[str, ...]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = index_of(texts, edit_share)
+            index = index_of(texts, edit_share, min_letters)
             for batch in batches:
                 rows = list(search_batch(batch.column(1), index))
                 text, item, edits, start, stop = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(text, pa.int64())),
-                        pa.array([ids[i] for i in item], pa.int64()),
+                        pa.array([ids[i] for i in item], kind),
                         pa.array(edits, pa.int32()),
                         pa.array(start, pa.int64()),
                         pa.array(stop, pa.int64()),
@@ -265,13 +332,14 @@ def remove(
     item_text_col: str = "text",
     edit_share: float = EDIT_SHARE,
     block_chars: int = 1 << 20,
+    min_letters: int = 0,
 ) -> DataFrame:
     """``docs`` without the rows in whose text some item occurs."""
     place = docs.columns.index(text_col)
 
     def one(frame: DataFrame, texts: tuple[str, ...]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = index_of(texts, edit_share)
+            index = index_of(texts, edit_share, min_letters)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 clean[[row[0] for row in search_batch(batch.column(place), index)]] = False

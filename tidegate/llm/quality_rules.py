@@ -43,16 +43,23 @@ def _let(value: Column, body) -> Column:
 def _repeated_positions(words: Column) -> Column:
     """How many word positions lie in a three-word window that the text holds twice or more.
 
-    Windows are compared by a 64-bit hash within one text. Sorting brings equal windows side by
-    side, so the work is n log n in the text's own length.
+    Sorting brings equal windows side by side, so the work is n log n in the text's own length. A
+    hash stands in front of a window's words, so that words are only compared where hashes agree.
     """
     windows = F.transform(
         F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("h"), i.alias("p")),
+        lambda i: F.struct(
+            F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("h"),
+            words[i].alias("a"), words[i + 1].alias("b"), words[i + 2].alias("c"), i.alias("p"),
+        ),
     )
 
     def covered(s: Column) -> Column:
-        same = lambda i, j: F.coalesce(F.get(s, i)["h"] == F.get(s, j)["h"], F.lit(False))
+        def same(i: Column, j: Column) -> Column:
+            x, y = F.get(s, i), F.get(s, j)
+            equal = (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+            return F.coalesce(equal, F.lit(False))
+
         twice = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda j: same(j, j - 1) | same(j, j + 1))
         spans = F.transform(twice, lambda j: _let(s[j]["p"], lambda p: F.array(p, p + 1, p + 2)))
         return F.size(F.array_distinct(F.flatten(spans)))
