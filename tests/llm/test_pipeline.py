@@ -1,6 +1,6 @@
 """Every stage against its rule on the stage's own input, and the whole against the stages."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
@@ -91,11 +91,50 @@ def test_run_gives_the_last_stage(spark, steps, sf_dir):
 EDGE = [(1, None), (2, ""), (None, "a text without an id that goes on for a while"), (3, " \n"), (4, "x" * 200_000), (5, "same words here " * 20), (5, "same words here " * 20)]
 
 
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def edge_frame(spark, data):
+    return docs_frame(spark, [(i, t, "en", "s", 1) for i, t in data], SCHEMA)
+
+
 @pytest.mark.parametrize("data", [EDGE, []])
 def test_stages_on_edge_rows(spark, sf_dir, data):
-    frame = docs_frame(spark, [(i, t, "en", "s", 1) for i, t in data], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    for _, work in corpus_pipeline.STAGES:
-        out = work(spark, frame, sf_dir)
-        assert out.count() >= 0
+    frame = edge_frame(spark, data)
+    got = {name: work(spark, frame, sf_dir) for name, work in corpus_pipeline.STAGES}
+    kept = {name: Counter((r["doc_id"], r["text"]) for r in out.collect()) for name, out in got.items() if name != "packing"}
+    given = Counter(data)
+    # one language is known, so every text with a letter has it
+    assert kept["language_id"] == Counter({row: n for row, n in given.items() if row[1] and row[1].strip()})
+    assert kept["quality"] <= kept["language_id"]
+    # texts without a word are one group; so are the two equal rows
+    assert kept["near_duplicates"] == Counter({row: 1 for row in given if row[0] not in (2, 3)})
+    assert kept["decontamination"] == given
+    assert check(got["packing"].collect(), data) == 0
     assert langid.predict(frame, langid.train(frame, corpus_pipeline.F.lit(True))).count() == len(data)
     assert quality.classify(frame, quality.train(frame)).count() == len(data)
+
+
+CLASH = ["_row", "row", "key", "score", "kept", "_judged", "rejected", "quality", "_lang", "lang_pred", "_lowered", "_lettered", "_pattern", "id"]
+
+
+def test_stages_return_rows_as_given(spark, steps, sf_dir):
+    """Also columns that are named like those used inside."""
+    frame = steps[0].selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in CLASH])
+    given = rows(frame)
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        out = work(spark, frame, sf_dir)
+        kept = rows(out)
+        assert out.columns == frame.columns and kept.items() <= given.items() and kept, name
+
+
+def test_rows_without_ids_or_languages_stay(spark, steps, sf_dir):
+    docs = steps[0]
+    count = docs.count()
+    nameless = docs.withColumn("doc_id", corpus_pipeline.F.lit(None).cast("bigint"))
+    assert corpus_pipeline.language_id(spark, nameless, sf_dir).count() >= 0.99 * count
+    texts = lambda frame: {r["text"] for r in frame.select("text").collect()}
+    with_ids, without = (texts(corpus_pipeline.quality_classifier(spark, d, sf_dir)) for d in (docs, nameless))
+    assert len(with_ids ^ without) <= 0.02 * len(with_ids)
+    speechless = docs.withColumn("lang", corpus_pipeline.F.lit(None).cast("string"))
+    assert rows(corpus_pipeline.language_id(spark, speechless, sf_dir)) == rows(speechless)

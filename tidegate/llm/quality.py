@@ -6,13 +6,12 @@ any gold label, how accurate each labeller is and how likely a document with a g
 good (Dawid and Skene, 1979). These posteriors then train a logistic scorer on hashed features,
 which also judges documents on which the labellers disagree or are silent.
 
-The patterns are at most 3^labellers rows. The scorer is fitted on about ``max_rows`` documents,
-chosen by a hash of the id (a documented bound); half of them from patterns more likely bad, so
-that rare junk is seen.
+The patterns are at most 3^labellers rows. The scorer is fitted on about ``max_rows`` different
+documents, those of lowest hash of id and text (a documented bound); half of them from patterns
+more likely bad, so that rare junk is seen.
 
 Defined cases: a null or blank text is bad (score 0, not kept); an empty table gives no rows;
-repeated rows are judged alike; a null id takes part in the counts but not in the sample; other
-columns are not read.
+repeated rows are judged alike; a null id is an id; other columns are carried, not read.
 """
 
 from __future__ import annotations
