@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.fixtures import TABLES, Inputs
@@ -29,7 +29,7 @@ from tidegate.plans import reporting
 from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
 from tidegate.plans.views import register_views
-from tidegate.sources import CatalogTables, Frames, Marks, ParquetFolder, Sources
+from tidegate.sources import CatalogTables, Frames, Marks, ParquetFolder, Sources, column_catalog
 from tidegate.state import tables as logs
 from tidegate.state.shared import shared_root, stage
 from tidegate.state.snapshots import Snapshots
@@ -135,6 +135,40 @@ def gate1_checks_fail(t: Inputs) -> DataFrame:
     return gates.gate1(lines, lines, "line_key")
 
 
+def _gate1_by_bitmap(t: Inputs, rows: DataFrame, key: str) -> DataFrame:
+    """Gate 1 of rows that are staged first, their counts and key range observed on the way."""
+    seen = Observation()
+    figures = {"rows": F.count("*"), **gates.key_range_columns(rows, key)}
+    staged = stage(rows.observe(seen, *[c.alias(name) for name, c in figures.items()]).select(key), shared_root(t.spark))
+    found = gates.KeyRange(seen.get["rows"], seen.get["low"], seen.get["high"], len(staged.inputFiles()))
+    p = gates.measured_profile(staged, key, found)
+    return gates.gate1_of(t.spark, found.rows, p["rows"], p["duplicate_keys"], p["null_keys"], 0)
+
+
+@query
+def integer_gate1_pass(t: Inputs) -> DataFrame:
+    """Unique integer keys in a dense range: proven by bitmaps."""
+    return _gate1_by_bitmap(t, t["orders"].select("o_orderkey"), "o_orderkey")
+
+
+@query
+def integer_gate1_skewed(t: Inputs) -> DataFrame:
+    """A third of all rows have one key, some none: the bitmaps prove nothing and the keys are counted."""
+    k = F.col("o_orderkey")
+    hot = F.when(k % 3 == 0, 6).when(k % 97 != 0, k)
+    return _gate1_by_bitmap(t, t["orders"].select(hot.alias("o_orderkey")), "o_orderkey")
+
+
+@query
+def integer_key_counts(t: Inputs) -> DataFrame:
+    """Rows, different keys and missing keys of three tables, by bitmaps."""
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "user_id"}
+    return reduce(
+        DataFrame.unionByName,
+        [gates.integer_profile(t[name], key).withColumn("source", F.lit(name)) for name, key in keys.items()],
+    )
+
+
 # --- publish ----------------------------------------------------------------------
 
 
@@ -658,6 +692,39 @@ def governed_gate_checks(t: Inputs) -> DataFrame:
     return checks.join(attempt, "TableLoadAuditId").drop("TableLoadAuditId")
 
 
+@query
+def governed_error_messages(t: Inputs) -> DataFrame:
+    """What each kind of failed attempt records: gate 2, gate 1, a lost approved column."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    snapshots = _Disturbed(store)
+    store.add_configs(GOVERNED)
+    narrow = {("src", "events"): lambda: t["events"].drop("event_type")}
+    for config_id, sources in (
+        (2, _governed(t, False)),
+        (3, _governed(t, False)),
+        (1, _governed(t, False)),
+        (1, Sources(t.spark, {}, Frames(narrow))),
+    ):
+        try:
+            load_table(store, snapshots, sources, config_id, "run-1")
+        except LoadError:
+            continue
+    return store.current(logs.ATTEMPT).select("TableLoadAuditId", "SourceObject", "Status", "ErrorMessage")
+
+
+@query
+def governed_empty_table(t: Inputs) -> DataFrame:
+    """The columns of a table that its first load, of an empty source, created."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    snapshots = Snapshots(store)
+    store.add_configs(GOVERNED[:1])
+    nothing = {("src", "events"): lambda: t["events"].filter("event_id IS NULL")}
+    load_table(store, snapshots, Sources(t.spark, {}, Frames(nothing)), 1, "run-1")
+    created = snapshots.table(1)
+    columns = column_catalog(t.spark, {"events": created}).drop("table", "nullable")
+    return columns.withColumn("table_rows", F.lit(created.count()))
+
+
 @query
 def governed_views_by_name(t: Inputs) -> DataFrame:
     """A registered view, read by its name after a load."""

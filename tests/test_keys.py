@@ -91,3 +91,64 @@ def test_unknown_collation_is_refused(spark, tmp_path):
     row = {"SourceTable": "t", "TargetTable": "t", "Load": "Yes", "LoadType": "FULL", "PrimaryKeyColumn": "k", "KeyCollation": "UNICODE_CI"}
     with pytest.raises(LoadError, match="KeyCollation"):
         store.add_configs([row])
+
+
+# --- integer keys by bitmaps ------------------------------------------------------
+
+
+def _range(df, key, files=1):
+    columns = gates.key_range_columns(df, key)
+    row = df.agg(F.count("*").alias("rows"), *[c.alias(n) for n, c in columns.items()]).first()
+    return gates.KeyRange(row["rows"], row["low"], row["high"], files)
+
+
+@pytest.mark.parametrize(
+    "keys",
+    [
+        list(range(-40000, 70000, 3)),
+        [-(2**63), 2**63 - 1, 0, -1, 1, 32768, 32769, -32768],
+        [5, None, 6],
+        [5, None, None],
+        [5, 5, 6, None],
+        [7] * 900 + list(range(1000, 1400)),
+        [],
+    ],
+)
+def test_integer_profile(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "id bigint").repartition(3)
+    p = gates.integer_profile(df, "id").first()
+    known = [k for k in keys if k is not None]
+    assert (p["rows"], p["distinct_keys"], p["null_keys"]) == (len(keys), len(set(known)), len(keys) - len(known))
+    plain = gates.key_profile(df, "id").first()
+    measured = gates.measured_profile(df, "id", _range(df, "id"))
+    assert all(measured[name] == plain[name] for name in ("rows", "duplicate_keys", "null_keys", "key_bytes"))
+
+
+def test_bitmaps_where_they_pay(spark):
+    dense = gates.KeyRange(10_000_000, 1, 10_000_000, 20)
+    assert gates.bitmaps_pay(dense)
+    assert not gates.bitmaps_pay(gates.KeyRange(10_000_000, 1, 10_000_000, 2000))  # every file may hit every page
+    assert not gates.bitmaps_pay(gates.KeyRange(10_000_000, 1, 10**15, 20))
+    assert not gates.bitmaps_pay(gates.KeyRange(0, None, None, 0))
+    assert gates.key_range_columns(spark.createDataFrame([("a",)], "k string"), "k") == {}
+
+
+def test_only_bitmaps_are_shuffled(spark):
+    plan = gates.integer_profile(spark.range(10).toDF("id"), "id")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("id#" in line for line in exchanges)
+
+
+def test_sequence_numbers_of_a_frame_differ(spark, tmp_path):
+    from tidegate.state import tables
+
+    store = StateStore(spark, str(tmp_path))
+    for _ in range(2):
+        events = spark.range(50).repartition(4).selectExpr("id AS NotificationAuditId", "'x' AS Payload")
+        wanted = [f for f in tables.OUTBOX.schema if f.name not in ("_seq", "LogDate")]
+        rows = events.select(*[
+            F.col(f.name).cast(f.dataType) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted
+        ])
+        store.append_frame(tables.OUTBOX, rows)
+    seqs = [r["_seq"] for r in store.read(tables.OUTBOX).select("_seq").collect()]
+    assert len(seqs) == len(set(seqs)) == 100

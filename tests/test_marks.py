@@ -176,3 +176,56 @@ def test_database_is_asked_for_marks_and_bounds(spark):
     plain = JdbcDatabase("jdbc:x", load=load)
     plain.read(spark, "s", "t")
     assert seen[-1] == {"url": "jdbc:x", "dbtable": '"s"."t"'}
+
+
+def test_a_hanging_table_is_ended_and_repeated(spark, tmp_path):
+    """One table's source hangs once: that attempt fails at its limit, is repeated, and another table loads meanwhile."""
+    import time
+
+    tries = []
+
+    def hang(batches):
+        time.sleep(90)
+        yield from batches
+
+    def slow():
+        tries.append(1)
+        frame = spark.createDataFrame([(1, T0, "x")], "id bigint, ts timestamp_ntz, v string")
+        return frame.mapInArrow(hang, frame.schema) if len(tries) == 1 else frame
+
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.add_configs([{**CONFIG, "RetryCount": 1, "RetryIntervalSeconds": 0}, {**CONFIG, "SourceTable": "u", "TargetTable": "u"}])
+    quick = spark.createDataFrame([(k, T0, "x") for k in range(3)], "id bigint, ts timestamp_ntz, v string")
+    sources = Sources(spark, {}, Frames({("src", "t"): slow, ("src", "u"): lambda: quick}))
+    began = time.monotonic()
+    done = run_pipeline(store, Snapshots(store), sources, "r1", limit_seconds=20)
+    assert done.status == "SUCCESS" and time.monotonic() - began < 85
+    found = store.current(tables.ATTEMPT).orderBy("ConfigId", "TableLoadAuditId").select("ConfigId", "Status", "ErrorMessage").collect()
+    assert [tuple(r) for r in found] == [
+        (1, "FAILURE", "The attempt exceeded its time limit of 20 seconds."),
+        (1, "SUCCESS", None),
+        (2, "SUCCESS", None),
+    ]
+
+
+def test_a_new_driver_closes_published_attempts(spark, tmp_path, monkeypatch):
+    """The first run with a store closes what a lost driver had published; later runs do not look again."""
+    frame = spark.createDataFrame([(1, T0, "x")], "id bigint, ts timestamp_ntz, v string")
+    sources = Sources(spark, {}, Frames({("src", "t"): lambda: frame}))
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.add_configs([CONFIG])
+
+    class Gone(BaseException):
+        pass
+
+    def lost(*args):
+        raise Gone
+
+    monkeypatch.setattr("tidegate.plans.load._record_success", lost)
+    with pytest.raises(Gone):
+        load_table(store, Snapshots(store), sources, 1, "r1")
+    monkeypatch.undo()
+    store = StateStore(spark, str(tmp_path / "state"))
+    run_pipeline(store, Snapshots(store), sources, "r2")
+    statuses = [r["Status"] for r in store.current(tables.ATTEMPT).orderBy("TableLoadAuditId").collect()]
+    assert statuses == ["SUCCESS", "SUCCESS"] and not store.first_run()

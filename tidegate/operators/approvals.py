@@ -96,12 +96,14 @@ def decision_errors(requests: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def _decided(requests: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Requests with their applicable decision: the first valid one, on pending requests only."""
-    first = _first(decisions).withColumnRenamed("_first", "DecisionId")
+    """Requests with their applicable decision: the first valid one, on pending requests only.
+
+    The decision log is read once; its first row per request is one aggregate, combined on the map side.
+    """
     valid = (
         _valid(decisions)
-        .join(first, ["SchemaChangeRequestId", "DecisionId"], "left_semi")
-        .select("SchemaChangeRequestId", F.struct(*decisions.columns).alias("_d"))
+        .groupBy("SchemaChangeRequestId")
+        .agg(F.min_by(F.struct(*decisions.columns), "DecisionId").alias("_d"))
     )
     hit = (F.col("Status") == v.PENDING) & F.col("_d").isNotNull()
     return requests.join(valid, "SchemaChangeRequestId", "left").withColumn("_hit", hit)

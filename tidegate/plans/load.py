@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import is_remote
 
 from tidegate.operators import gates, highwater
 from tidegate.operators.fingerprint import fingerprint, missing_names
-from tidegate.operators.gates import key_profile
 from tidegate.operators.projection import align, by_name
 from tidegate.plans import rfc
 from tidegate.sources import Sources
@@ -54,12 +58,14 @@ def load_table(
     run_id: str,
     full_check: bool = True,
     config: dict | None = None,
+    limit_seconds: float | None = None,
 ) -> LoadResult:
     """One attempt. Errors before the attempt row leave no trace; later ones are audited.
 
     Gate 2 counts every key of the table as it will be published. ``full_check=False`` adds the
     counts that earlier loads found in untouched folders instead. ``config`` is the row as the
-    caller has just read it; otherwise it is looked up.
+    caller has just read it; otherwise it is looked up. After ``limit_seconds`` the attempt's Spark
+    jobs, and no others, are cancelled and the attempt fails.
     """
     with store.config_lock(config_id):
         config = config or store.config(config_id)
@@ -79,7 +85,8 @@ def load_table(
         missing = missing_names(config["ApprovedColumnList"], fp.columns)
         attempt = _start(store, config, run_id, first, changed, approval)
         try:
-            done, mark = _load(store, snapshots, sources, source, attempt, missing, full_check)
+            with time_limit(store.spark, limit_seconds, f"attempt-{attempt.id}-{uuid4().hex}"):
+                done, mark = _load(store, snapshots, sources, source, attempt, missing, full_check)
         except Exception as error:
             _record_failure(store, attempt, error)
             raise
@@ -87,6 +94,48 @@ def load_table(
         return LoadResult(attempt.id, config_id, changed, approval or "NONE", v.SUCCESS)
 
 
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None, tag: str) -> Iterator[None]:
+    """Cancel the jobs this thread starts inside the block once the time is over, and fail it.
+
+    Jobs are found by a tag of this thread, so loads of other tables go on. A block that is done
+    when its time ends has succeeded; what it committed is never taken back.
+    """
+    if seconds is None:
+        yield
+        return
+    # a classic session's own tags are only known to the thread that adds them; the context's are not
+    tags = spark if is_remote() else spark.sparkContext
+    add, remove, cancel = (
+        (tags.addTag, tags.removeTag, tags.interruptTag)
+        if is_remote()
+        else (tags.addJobTag, tags.removeJobTag, tags.cancelJobsWithTag)
+    )
+    done, expired = threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if done.wait(seconds):
+            return
+        expired.set()
+        while not done.is_set():  # also the jobs that the block starts after the first interrupt
+            cancel(tag)
+            done.wait(0.5)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    add(tag)
+    watcher.start()
+    try:
+        yield
+    except Exception as error:
+        if expired.is_set():
+            raise v.LoadError(None, v.TIME_LIMIT_MESSAGE.format(seconds=seconds)) from error
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        remove(tag)
+
+
 def _load(
     store: StateStore,
     snapshots: Snapshots,
@@ -161,10 +210,15 @@ def _stage(
         fields.append(T.StructField(field.name, field.dataType, True))
     schema = T.StructType(fields)
     path = f"staging/config={config['ConfigId']}/load={attempt.id}"
-    align(window, schema).write.mode("overwrite").parquet(store.path(path))
-    frame = store.spark.read.schema(schema).parquet(store.path(path))
     key = by_name(schema)[config["PrimaryKeyColumn"].lower()].name
-    p = key_profile(frame, key, config["KeyCollation"]).first()
+    rows, seen = align(window, schema), Observation()
+    bounds = gates.key_range_columns(rows, key)
+    if bounds:
+        rows = rows.observe(seen, F.count("*").alias("rows"), *[c.alias(name) for name, c in bounds.items()])
+    rows.write.mode("overwrite").parquet(store.path(path))
+    frame = store.spark.read.schema(schema).parquet(store.path(path))
+    found = gates.KeyRange(seen.get["rows"], seen.get["low"], seen.get["high"], len(frame.inputFiles())) if bounds else None
+    p = gates.measured_profile(frame, key, found, config["KeyCollation"])
     counts = (p["rows"], p["duplicate_keys"], p["null_keys"], p["key_bytes"])
     return Staged(config["ConfigId"], path, frame, schema, key, *counts, config["KeyCollation"])
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidegate.operators import approvals
 from tidegate.operators.fingerprint import Fingerprint, compatibility
 from tidegate.operators.lookup import latest_pending_request
 from tidegate.state import tables
 from tidegate.state import vocabulary as v
-from tidegate.state.store import StateStore
+from tidegate.state.store import StateStore, local_frame
 
 
 def establish_baseline(store: StateStore, config: dict, fp: Fingerprint) -> dict:
@@ -23,7 +25,7 @@ def establish_baseline(store: StateStore, config: dict, fp: Fingerprint) -> dict
     own = (F.col("ConfigId") == config_id) & (F.col("SchemaVersion") == 1)
     if store.read(tables.HISTORY).filter(own).isEmpty():
         _add_version(store, config_id, 1, fp.hash, fp.columns, fp.definition, v.INITIAL_LOAD)
-    if not store.request_standing(config_id, fp.hash)["initial"]:
+    if not store.has_initial_request(config_id, fp.hash):
         _add_request(
             store,
             config_id,
@@ -46,20 +48,22 @@ def detect_change(store: StateStore, config: dict, fp: Fingerprint) -> tuple[boo
     """
     if fp.hash == config["ApprovedSchemaHash"]:
         return False, None
-    standing = store.request_standing(config["ConfigId"], fp.hash)
-    if standing["exact"] is not None:
-        return True, standing["exact"]
-    if not standing["pending"]:
+    config_id, spark = config["ConfigId"], store.spark
+    known = {"ConfigId": config_id, "ApprovedSchemaHash": config["ApprovedSchemaHash"], "CurrentHash": fp.hash}
+    one = local_frame(spark, [known], T.StructType.fromDDL("ConfigId int, ApprovedSchemaHash string, CurrentHash string"))
+    own = store.current(tables.REQUEST, F.col("ConfigId") == config_id)
+    found = approvals.detect_changes(one, one, own).first()
+    if found["IsNewRequest"]:
         _add_request(
             store,
-            config["ConfigId"],
+            config_id,
             fp,
             PreviousSchemaHash=config["ApprovedSchemaHash"],
             ChangeSummary=v.CHANGE_SUMMARY,
             Compatibility=compatibility(config["ApprovedColumnList"], fp.columns),
             Status=v.PENDING,
         )
-    return True, v.PENDING
+    return True, found["SchemaApprovalStatus"]
 
 
 def decide(

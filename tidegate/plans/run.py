@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark import inheritable_thread_target
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 from tidegate.functions import timestamp_literal
 from tidegate.operators import alerts, attempts, lookup
@@ -81,9 +82,9 @@ def finalize_run(store: StateStore, run_id: str) -> tuple[str, str]:
 def close_published(store: StateStore) -> int:
     """Close attempts that published but were lost before their outcome was written.
 
-    A commit names its attempt, so an attempt that is RUNNING and has a commit did succeed. For a
-    new driver to call before its first run; attempts without a commit stay RUNNING. Returns how
-    many were closed; as many rows come to the driver.
+    A commit names its attempt, so an attempt that is RUNNING and has a commit did succeed. A store's
+    first run begins with it; attempts without a commit stay RUNNING. Returns how many were closed;
+    as many rows come to the driver.
     """
     folder = store.path("commit")
     if not store.exists(folder):
@@ -136,8 +137,16 @@ def run_pipeline(
     parallel: int = 2,
     sleep: Callable[[float], None] = time.sleep,
     full_check: bool = True,
+    limit_seconds: float | None = 1200,
 ) -> RunResult:
-    """Load every enabled table, ``parallel`` at a time, then finalize and raise on failure."""
+    """Load every enabled table, ``parallel`` at a time, then finalize and raise on failure.
+
+    An attempt that takes longer than ``limit_seconds`` is ended, recorded as failed and repeated like
+    any other failure, while the other tables load. Every table has a scheduler pool of its own,
+    so under ``spark.scheduler.mode=FAIR`` a large one leaves cores to the others.
+    """
+    if store.first_run():
+        close_published(store)
     # one read of the configuration log serves the first attempt of every table
     enabled = store.current(tables.CONFIG).filter(F.col("Load") == v.YES).orderBy("ConfigId")
     configs = [row.asDict() for row in enabled.collect()]
@@ -145,10 +154,12 @@ def run_pipeline(
 
     def load(config: dict) -> LoadResult | Exception:
         tries_left, known = config["RetryCount"], config
+        if not is_remote():
+            store.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"table-{config['ConfigId']}")
         while True:
             try:
                 return load_table(
-                    store, snapshots, sources, config["ConfigId"], run_id, full_check, known
+                    store, snapshots, sources, config["ConfigId"], run_id, full_check, known, limit_seconds
                 )
             except Exception as error:  # a failing table never stops the others
                 known = None  # the failed attempt has changed the row
@@ -158,8 +169,9 @@ def run_pipeline(
                 sleep(config["RetryIntervalSeconds"])
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        work = inheritable_thread_target(store.spark)(load)
-        results = dict(zip([c["ConfigId"] for c in configs], pool.map(work, configs)))
+        # wrapped once per table: every wrapper has job properties of its own, and with them tags and pool
+        work = [pool.submit(inheritable_thread_target(store.spark)(load), config) for config in configs]
+        results = {config["ConfigId"]: done.result() for config, done in zip(configs, work)}
     fill_outbox(store, run_id, run["StartedUtc"])
     status, message = finalize_run(store, run_id)
     return RunResult(status, message, results)

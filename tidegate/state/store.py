@@ -15,7 +15,9 @@ from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.logger import PySparkLogger
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -28,6 +30,9 @@ from tidegate.state import tables
 from tidegate.state import vocabulary as v
 from tidegate.state.tables import Log
 
+# asking for a path that is not there is no error worth a stack trace in the log
+PySparkLogger.getLogger("SQLQueryContextLogger").addFilter(lambda record: "PATH_NOT_FOUND" not in record.getMessage())
+
 DEFAULTS = {
     "SourceSchema": "src",
     "TargetSchema": "curated",
@@ -81,13 +86,21 @@ class StateStore:
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] = utc_now):
         self.spark, self.root, self.clock = spark, root.rstrip("/"), clock
         self._guard = threading.RLock()
+        self._fresh = True
         self._ids: dict[str, itertools.count] = {}
         self._seqs: dict[str, itertools.count] = {}
         self._config_locks: dict[int, threading.RLock] = {}
         # two jobs that append to one folder would clear each other's temporary files
         self._log_locks = {log.name: threading.Lock() for log in tables.LOGS}
         with ThreadPoolExecutor(max_workers=len(tables.LOGS)) as pool:
-            list(pool.map(inheritable_thread_target(spark)(self._ensure), tables.LOGS))
+            for done in [pool.submit(inheritable_thread_target(spark)(self._ensure), log) for log in tables.LOGS]:
+                done.result()
+
+    def first_run(self) -> bool:
+        """Whether no run has begun with this store object: only then can another driver's attempts be open."""
+        with self._guard:
+            first, self._fresh = self._fresh, False
+        return first
 
     # --- logs ---------------------------------------------------------------------
 
@@ -105,10 +118,13 @@ class StateStore:
         self._ids[log.name], self._seqs[log.name] = itertools.count(ids + 1), itertools.count(seqs + 1)
 
     def exists(self, path: str) -> bool:
-        """Whether the shared folder has this path (asked of its own file system)."""
-        context = self.spark.sparkContext
-        hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
+        """Whether the shared folder has this path, asked of a file source, so any kind of session can."""
+        try:
+            return bool(self.spark.read.schema("_any int").parquet(path).columns)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
 
     def _write(self, rows: DataFrame, log: Log) -> None:
         rows.write.mode("append").partitionBy("LogDate").parquet(self.path("log", log.name))
@@ -128,20 +144,25 @@ class StateStore:
             self._write(local_frame(self.spark, numbered, log.schema), log)
 
     def append_frame(self, log: Log, rows: DataFrame) -> None:
-        """Append the rows of a query, written by its tasks."""
+        """Append the rows of a query, written by its tasks; every row has a sequence number of its own."""
         with self._log_locks[log.name]:
+            begin, seen = next(self._seqs[log.name]), Observation()
             stamped = rows.withColumns(
                 {
-                    "_seq": F.lit(next(self._seqs[log.name])).cast("bigint"),
+                    "_seq": F.lit(begin).cast("bigint") + F.monotonically_increasing_id(),
                     "LogDate": F.lit(self.clock().date()),
                 }
             )
-            self._write(stamped.select(log.schema.fieldNames()), log)
+            self._write(stamped.select(log.schema.fieldNames()).observe(seen, F.max("_seq").alias("last")), log)
+            last = seen.get["last"]
+            self._seqs[log.name] = itertools.count((begin if last is None else last) + 1)
 
     def append_all(self, rows: dict[Log, list[dict]]) -> None:
         """Append to several logs at once; each small write is mostly waiting."""
         with ThreadPoolExecutor(max_workers=len(rows)) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(self.append), rows, rows.values()))
+            # wrapped once per log: a wrapper's job properties are shared by the calls made through it
+            for done in [pool.submit(inheritable_thread_target(self.spark)(self.append), *item) for item in rows.items()]:
+                done.result()
 
     def read(
         self, log: Log, where: Column | None = None, since: datetime | None = None
@@ -211,21 +232,10 @@ class StateStore:
 
     # --- requests -----------------------------------------------------------------
 
-    def request_standing(self, config_id: int, digest: str) -> dict:
-        """What a configuration's requests say of a schema, in one row.
-
-        ``exact`` is the status of the newest request for this very schema, ``initial`` whether
-        one of them is a first-load approval, ``pending`` whether any request is open.
-        """
-        own = self.current(tables.REQUEST, F.col("ConfigId") == config_id)
-        same = F.col("DetectedSchemaHash") == digest
-        number = F.when(same, F.col("SchemaChangeRequestId"))
-        found = own.agg(
-            F.max_by("Status", number).alias("exact"),
-            F.coalesce(F.bool_or(same & (F.col("DecisionBy") == v.INITIAL_LOAD)), F.lit(False)).alias("initial"),
-            F.coalesce(F.bool_or(F.col("Status") == v.PENDING), F.lit(False)).alias("pending"),
-        )
-        return found.first().asDict()
+    def has_initial_request(self, config_id: int, digest: str) -> bool:
+        """Whether the first-load approval of this very schema is on record; it never changes."""
+        own = (F.col("ConfigId") == config_id) & (F.col("DetectedSchemaHash") == digest)
+        return not self.read(tables.REQUEST, own & (F.col("DecisionBy") == v.INITIAL_LOAD)).isEmpty()
 
     def request(self, request_id: int) -> dict | None:
         return self.latest_row(tables.REQUEST, F.col("SchemaChangeRequestId") == request_id)

@@ -85,3 +85,5 @@ class LoadError(Exception):
     def __init__(self, code: int | None, message: str | None = None):
         super().__init__(message or ERRORS[code])
         self.code = code
+
+TIME_LIMIT_MESSAGE = "The attempt exceeded its time limit of {seconds:g} seconds."
