@@ -26,6 +26,7 @@ from tidegate.operators import (
     validate,
 )
 from tidegate.plans import reporting
+from tidegate.plans.catalog_views import create_views
 from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
 from tidegate.plans.views import register_views
@@ -740,6 +741,22 @@ def governed_views_by_name(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def governed_catalog_views(t: Inputs) -> DataFrame:
+    """A catalog view, read by its name in another session, which knows nothing of this library."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    snapshots = Snapshots(store)
+    store.add_configs(GOVERNED[:2])
+    database = f"reporting_{uuid4().hex}"
+    create_views(store, database)  # before there are any rows
+    for config_id in (1, 2):
+        load_table(store, snapshots, _governed(t, False), config_id, "run-1")
+    return t.spark.newSession().sql(
+        "SELECT SourceObject, LoadType, IsFirstLoad, AttemptNumber, SourceRowCount, TargetRowCount, Status "
+        f"FROM {database}.vw_TableLoadDetail"
+    )
+
+
 @query
 def source_connections(t: Inputs) -> DataFrame:
     """The same table through a folder connection and through the session catalog."""
