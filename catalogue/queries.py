@@ -757,6 +757,25 @@ def governed_catalog_views(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def declared_fingerprint(t: Inputs) -> DataFrame:
+    """The fingerprint of a catalog table by its declared types, lengths included."""
+    folder, database = shared_root(t.spark), f"declared_{uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    t.spark.sql(
+        f"CREATE TABLE {database}.customer (c_custkey BIGINT, c_name VARCHAR(40), c_mktsegment CHAR(12), "
+        "c_acctbal DECIMAL(18, 3), loaded TIMESTAMP_NTZ) USING parquet"
+    )
+    rows = t["customer"].select("c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("decimal(18,3)"), timestamp_literal(T1))
+    rows.write.insertInto(f"{database}.customer")
+    sources = Sources(t.spark, {})
+    source = sources.read(database, "customer")
+    fp = fingerprint.fingerprint(source.schema, declared=sources.declared(database, "customer"))
+    return source.agg(F.count("*").alias("table_rows"), F.sum("c_acctbal").alias("balance")).select(
+        F.lit(fp.definition).alias("SchemaDefinition"), F.lit(fp.hash).alias("SchemaHash"), "table_rows", F.col("balance").cast("decimal(28,3)").alias("balance")
+    )
+
+
 @query
 def source_connections(t: Inputs) -> DataFrame:
     """The same table through a folder connection and through the session catalog."""

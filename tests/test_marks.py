@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.operators import highwater
+from tidegate.operators.fingerprint import fingerprint
 from tidegate.plans.load import load_table
 from tidegate.plans.run import run_pipeline
 from tidegate.sources import Frames, JdbcDatabase, Marks, ParquetFolder, Sources
@@ -229,3 +230,32 @@ def test_a_new_driver_closes_published_attempts(spark, tmp_path, monkeypatch):
     run_pipeline(store, Snapshots(store), sources, "r2")
     statuses = [r["Status"] for r in store.current(tables.ATTEMPT).orderBy("TableLoadAuditId").collect()]
     assert statuses == ["SUCCESS", "SUCCESS"] and not store.first_run()
+
+
+def test_declared_columns_decide_the_fingerprint(spark):
+    """Scale of times, length and nullability come from the information schema; a change of any is a drift."""
+    base = [("id", "int", None, 10, 0, None, "NO"), ("ts", "datetime2", None, None, None, 7, "NO"), ("v", "nvarchar", -1, None, None, None, "YES"),
+            ("day", "date", None, None, None, 0, "YES"), ("n", "decimal", None, 18, 3, None, "YES"), ("b'c", "varchar", 20, None, None, None, "YES")]
+    schema = "column_name string, data_type string, l int, p int, s int, d int, is_nullable string"
+    asked_for = []
+
+    def source(rows):
+        def load(session, options):
+            asked_for.append(options.get("query"))
+            if "query" in options:
+                return session.createDataFrame(rows, schema)
+            return session.sql("SELECT 1 AS id, TIMESTAMP_NTZ '2024-01-01' AS TS, '' AS v, DATE '2024-01-01' AS day, 1.5BD AS n, '' AS `b'c`, 2 AS extra")
+
+        return Sources(spark, {"db": JdbcDatabase("jdbc:x", load=load)})
+
+    def print_of(rows):
+        sources = source(rows)
+        return fingerprint(sources.read("s", "it's", "db").schema, declared=sources.declared("s", "it's", "db"))
+
+    plain = print_of(base)
+    assert plain.definition == "id:int:0|TS:datetime2(7):0|v:nvarchar(max):1|day:date:1|n:decimal(18,3):1|b'c:varchar(20):1|extra:int:0"
+    assert "table_name = 'it''s'" in asked_for[-1]
+    changes = [(1, 5, 3), (1, 6, "YES"), (2, 2, 100), (4, 4, 2), (5, 2, 21)]
+    hashes = {print_of([tuple(new if (i, j) == (row, column) else x for j, x in enumerate(r)) for i, r in enumerate(base)]).hash for row, column, new in changes}
+    assert len(hashes | {plain.hash}) == 6
+    assert JdbcDatabase("jdbc:x", information_schema=False).declared(spark, "s", "t") == []

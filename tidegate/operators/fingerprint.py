@@ -28,6 +28,29 @@ class Fingerprint:
     hash: str
 
 
+@dataclass(frozen=True)
+class Declared:
+    """A column as its source declares it; a DataFrame's types know no scale of times and lose lengths."""
+
+    name: str
+    type: str
+    nullable: bool
+
+
+def declared_type(
+    kind: str, length: int | None = None, precision: int | None = None, scale: int | None = None, time_scale: int | None = None
+) -> str:
+    """One text for the columns in which an information schema describes a type."""
+    kind = kind.lower()
+    if length is not None:
+        return f"{kind}({'max' if length < 0 else length})"
+    if kind in ("decimal", "numeric"):
+        return f"{kind}({precision},{scale or 0})" if precision is not None else kind
+    if time_scale is not None and kind != "date":
+        return f"{kind}({time_scale})"
+    return kind
+
+
 def render_type(field: T.StructField) -> str:
     return (field.metadata or {}).get(DECLARED_TYPE) or field.dataType.simpleString()
 
@@ -36,10 +59,17 @@ def _escape(name: str) -> str:
     return name.replace("\\", "\\\\").replace(":", "\\:").replace("|", "\\|")
 
 
-def fingerprint(schema: T.StructType, charset: str = "utf-8") -> Fingerprint:
-    """Columns in order, ``name:type:nullable`` joined by ``|``, and its SHA-256."""
+def fingerprint(schema: T.StructType, charset: str = "utf-8", declared: list[Declared] | None = None) -> Fingerprint:
+    """Columns in order, ``name:type:nullable`` joined by ``|``, and its SHA-256.
+
+    What the source declares of a column goes before what the DataFrame says of it.
+    """
+    known = {d.name.lower(): d for d in declared or []}
+    columns = [
+        known.get(f.name.lower()) or Declared(f.name, render_type(f), f.nullable) for f in schema.fields
+    ]
     definition = "|".join(
-        f"{_escape(f.name)}:{render_type(f)}:{int(f.nullable)}" for f in schema.fields
+        f"{_escape(f.name)}:{d.type}:{int(d.nullable)}" for f, d in zip(schema.fields, columns)
     )
     digest = hashlib.sha256(definition.encode(charset)).hexdigest().upper()
     return Fingerprint(schema.fieldNames(), definition, digest)

@@ -73,10 +73,9 @@ def load_table(
             raise v.LoadError(50011)
         if config["LoadType"] not in (v.FULL, v.WATERMARK):
             raise v.LoadError(None, f"Unknown LoadType {config['LoadType']!r}.")
-        source = sources.read(
-            config["SourceSchema"], config["SourceTable"], config["ConnectionReference"]
-        )
-        fp = fingerprint(source.schema)
+        place = (config["SourceSchema"], config["SourceTable"], config["ConnectionReference"])
+        source = sources.read(*place)
+        fp = fingerprint(source.schema, declared=sources.declared(*place))
         first = config["ApprovedSchemaHash"] is None
         if first:
             config, changed, approval = rfc.establish_baseline(store, config, fp), False, None

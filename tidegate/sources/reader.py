@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.text import quoted
-from tidegate.operators.fingerprint import render_type
+from tidegate.operators.fingerprint import Declared, declared_type, render_type
 from tidegate.operators.highwater import as_utc
 from tidegate.sources.marks import Marks, footer_marks
 from tidegate.state.vocabulary import LoadError
@@ -27,7 +27,8 @@ _ABSENT = {"TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND", "SCHEMA_NOT_FOUND"}
 class Connection(Protocol):
     """``read`` is required. A connection may also have ``marks(df, schema, table, mark) -> Marks``,
     which asks the source for its largest mark before rows are read; others have it observed
-    while rows are staged."""
+    while rows are staged. And it may have ``declared(spark, schema, table) -> list[Declared]``, for
+    what a DataFrame's schema does not tell of the columns."""
 
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame: ...
 
@@ -67,13 +68,15 @@ class JdbcDatabase:
     ``partitioning[schema, table]`` is either the name of a numeric, date or timestamp column, by
     whose smallest and largest value the read is split into ``partitions`` ranges, or the reader's
     own options (partitionColumn, lowerBound, upperBound, numPartitions). A table that is not
-    named is read by one task. ``load`` makes a DataFrame of reader options.
+    named is read by one task. ``load`` makes a DataFrame of reader options. Column declarations come from
+    the information schema, unless the database has none.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     partitioning: Mapping[tuple[str, str], Mapping[str, str] | str] = field(default_factory=dict)
     partitions: int = 64
+    information_schema: bool = True
     load: Callable[[SparkSession, Mapping[str, str]], DataFrame] = _load_jdbc
 
     def options(self, schema: str, table: str) -> dict[str, str]:
@@ -92,6 +95,23 @@ class JdbcDatabase:
         c = _sql_name(mark)
         return f"SELECT MAX({c}) AS top, COUNT(*) AS all_rows, COUNT({c}) AS marked FROM {_sql_name(schema, table)}"
 
+    def columns_query(self, schema: str, table: str) -> str:
+        """The information schema's row of every column."""
+        own, name = (part.replace("'", "''") for part in (schema, table))
+        return (
+            "SELECT column_name, data_type, character_maximum_length, numeric_precision, numeric_scale, datetime_precision, "
+            f"is_nullable FROM information_schema.columns WHERE table_schema = '{own}' AND table_name = '{name}'"
+        )
+
+    def declared(self, spark: SparkSession, schema: str, table: str) -> list[Declared]:
+        """Length, precision, scale of times and nullability; one row per column of one table."""
+        if not self.information_schema:
+            return []
+        return [
+            Declared(name, declared_type(kind, length, precision, scale, time_scale), nullable.upper() == "YES")
+            for name, kind, length, precision, scale, time_scale, nullable in self._ask(spark, self.columns_query(schema, table)).collect()
+        ]
+
     def read(self, spark: SparkSession, schema: str, table: str) -> DataFrame:
         options, split = self.options(schema, table), self.partitioning.get((schema, table))
         if isinstance(split, str):
@@ -141,6 +161,11 @@ class Sources:
             raise LoadError(None, f"Unknown connection reference {reference!r}.")
         return self.default if reference is None else self.connections[reference]
 
+    def declared(self, schema: str, table: str, reference: str | None = None) -> list[Declared]:
+        """The columns of a table as its connection declares them, where it does."""
+        ask = getattr(self._connection(reference), "declared", None)
+        return ask(self.spark, schema, table) if ask else []
+
     def marks(self, df: DataFrame, schema: str, table: str, mark: str, reference: str | None = None) -> Marks | None:
         """The marks of a table that was read as ``df``, where its connection can tell them."""
         ask = getattr(self._connection(reference), "marks", None)
