@@ -23,6 +23,7 @@ from tidegate.operators import (
     lookup,
     projection,
     publish,
+    rollup,
     validate,
 )
 from tidegate.plans import reporting
@@ -412,6 +413,22 @@ def vw_dashboard_summary(t: Inputs) -> DataFrame:
     return _summary(t)
 
 
+@query
+def summary_from_partials(t: Inputs) -> DataFrame:
+    """The summary's measures of attempts and checks, merged from day partials of four spans of the logs."""
+    attempts = t["fx_attempt"].withColumn("day", F.to_date("StartedUtc"))
+    checks = t["fx_check"].withColumn("day", F.to_date("CheckedUtc"))
+    folder, seen, partials = shared_root(t.spark), attempts.select(*rollup.PAIR).limit(0), []
+    for k, (first, last) in enumerate([("0001", "1996"), ("1996", "1998"), ("1998", "2000"), ("2000", "9999")]):
+        span = F.col("day").between(f"{first}-01-01", f"{int(last) - 1:04d}-12-31")
+        begun = attempts.filter(span)
+        fresh = stage(rollup.new_pairs(begun, seen, "day"), f"{folder}/pairs-{k}")
+        done = begun.filter(F.col("Status") == "SUCCESS")
+        partials.append(rollup.day_partials(begun, done, checks.filter(span), fresh, "day"))
+        seen = seen.unionByName(fresh.select(*rollup.PAIR))
+    return rollup.merged(reduce(DataFrame.unionByName, partials))
+
+
 @query
 def vw_schema_change_requests(t: Inputs) -> DataFrame:
     return reporting.schema_change_requests(*t.many("fx_request", "fx_config"))
