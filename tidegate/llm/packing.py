@@ -25,6 +25,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,24 +36,30 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 CAPACITY = 2048
 END = 1
+REORDER = 32
 MARKS = ".,;:!?#*$%&|)"
 
 
 # --- choosing lengths -------------------------------------------------------------
 
 
-def best_multiset(counts: dict[int, int], capacity: int) -> dict[int, int]:
+def by_frequency(counts: dict[int, int]) -> list[int]:
+    return sorted(counts, key=lambda k: (-counts[k], -k))
+
+
+def best_multiset(counts: dict[int, int], capacity: int, order: list[int] | None = None) -> dict[int, int]:
     """Length -> how often: holds the longest piece, and no other such choice comes closer to ``capacity``.
 
     Bit s of a layer says that sum s can be reached with the lengths so far. The most frequent
     lengths come first, each taken in powers of two, so that c pieces cost log c layers. The
     search ends as soon as the capacity itself is reached; otherwise it has seen every length.
+    ``order`` holds every length, and may hold some that are used up.
     """
     longest = max(counts)
     mask = (1 << (capacity + 1)) - 1
     layers, reach = [], 1 << longest
-    for length in sorted(counts, key=lambda k: (-counts[k], -k)):
-        left = min(counts[length] - (length == longest), (capacity - longest) // length)
+    for length in order or by_frequency(counts):
+        left = min(counts.get(length, 0) - (length == longest), (capacity - longest) // length)
         take = 1
         while left > 0:
             take = min(take, left)
@@ -74,15 +81,22 @@ def best_multiset(counts: dict[int, int], capacity: int) -> dict[int, int]:
 def full_windows(counts: dict[int, int], capacity: int, keep: int = 0) -> Iterator[tuple[dict[int, int], int]]:
     """(multiset, how often) while more than ``keep`` pieces are left and windows come out whole.
 
-    ``counts`` is reduced by what is given out.
+    ``counts`` is reduced by what is given out. The order of the lengths is a matter of speed only
+    and is brought up to date after every ``REORDER`` multisets.
     """
-    while sum(counts.values()) > keep:
-        chosen = best_multiset(counts, capacity)
+    left = sum(counts.values())
+    for turn in count():
+        if left <= keep:
+            return
+        if turn % REORDER == 0:
+            order = by_frequency(counts)
+        chosen = best_multiset(counts, capacity, order)
         if sum(k * c for k, c in chosen.items()) < capacity:
             return
         times = min(counts[k] // c for k, c in chosen.items())
         for k, c in chosen.items():
             counts[k] -= c * times
+            left -= c * times
             if not counts[k]:
                 del counts[k]
         yield chosen, times
@@ -109,6 +123,14 @@ class _Index(dict):
         return number
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 # a full stop or comma behind anything but these may be joined with it by the tokenizer: marks, '_',
 # control characters, letters that come apart when normalised
 JOINED = re.compile(r"[.,](?<=[^0-9A-Za-zÀ-ÖØ-öø-ÿ \t\n][.,])")
@@ -211,7 +233,7 @@ class WordIds:
         lowered = text.lower()
         if any(token in lowered for token in self.special):
             return np.array(self._encode([text])[0], np.uint32)
-        folded = text.isascii() or max(text) < "\u0100"  # Latin-1: one lower case, nothing to compose
+        folded = text.isascii() or _latin(text)  # Latin-1: one lower case, nothing to compose
         if folded:
             text = lowered
         if not JOINED.search(text):
