@@ -33,6 +33,7 @@ from tidegate.plans.run import run_pipeline
 from tidegate.plans.views import register_views
 from tidegate.sources import CatalogTables, Frames, Marks, ParquetFolder, Sources, column_catalog
 from tidegate.state import tables as logs
+from tidegate.state.row_level import RowLevelTables
 from tidegate.state.shared import shared_root, stage
 from tidegate.state.snapshots import Snapshots
 from tidegate.state.store import StateStore
@@ -743,6 +744,31 @@ def governed_empty_table(t: Inputs) -> DataFrame:
     return columns.withColumn("table_rows", F.lit(created.count()))
 
 
+class _Planned(RowLevelTables):
+    """Keeps a delta as planned: the built-in catalog creates tables but has no MERGE to issue."""
+
+    planned = None
+
+    def commit(self, config_id, audit_id, snapshot):
+        if snapshot.merged:
+            self.planned = snapshot
+        else:
+            super().commit(config_id, audit_id, snapshot)
+
+
+@query
+def governed_row_level_delta(t: Inputs) -> DataFrame:
+    """A first load into a catalog table, then the rows a MERGE of the delta will leave, as gate 2 counts them."""
+    store = StateStore(t.spark, shared_root(t.spark))
+    database = f"row_level_{uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_root(t.spark)}'")
+    published = _Planned(store, f"spark_catalog.{database}", "parquet")
+    store.add_configs(GOVERNED[:1])
+    load_table(store, published, _governed(t, True), 1, "run-1")
+    load_table(store, published, _governed(t, False), 1, "run-2")
+    return published.frame(published.planned)
+
+
 @query
 def governed_views_by_name(t: Inputs) -> DataFrame:
     """A registered view, read by its name after a load."""
