@@ -61,7 +61,7 @@ def bracket_template(turns: list[Turn]) -> str:
 
 @lru_cache(maxsize=1 << 12)
 def _format(role: str, text: str) -> str:
-    """A turn; kept, as growing prefixes ask for the same turns again and again."""
+    """A turn; kept while its conversation is rendered, as growing prefixes ask for it again and again."""
     text = escape(text)
     if role == "user":
         return f"[INST] {text} [/INST]"
@@ -178,7 +178,10 @@ def format_conversations(
             for at in range(0, arrived.num_rows, batch):
                 part = arrived.slice(at, batch)
                 lists = [[(t["role"], t["text"]) for t in row] for row in part.column(1).to_pylist()]
-                done = [render(turns, template) for turns in lists]
+                done = []
+                for turns in lists:
+                    done.append(render(turns, template))
+                    _format.cache_clear()  # no texts of earlier conversations stay in the worker
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
