@@ -6,6 +6,7 @@ from collections import defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from support import docs_frame
 from tokenizers import Tokenizer
@@ -46,6 +47,26 @@ def test_ids_are_the_tokenizers():
             assert words.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("limit", [1 << 18, 8])
+def test_ids_of_many_texts_together(monkeypatch, limit):
+    path = tokenizer_path()
+    plain, words, calls = Tokenizer.from_file(path), packing.WordIds(path, limit), []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda texts, plain=False: calls.append(texts) or encode(texts, plain))
+    many = TEXTS + [f"text {chr(97 + k % 26)}{chr(97 + k // 26)}x has new words, same{chr(97 + k % 26)}!!" for k in range(200)] + TEXTS[::-1]
+    for _ in range(2):
+        assert [x.tolist() for x in words.ids_of(many)] == [plain.encode(x, add_special_tokens=False).ids for x in many]
+    special = 2 * sum(any(token in x.lower() for token in words.special) for x in many)
+    assert len(calls) - special < 20  # new words are learnt for all texts at once, not text by text
+    assert words.ids_of([]) == []
+
+
+def test_rows_are_taken_together_up_to_a_bound(monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 10)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, None, 3, 4, 5], "text": ["abcdef", None, "ghij", "k" * 30, ""]})
+    assert list(packing._together(batch)) == [([1, None, 3], ["abcdef", "", "ghij"]), ([4], ["k" * 30]), ([5], [""])]
+
+
 def test_what_stands_before_stops_and_commas():
     """Whatever the tokenizer joins with a full stop or comma behind it."""
     path = tokenizer_path()

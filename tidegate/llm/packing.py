@@ -12,7 +12,8 @@ No row leaves its task: tokens are never shuffled, and a task holds at most ``po
 last tokens of a task are cut at powers of two, which need no padding either.
 
 Texts are tokenised word by word through a bounded cache: the tokenizer drops blanks, so a text's
-ids are those of its blank-separated words in a row (``WordIds`` says when that holds).
+ids are those of its blank-separated words in a row (``WordIds`` says when that holds). Texts are
+taken some at a time, so that each of their words is looked up once, and new words are learnt together.
 
 Defined cases: a null or empty text is the end token alone; repeated rows and null ids are packed
 like any others; an empty table gives no rows; other columns are not read.
@@ -29,6 +30,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 CAPACITY = 2048
 END = 1
 REORDER = 32
+TOGETHER = 1 << 20  # characters whose words are looked up together
 MARKS = ".,;:!?#*$%&|)"
 
 
@@ -147,6 +150,8 @@ class WordIds:
     whole.
     """
 
+    _NONE = np.empty(0, np.uint32)
+
     def __init__(self, path: str, limit: int = 1 << 18):
         self.tokenizer, self.plain, self.limit = Tokenizer.from_file(path), Tokenizer.from_file(path), limit
         # folded words of letters need none of the patterns of the full pipeline
@@ -230,23 +235,44 @@ class WordIds:
         return self.flat[shift + np.arange(len(shift))]
 
     def ids(self, text: str) -> np.ndarray:
-        lowered = text.lower()
-        if any(token in lowered for token in self.special):
-            return np.array(self._encode([text])[0], np.uint32)
-        folded = text.isascii() or _latin(text)  # Latin-1: one lower case, nothing to compose
-        if folded:
-            text = lowered
-        if not JOINED.search(text):
-            text = text.replace(",", " ,").replace(".", " .")
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text. Each word of these texts is looked up once, new ones are learnt together."""
+        out: list[np.ndarray] = [self._NONE] * len(texts)
+        prepared: dict[bool, dict[int, str]] = {True: {}, False: {}}  # folded -> place -> text
+        for k, text in enumerate(texts):
+            lowered = text.lower()
+            if any(token in lowered for token in self.special):
+                out[k] = np.array(self._encode([text])[0], np.uint32)
+                continue
+            folded = text.isascii() or _latin(text)  # Latin-1: one lower case, nothing to compose
+            if folded:
+                text = lowered
+            if not JOINED.search(text):
+                text = text.replace(",", " ,").replace(".", " .")
+            prepared[folded][k] = text.replace("\n", " ").replace("\t", " ")
+        for folded, members in prepared.items():
+            if members:
+                for k, ids in zip(members, self._look_up(list(members.values()), folded)):
+                    out[k] = ids
+        return out
+
+    def _look_up(self, texts: list[str], folded: bool) -> list[np.ndarray]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = split.values.dictionary_encode()
+        words, of_word = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
             self._learn(folded)
-        self.uses[at] += 1
-        ids = self._gather(at)
+        self.uses[at] += np.bincount(of_word, minlength=len(words))
+        numbers = at[of_word]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.sizes[numbers])))
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        ids = self._gather(numbers)
         if len(self.index) > self.limit:
             self._forget()
-        return ids
+        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -259,6 +285,20 @@ def _word_ids(path: str) -> WordIds:
     return _LOADED[path]
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of successive rows, up to about ``TOGETHER`` characters; one text may be longer."""
+    docs, texts, held = [], [], 0
+    for doc, text in zip(batch.column(0), batch.column(1)):
+        docs.append(doc.as_py())
+        texts.append(text.as_py() or "")
+        held += len(texts[-1])
+        if held >= TOGETHER:
+            yield docs, texts
+            docs, texts, held = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -357,9 +397,10 @@ def pack(
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                packer.add(doc.as_py(), np.concatenate((words.ids(text.as_py() or ""), end)))
-            yield from rows(1 << 13)
+            for docs, texts in _together(batch):
+                for doc, ids in zip(docs, words.ids_of(texts)):
+                    packer.add(doc, np.concatenate((ids, end)))
+                yield from rows(1 << 13)
         packer.finish()
         words.release()
         yield from rows(1)
