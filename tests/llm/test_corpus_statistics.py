@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from support import docs_frame, rows_of
@@ -109,6 +111,41 @@ def test_collocations(spark, monkeypatch, support, max_words, shards, top, bits)
     assert sorted(rows_of(got)) == slow_collocations(rows, support, max_words, top, 80)
 
 
+def test_blocks_are_made_one_at_a_time_and_summed_together(spark, monkeypatch):
+    """No block is made before the one ahead of it was used; a phrase of several blocks comes once for all of them."""
+    made = []
+    real = spans.Words
+    monkeypatch.setattr(spans, "Words", lambda *given: made.append(1) or real(*given))
+    monkeypatch.setattr(collocations, "_BLOCK", 200)
+    text = "one two three four five " * 5
+    batch = pa.RecordBatch.from_pydict({"text": [text] * 10 + [None, "", " "]})
+    sizes = []
+    for blocks in collocations._blocks(batch, 3):
+        before = len(made)
+        for k, words in enumerate(blocks):
+            assert len(made) <= before + k
+        sizes.append(k + 1)
+    assert max(sizes) == collocations._BLOCKS and sum(sizes) == 5  # two texts in each
+    found, sums = collocations._summed([np.array([3, 9], np.uint64), np.array([1, 9], np.uint64)], [np.array([2, 5]), np.array([1, 7])])
+    assert (found.tolist(), sums.tolist()) == ([1, 3, 9], [1, 2, 12])
+
+
+def test_a_block_takes_little_memory():
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(1500))
+    batch = pa.RecordBatch.from_pydict({"text": [text] * 900})
+    tracemalloc.start()
+    try:
+        for blocks in collocations._blocks(batch, 3):
+            for words in blocks:
+                phrases = collocations.Phrases(words, np.zeros(900, np.int64))
+                for _ in range(3):
+                    phrases.grow()
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_scores_pass_64_bits(spark):
     a, rest = 9_000_000_000_000_000, 9_100_000_000_000_000
     frequent = spark.createDataFrame([("x", 2, "p q", a), ("x", 1, "p", rest), ("x", 1, "q", rest + 1)], "lang string, size int, phrase string, f long")

@@ -11,7 +11,7 @@ words (rounded up). So every shard is mined completely at that support, level by
 The union of the locally frequent phrases holds every globally frequent one. One more pass counts
 these candidates over all documents by their text, not by hashes, and the global support decides.
 A shard is not a task: its counting is a Spark aggregation like any other, pre-aggregated per
-block of text, so neither a shard nor a hot word meets in one place. Keep ``shards`` well below the
+four blocks of text (one block's arrays are held at a time), so neither a shard nor a hot word meets in one place. Keep ``shards`` well below the
 support, or the lowered support is 1 and prunes nothing.
 
 While mining, phrases are 64-bit hashes salted by language; equal hashes can only add candidates.
@@ -27,7 +27,9 @@ phrase, give no rows. The input's other columns are not read.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 WORD = byte_class(b" \t" + BREAKS)
 _BREAK = ~byte_class(BREAKS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # 2^64 / golden ratio
-_BLOCK = 1 << 22  # bytes of text whose phrases are counted together
+_BLOCK = 1 << 20  # bytes of text looked at together
+_BLOCKS = 4  # so many blocks' counts are summed before they are given out
 _PAGE = 32768  # bits in one value of bitmap_construct_agg
 
 
@@ -105,9 +108,21 @@ def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(group[places[0]]), places
 
 
-def _blocks(batch: pa.RecordBatch, carry: int) -> Iterator[Words]:
-    texts = batch.column("text").cast(pa.binary()).to_pylist()
-    return filter(len, word_blocks(texts, WORD, carry, _BLOCK))
+def _blocks(batch: pa.RecordBatch, carry: int) -> Iterator[Iterator[Words]]:
+    """Blocks, ``_BLOCKS`` at most together; each is made when it is asked for."""
+    texts = (text.as_py() for text in batch.column("text").cast(pa.binary()))
+    blocks = filter(len, word_blocks(texts, WORD, carry, _BLOCK))
+    for first in blocks:
+        yield chain((first,), islice(blocks, _BLOCKS - 1))
+
+
+def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes and the sums of their counts."""
+    every = np.concatenate(codes)
+    order = np.argsort(every)
+    every = every[order]
+    first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+    return every[first], np.add.reduceat(np.concatenate(counts)[order], first)
 
 
 Level = Callable[[Phrases, np.ndarray], Iterator[tuple[int, np.ndarray]]]
@@ -120,21 +135,26 @@ def _mine(rows: DataFrame, carry: int, level: Level) -> DataFrame:
         for batch in batches:
             shards, salts = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("shard", "salt"))
             pairs, group_of = np.unique(np.stack((salts, shards)), axis=1, return_inverse=True)
-            for words in _blocks(batch, carry):
-                phrases, shard, group = Phrases(words, salts), shards[words.doc], group_of[words.doc]
-                for n, places in level(phrases, shard):
-                    codes = phrases.codes[n - 1][places]
-                    for g, members in _by_group(group[places]):
-                        found, count = np.unique(codes[members], return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(found), pairs[0, g])),
-                                pa.array(np.full(len(found), pairs[1, g], np.int32)),
-                                pa.array(found.astype(np.int64)),
-                                pa.array(count.astype(np.int64)),
-                            ],
-                            ["salt", "shard", "g", "n"],
-                        )
+            for blocks in _blocks(batch, carry):
+                held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))  # group -> codes, counts
+                for words in blocks:
+                    phrases, shard, group = Phrases(words, salts), shards[words.doc], group_of[words.doc]
+                    for n, places in level(phrases, shard):
+                        codes = phrases.codes[n - 1][places]
+                        for g, members in _by_group(group[places]):
+                            for kept, new in zip(held[g], np.unique(codes[members], return_counts=True)):
+                                kept.append(new)
+                for g, (codes, counts) in held.items():
+                    found, count = _summed(codes, counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(found), pairs[0, g])),
+                            pa.array(np.full(len(found), pairs[1, g], np.int32)),
+                            pa.array(found.astype(np.int64)),
+                            pa.array(count),
+                        ],
+                        ["salt", "shard", "g", "n"],
+                    )
 
     counted = rows.mapInArrow(work, "salt long, shard int, g long, n long")
     return counted.groupBy("salt", "shard", "g").agg(F.sum("n").alias("n"))
@@ -167,36 +187,43 @@ def _longer(bitmap, max_words: int) -> Level:
 
 
 def _count_exactly(rows: DataFrame, bitmap, max_words: int) -> DataFrame:
-    """(lang, size, phrase, n): exact counts, by block, of every run whose hash is a candidate's."""
+    """(lang, size, phrase, n): exact counts, by some blocks, of every run whose hash is a candidate's."""
+    keys = ["lang", "size", "phrase"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             salts = batch.column("salt").to_numpy(zero_copy_only=False).astype(np.int64)
             group_of = np.unique(salts, return_inverse=True)[1]
-            for words in _blocks(batch, max_words - 1):
-                phrases, group = Phrases(words, salts), group_of[words.doc]
-                number = Table(words.data, words.start, words.stop).slot
-                data, start, stop = words.spaced()
-                for n in range(1, max_words + 1):
-                    if n > 1:
-                        phrases.grow()
-                    places = np.flatnonzero(phrases.counted(n) & bitmap.value.holds(phrases.codes[n - 1]))
-                    same = number[places]
-                    for k in range(1, n):  # the run as one number: a rank of its beginning, then the next word
-                        same = same if k == 1 else np.unique(same, return_inverse=True)[1]
-                        same = (same << 32) | number[places + k]
-                    for _, members in _by_group(group[places]):
-                        _, first, count = np.unique(same[members], return_index=True, return_counts=True)
-                        at = places[members[first]]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                batch.column("lang").take(pa.array(words.doc[at])),
-                                pa.array(np.full(len(at), n, np.int32)),
-                                strings(data, start[at], stop[at + n - 1]),
-                                pa.array(count.astype(np.int64)),
-                            ],
-                            ["lang", "size", "phrase", "n"],
-                        )
+            for blocks in _blocks(batch, max_words - 1):
+                found = [part for words in blocks for part in counted(words, batch.column("lang"), salts, group_of)]
+                if found:
+                    table = pa.Table.from_batches(found).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+                    yield from table.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).to_batches()
+
+    def counted(words: Words, langs: pa.Array, salts: np.ndarray, group_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+        phrases, group = Phrases(words, salts), group_of[words.doc]
+        number = Table(words.data, words.start, words.stop).slot
+        data, start, stop = words.spaced()
+        for n in range(1, max_words + 1):
+            if n > 1:
+                phrases.grow()
+            places = np.flatnonzero(phrases.counted(n) & bitmap.value.holds(phrases.codes[n - 1]))
+            same = number[places]
+            for k in range(1, n):  # the run as one number: a rank of its beginning, then the next word
+                same = same if k == 1 else np.unique(same, return_inverse=True)[1]
+                same = (same << 32) | number[places + k]
+            for _, members in _by_group(group[places]):
+                _, first, count = np.unique(same[members], return_index=True, return_counts=True)
+                at = places[members[first]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        langs.take(pa.array(words.doc[at])),
+                        pa.array(np.full(len(at), n, np.int32)),
+                        strings(data, start[at], stop[at + n - 1]),
+                        pa.array(count.astype(np.int64)),
+                    ],
+                    [*keys, "n"],
+                )
 
     return rows.mapInArrow(work, "lang string, size int, phrase string, n long")
 

@@ -6,7 +6,7 @@ Everything works on numpy arrays over the UTF-8 bytes of some texts at a time. W
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +56,7 @@ class Words:
         return data, start, stop
 
 
-def word_blocks(texts: Sequence[bytes | None], inside: np.ndarray, carry: int = 0, limit: int = LIMIT) -> Iterator[Words]:
+def word_blocks(texts: Iterable[bytes | None], inside: np.ndarray, carry: int = 0, limit: int = LIMIT) -> Iterator[Words]:
     """The words of the texts, whole texts together up to ``limit`` bytes.
 
     A longer text comes in parts; each part but the first begins with the last ``carry`` words of
