@@ -124,6 +124,23 @@ def bags_of(texts, toxic):
     return toxicity.Bags.of(table)
 
 
+def test_a_text_is_sent_once_and_rows_come_back_in_slices(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a text", "en")], "doc_id bigint, text string, lang string")
+    model = quality.Model(np.zeros(1 << quality.BITS, np.float32), 1.0, np.zeros(quality.N_LABELLERS), {})
+    sent = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda frame, run, schema: sent.append((frame.columns, run, schema)))
+    quality.judge(docs, model)
+    columns, run, schema = sent[0]
+    assert columns == ["row"] and schema.fieldNames() == ["row", "quality", "kept"]
+    n = 2500
+    rows = pa.StructArray.from_arrays([pa.array(range(n)), pa.array([None if k % 7 == 0 else f"text {k}" for k in range(n)]), pa.nulls(n, pa.string())], ["doc_id", "text", "lang"])
+    back = list(run(iter([pa.RecordBatch.from_arrays([rows], ["row"])])))
+    assert max(b.num_rows for b in back) <= 1024 and sum(b.num_rows for b in back) == n
+    table = pa.Table.from_batches(back)
+    assert table.column("row").to_pylist() == rows.to_pylist()
+    assert table.column("kept").to_pylist() == [k % 7 != 0 for k in range(n)]
+
+
 def test_noisy_or_finds_the_sentence():
     rng = np.random.default_rng(3)
     toxic = (rng.random(600) < 0.2).astype(int)

@@ -6,7 +6,7 @@ into parts, whose sums are added up again by document.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +65,13 @@ def blocks(texts: pa.Array, limit: int = LIMIT) -> Iterator[Block]:
         yield Block(docs, begins, parts)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that rows on their way back take little memory on either side."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def grams(symbols: np.ndarray, size: int, bits: int, width: int = 8) -> np.ndarray:
     """A bucket (below 2^bits) for the ``size`` symbols from each place on; wraps round at the end."""
     code = np.full(len(symbols), size, np.uint64)

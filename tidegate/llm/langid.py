@@ -208,7 +208,7 @@ def judge(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     names = ["row", "lang_pred", "score", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in hashing.slices(batches):
             lettered = np.array(batch.column(2).to_pylist(), bool) & bool(model.languages)
             predicted = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)

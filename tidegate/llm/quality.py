@@ -280,14 +280,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
 def judge(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """quality (0 to 1) and kept of every row, behind the row itself as the struct ``row``."""
 
+    place = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1)
+        for rows in hashing.slices(batches):
+            texts = rows.column(0).field(place)
             blank = np.array([not (t.as_py() or "").strip() for t in texts], bool)
             score = np.where(blank, 0.0, 1 / (1 + np.exp(-np.clip(logits(texts, model.weights, model.bias), -40, 40))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= 0.5) & ~blank)], ["row", "quality", "kept"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(score), pa.array((score >= 0.5) & ~blank)], ["row", "quality", "kept"])
 
-    inner = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    # the text is sent once, inside its row
+    inner = docs.select(F.struct("*").alias("row"))
     return inner.mapInArrow(run, inner.select("row").schema.add("quality", "double").add("kept", "boolean"))
 
 
