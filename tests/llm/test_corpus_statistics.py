@@ -146,6 +146,29 @@ def test_a_block_takes_little_memory():
         tracemalloc.stop()
 
 
+@pytest.mark.parametrize("given", [None, "7m"])
+def test_texts_come_in_batches_of_few_bytes(spark, monkeypatch, tmp_path, given):
+    """However many rows: with 6,000 bytes a text, at most 700 in four blocks of a megabyte. The caller's setting stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def all_words(phrases, shard):
+        if phrases.words.doc.max() >= 800:
+            raise ValueError(f"text {phrases.words.doc.max()} of a batch")
+        yield 1, np.flatnonzero(phrases.counted(1))
+
+    monkeypatch.setattr(collocations, "_all_words", all_words)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("repeat('ab cd ', 1000) AS text", "'en' AS lang")
+    if given:
+        spark.conf.set(setting, given)
+    try:
+        frequent, totals = collocations.frequent_phrases(docs, str(tmp_path / "phrases"), max_words=2)
+        assert spark.conf.get(setting, None) == given
+    finally:
+        spark.conf.unset(setting)
+    assert sorted(rows_of(frequent)) == [("en", 1, "ab", 3_000_000), ("en", 1, "cd", 3_000_000), ("en", 2, "ab cd", 3_000_000), ("en", 2, "cd ab", 2_997_000)]
+    assert rows_of(totals) == [("en", 6_000_000)]
+
+
 def test_scores_pass_64_bits(spark):
     a, rest = 9_000_000_000_000_000, 9_100_000_000_000_000
     frequent = spark.createDataFrame([("x", 2, "p q", a), ("x", 1, "p", rest), ("x", 1, "q", rest + 1)], "lang string, size int, phrase string, f long")

@@ -11,7 +11,8 @@ words (rounded up). So every shard is mined completely at that support, level by
 The union of the locally frequent phrases holds every globally frequent one. One more pass counts
 these candidates over all documents by their text, not by hashes, and the global support decides.
 A shard is not a task: its counting is a Spark aggregation like any other, pre-aggregated per
-four blocks of text (one block's arrays are held at a time), so neither a shard nor a hot word meets in one place. Keep ``shards`` well below the
+four blocks of text, so neither a shard nor a hot word meets in one place. One block's arrays are held at a
+time, and texts reach a task in batches of four blocks' bytes. Keep ``shards`` well below the
 support, or the lowered support is 1 and prunes nothing.
 
 While mining, phrases are 64-bit hashes salted by language; equal hashes can only add candidates.
@@ -46,6 +47,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)  # 2^64 / golden ratio
 _BLOCK = 1 << 20  # bytes of text looked at together
 _BLOCKS = 4  # so many blocks' counts are summed before they are given out
 _PAGE = 32768  # bits in one value of bitmap_construct_agg
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 class Phrases:
@@ -99,6 +101,17 @@ def _bitmap(frequent: DataFrame, max_bits: int, by_shard: bool) -> Bitmap:
     return Bitmap({row["page"] - 1: bytes(row["content"]) for row in pages}, bits)
 
 
+def _staged(frame: DataFrame, folder: str) -> DataFrame:
+    """``stage``, with rows sent to Python by their bytes: 10,000 texts at once are held several times on either side."""
+    conf = frame.sparkSession.conf
+    before = conf.get(_BATCH, None)
+    conf.set(_BATCH, str(_BLOCK * _BLOCKS))
+    try:
+        return stage(frame, folder)
+    finally:
+        conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
+
+
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(group, its places) for every group that occurs."""
     order = np.argsort(group.astype(np.int16) if len(group) and group.max() < 1 << 15 else group, kind="stable")
@@ -250,18 +263,18 @@ def frequent_phrases(
         F.col(text_col).alias("text"),
     )
     mined = rows.drop("lang")
-    counted = stage(_mine(mined, 0, _all_words), f"{folder}/words")
+    counted = _staged(_mine(mined, 0, _all_words), f"{folder}/words")
     sizes = counted.groupBy("salt", "shard").agg(F.sum("n").alias("words"))
     totals = sizes.groupBy("salt").agg(F.sum("words").alias("all_words"))
     # a row for each language and shard: the lowered support, rounded up
-    least = stage(
+    least = _staged(
         sizes.join(totals, "salt").select("salt", "shard", F.expr(f"({support} * words + all_words - 1) div all_words").alias("least")),
         f"{folder}/least",
     )
 
     def frequent(counts: DataFrame, name: str) -> DataFrame:
         found = counts.join(least, ["salt", "shard"]).filter("n >= least").select("shard", "g")
-        return stage(found, f"{folder}/{name}")
+        return _staged(found, f"{folder}/{name}")
 
     levels = [frequent(counted, "frequent_words")]
     if max_words > 1:
@@ -275,7 +288,7 @@ def frequent_phrases(
     exact = _count_exactly(rows, share(_bitmap(candidates, max_bits, False)), max_words)
     found = exact.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
     names = docs.select(lang.alias("lang")).distinct().withColumn("salt", F.xxhash64("lang"))
-    return stage(found, f"{folder}/frequent"), names.join(totals, "salt").select("lang", F.col("all_words").alias("n"))
+    return _staged(found, f"{folder}/frequent"), names.join(totals, "salt").select("lang", F.col("all_words").alias("n"))
 
 
 # floor(2000000 a / (l + r)); the product may pass 64 bits
