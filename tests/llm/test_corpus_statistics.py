@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 import xxhash
 from support import docs_frame, rows_of
@@ -169,6 +170,67 @@ def test_texts_come_in_batches_of_few_bytes(spark, monkeypatch, tmp_path, given)
     assert rows_of(totals) == [("en", 6_000_000)]
 
 
+class Tasks:
+    """Stands for a table: keeps what its tasks would do."""
+
+    def mapInArrow(self, work, schema):
+        self.work = work
+        return self
+
+    def groupBy(self, *keys):
+        return self
+
+    def applyInArrow(self, work, schema):
+        self.last = work
+        return self
+
+
+def test_mined_counts_leave_a_task_as_arrays():
+    """A row for each range, support and shard of a batch, not one for each pair; a range's sums decide."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghijk") for _ in range(300)) for _ in range(60)]
+    shards, least = [k % 2 for k in range(60)], [30 + k % 3 for k in range(60)]
+    columns = {"text": texts, "salt": least, "shard": pa.array(shards, pa.int32()), "least": least}
+    batch = pa.RecordBatch.from_pydict(columns)
+
+    def pairs(phrases, shard):
+        phrases.grow()
+        yield 2, np.flatnonzero(phrases.counted(2))
+
+    tasks = collocations._mine(Tasks(), 1, pairs, 7)
+    given = list(tasks.work(iter([batch.slice(0, 25), batch.slice(25)])))
+    assert sum(rows.num_rows for rows in given) <= 2 * 7 * 6  # batches, ranges, (support, shard)
+    found = Counter()
+    for part in range(7):
+        rows = pa.Table.from_batches(given)
+        rows = tasks.last(rows.filter(pa.compute.equal(rows["part"], part)))
+        found.update(rows["shard"].to_pylist())
+        assert {g % (1 << 64) * 7 >> 64 for g in rows["g"].to_pylist()} <= {part}
+    slow = Counter()
+    for text, shard, support in zip(texts, shards, least):
+        slow.update((shard, support, text[i : i + 3]) for i in range(0, len(text) - 2, 2))
+    assert found == Counter(shard for (shard, support, _), n in slow.items() if n >= support)
+    assert 0 < found.total() < len(slow)
+
+
+def test_runs_are_counted_where_their_parts_are_candidates():
+    class Bitmap:
+        """Holds all but the word x, as a bitmap too small for its phrases does."""
+
+        absent = spans.mixed(spans.xxh64(np.frombuffer(b"x" + b"\n" * 40, np.uint8), np.array([0]), np.array([1])))
+
+        @property
+        def value(self):
+            return self
+
+        def holds(self, codes):
+            return codes != self.absent
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c x a b.c"], "salt": [0], "lang": ["en"]})
+    found = [r for rows in collocations._count_exactly(Tasks(), Bitmap(), 4).work(iter([batch])) for r in rows.to_pylist()]
+    assert {r["phrase"]: r["n"] for r in found} == {"a": 2, "b": 2, "c": 2, "a b": 2, "b c": 1, "a b c": 1}
+
+
 def test_scores_pass_64_bits(spark):
     a, rest = 9_000_000_000_000_000, 9_100_000_000_000_000
     frequent = spark.createDataFrame([("x", 2, "p q", a), ("x", 1, "p", rest), ("x", 1, "q", rest + 1)], "lang string, size int, phrase string, f long")

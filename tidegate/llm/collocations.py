@@ -9,11 +9,13 @@ words (rounded up). So every shard is mined completely at that support, level by
 3. all longer phrases whose pairs are all locally frequent.
 
 The union of the locally frequent phrases holds every globally frequent one. One more pass counts
-these candidates over all documents by their text, not by hashes, and the global support decides.
-A shard is not a task: its counting is a Spark aggregation like any other, pre-aggregated per
-four blocks of text, so neither a shard nor a hot word meets in one place. One block's arrays are held at a
-time, and texts reach a task in batches of four blocks' bytes. Keep ``shards`` well below the
-support, or the lowered support is 1 and prunes nothing.
+these candidates over all documents by their text, not by hashes, and the global support decides. What
+is frequent has frequent parts only, so runs are looked up where both parts of one word less were found.
+A shard is not a task: its counts meet by ranges of hashes, so neither a shard nor a hot word meets in
+one place. Tasks sum up four blocks of text. Words then go to a Spark aggregation one by one; the far more
+runs of levels 2 and 3 go as arrays, a row for each range, and a range, of about 2^21 words of the input, is
+one group. One block's arrays are held at a time, and texts reach a task in batches of four blocks' bytes.
+Keep ``shards`` well below the support, or the lowered support is 1 and prunes nothing.
 
 While mining, phrases are 64-bit hashes salted by language; equal hashes can only add candidates.
 Which phrases are frequent is sent to the tasks as a bitmap of hashed places: 16 bits for each
@@ -34,6 +36,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,7 @@ _BREAK = ~byte_class(BREAKS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # 2^64 / golden ratio
 _BLOCK = 1 << 20  # bytes of text looked at together
 _BLOCKS = 4  # so many blocks' counts are summed before they are given out
+_PART = 1 << 21  # so many words of the input for each range of hashes
 _PAGE = 32768  # bits in one value of bitmap_construct_agg
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -141,38 +145,77 @@ def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 Level = Callable[[Phrases, np.ndarray], Iterator[tuple[int, np.ndarray]]]
 
 
-def _mine(rows: DataFrame, carry: int, level: Level) -> DataFrame:
-    """(salt, shard, g, n): counts of the runs that ``level`` picks, given the phrases and each word's shard."""
+def _counts(batches: Iterator[pa.RecordBatch], carry: int, level: Level, by: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(value of ``by``, shard, codes in order, counts) of the runs that ``level`` picks in some blocks, given the phrases and each word's shard."""
+    for batch in batches:
+        shards, salts, given = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("shard", "salt", by))
+        pairs, group_of = np.unique(np.stack((given, shards)), axis=1, return_inverse=True)
+        for blocks in _blocks(batch, carry):
+            held: dict[int, list[np.ndarray]] = defaultdict(list)  # group -> codes
+            for words in blocks:
+                phrases, shard, group = Phrases(words, salts), shards[words.doc], group_of[words.doc]
+                for n, places in level(phrases, shard):
+                    codes = phrases.codes[n - 1][places]
+                    for g, members in _by_group(group[places]):
+                        held[g].append(codes[members])
+            while held:
+                g, codes = held.popitem()
+                yield int(pairs[0, g]), int(pairs[1, g]), *np.unique(np.concatenate(codes), return_counts=True)
+
+
+def _count_words(rows: DataFrame) -> DataFrame:
+    """(salt, shard, g, n): counts of all words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shards, salts = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("shard", "salt"))
-            pairs, group_of = np.unique(np.stack((salts, shards)), axis=1, return_inverse=True)
-            for blocks in _blocks(batch, carry):
-                held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))  # group -> codes, counts
-                for words in blocks:
-                    phrases, shard, group = Phrases(words, salts), shards[words.doc], group_of[words.doc]
-                    for n, places in level(phrases, shard):
-                        codes = phrases.codes[n - 1][places]
-                        for g, members in _by_group(group[places]):
-                            for kept, new in zip(held[g], np.unique(codes[members], return_counts=True)):
-                                kept.append(new)
-                for g, (codes, counts) in held.items():
-                    found, count = _summed(codes, counts)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(found), pairs[0, g])),
-                            pa.array(np.full(len(found), pairs[1, g], np.int32)),
-                            pa.array(found.astype(np.int64)),
-                            pa.array(count),
-                        ],
-                        ["salt", "shard", "g", "n"],
-                    )
+        for salt, shard, found, count in _counts(batches, 0, _all_words, "salt"):
+            same = [pa.array(np.full(len(found), salt)), pa.array(np.full(len(found), shard, np.int32))]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(found.view(np.int64)), pa.array(count)], ["salt", "shard", "g", "n"])
 
     counted = rows.mapInArrow(work, "salt long, shard int, g long, n long")
     return counted.groupBy("salt", "shard", "g").agg(F.sum("n").alias("n"))
 
 
+def _mine(rows: DataFrame, carry: int, level: Level, parts: int) -> DataFrame:
+    """(shard, g): the runs that ``level`` picks whose count in a language and shard reaches its ``least``.
+
+    Counts of some blocks go out as arrays, one for each of ``parts`` ranges of hashes; a range meets in one group.
+    """
+    edges = np.array([(part << 64) // parts for part in range(1, parts)], np.uint64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for least, shard, found, count in _counts(batches, carry, level, "least"):
+            cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
+            part = np.flatnonzero(np.diff(cuts))
+            offsets = pa.array(np.append(cuts[part], len(found)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part.astype(np.int32)),
+                    pa.array(np.full(len(part), least)),
+                    pa.array(np.full(len(part), shard, np.int32)),
+                    pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64))),
+                    pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32))),
+                ],
+                ["part", "least", "shard", "codes", "counts"],
+            )
+
+    counted = rows.mapInArrow(work, "part int, least long, shard int, codes array<long>, counts array<int>")
+    return counted.groupBy("part").applyInArrow(_frequent, "shard int, g long")
+
+
+def _frequent(counted: pa.Table) -> pa.Table:
+    """(shard, g): the codes of one range whose counts sum up to the lowered support of their language and shard."""
+    least, shards = (counted.column(c).to_numpy().astype(np.int64) for c in ("least", "shard"))
+    pairs, group = np.unique(np.stack((least, shards)), axis=1, return_inverse=True)
+    group = np.repeat(group, pc.list_value_length(counted.column("codes")).to_numpy())
+    codes, counts = (pc.list_flatten(counted.column(c)).to_numpy() for c in ("codes", "counts"))
+    shard, frequent = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for g, members in _by_group(group):
+        found, count = _summed([codes[members]], [counts[members].astype(np.int64)])
+        frequent.append(found[count >= pairs[0, g]])
+        shard.append(np.full(len(frequent[-1]), pairs[1, g], np.int32))
+    return pa.table({"shard": np.concatenate(shard), "g": np.concatenate(frequent)})
+
+
 def _all_words(phrases: Phrases, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     yield 1, np.flatnonzero(phrases.counted(1))
 
@@ -200,7 +243,7 @@ def _longer(bitmap, max_words: int) -> Level:
 
 
 def _count_exactly(rows: DataFrame, bitmap, max_words: int) -> DataFrame:
-    """(lang, size, phrase, n): exact counts, by some blocks, of every run whose hash is a candidate's."""
+    """(lang, size, phrase, n): exact counts, by some blocks, of every run whose hash, and its parts' hashes, are candidates'."""
     keys = ["lang", "size", "phrase"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,9 +261,14 @@ def _count_exactly(rows: DataFrame, bitmap, max_words: int) -> DataFrame:
         number = Table(words.data, words.start, words.stop).slot
         data, start, stop = words.spaced()
         for n in range(1, max_words + 1):
-            if n > 1:
+            if n == 1:
+                whole = np.ones(len(words), bool)
+            else:  # both parts of n - 1 words must be candidates as well
                 phrases.grow()
-            places = np.flatnonzero(phrases.counted(n) & bitmap.value.holds(phrases.codes[n - 1]))
+                whole = whole[:-1] & whole[1:] & phrases.fits[n - 1]
+            maybe = np.flatnonzero(whole)
+            whole[maybe] = bitmap.value.holds(phrases.codes[n - 1][maybe])
+            places = np.flatnonzero(phrases.counted(n) & whole)
             same = number[places]
             for k in range(1, n):  # the run as one number: a rank of its beginning, then the next word
                 same = same if k == 1 else np.unique(same, return_inverse=True)[1]
@@ -263,25 +311,25 @@ def frequent_phrases(
         F.col(text_col).alias("text"),
     )
     mined = rows.drop("lang")
-    counted = _staged(_mine(mined, 0, _all_words), f"{folder}/words")
+    counted = _staged(_count_words(mined), f"{folder}/words")
     sizes = counted.groupBy("salt", "shard").agg(F.sum("n").alias("words"))
     totals = sizes.groupBy("salt").agg(F.sum("words").alias("all_words"))
     # a row for each language and shard: the lowered support, rounded up
     least = _staged(
-        sizes.join(totals, "salt").select("salt", "shard", F.expr(f"({support} * words + all_words - 1) div all_words").alias("least")),
+        sizes.join(totals, "salt").select("salt", "shard", "words", F.expr(f"({support} * words + all_words - 1) div all_words").alias("least")),
         f"{folder}/least",
     )
+    words = least.agg(F.sum("words")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), words // _PART)
+    mined = mined.join(least.drop("words"), ["salt", "shard"])
 
-    def frequent(counts: DataFrame, name: str) -> DataFrame:
-        found = counts.join(least, ["salt", "shard"]).filter("n >= least").select("shard", "g")
-        return _staged(found, f"{folder}/{name}")
-
-    levels = [frequent(counted, "frequent_words")]
+    levels = [_staged(counted.join(least, ["salt", "shard"]).filter("n >= least").select("shard", "g"), f"{folder}/frequent_words")]
     if max_words > 1:
-        levels.append(frequent(_mine(mined, 1, _pairs(share(_bitmap(levels[0], max_bits, True)))), "frequent_pairs"))
+        pairs = _mine(mined, 1, _pairs(share(_bitmap(levels[0], max_bits, True))), parts)
+        levels.append(_staged(pairs, f"{folder}/frequent_pairs"))
     if max_words > 2:
-        longer = _mine(mined, max_words - 1, _longer(share(_bitmap(levels[1], max_bits, True)), max_words))
-        levels.append(frequent(longer, "frequent_longer"))
+        longer = _mine(mined, max_words - 1, _longer(share(_bitmap(levels[1], max_bits, True)), max_words), parts)
+        levels.append(_staged(longer, f"{folder}/frequent_longer"))
     candidates = levels[0]
     for level in levels[1:]:
         candidates = candidates.unionByName(level)
